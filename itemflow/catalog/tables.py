@@ -10,8 +10,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# With the schema at hand no file has to be opened before the plan is made.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Share out a table that is read in fewer pieces than there are cores.
+
+    A file with a single row group is read by one task. A large table has more
+    pieces than cores and is left alone.
+    """
+    if frame.rdd.getNumPartitions() < frame.sparkSession.sparkContext.defaultParallelism:
+        return frame.repartition(key)
+    return frame
 
 
 def _text(column: str) -> Column:
@@ -20,7 +44,7 @@ def _text(column: str) -> Column:
 
 def responses(spark: SparkSession, sf_dir: str, **changed: Column) -> DataFrame:
     """The response table; ``changed`` replaces columns."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = table(spark, sf_dir, "orders")
     parts = table(spark, sf_dir, "part")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
