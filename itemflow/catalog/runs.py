@@ -63,9 +63,9 @@ class _Steps:
             step,
         )
 
-    def sql(self, final: str) -> str:
+    def sql(self, final: str, **changed: str) -> str:
         chain = ", ".join(f"{name} as materialized ({sql})" for name, sql in self.tables)
-        return with_responses(f"with {chain} {final.format(t=self.last)}")
+        return with_responses(f"with {chain} {final.format(t=self.last)}", **changed)
 
 
 def _row_steps(total_minutes: int | None = 1440, start: str | None = None) -> _Steps:
@@ -172,27 +172,34 @@ GOLDEN = CleanConfig(
 )
 
 
-def golden(spark, sf_dir, audit: bool = False, **options):
+def golden(spark, sf_dir, audit: bool = False):
     inputs = CleanInputs(test_map=test_map(spark, sf_dir))
-    return clean(responses(spark, sf_dir), GOLDEN, inputs, audit=audit, **options)
+    return clean(responses(spark, sf_dir), GOLDEN, inputs, audit=audit)
 
 
-@query(
-    "clean_test_map",
-    _golden_steps().sql(
-        _RUN + _TEMPLATE + "template_num_omitted, "
-        + ratio_sql("template_num_attempted", "test_num_ques", "template_perc_attempted") + ", "
-        + _rates_sql("template", "test_num_ques") + " from {t}"
-    ),
+_GOLDEN_FINAL = (
+    _RUN + _TEMPLATE + "template_num_omitted, "
+    + ratio_sql("template_num_attempted", "test_num_ques", "template_perc_attempted") + ", "
+    + _rates_sql("template", "test_num_ques") + " from {t}"
 )
-def clean_test_map(spark, sf_dir):
+
+
+def golden_sql(**changed: str) -> str:
+    return _golden_steps().sql(_GOLDEN_FINAL, **changed)
+
+
+def golden_columns(cleaned):
     ratios = ["template_perc_attempted", "template_pTotal", "template_pPlus"]
-    cleaned = rounded(golden(spark, sf_dir).cleaned, *ratios)
-    return cleaned.select(
+    return rounded(cleaned, *ratios).select(
         *RUN_COLUMNS, *TEMPLATE_COLUMNS, "template_num_omitted", "template_perc_attempted"
     )
 
 
+@query("clean_test_map", golden_sql())
+def clean_test_map(spark, sf_dir):
+    return golden_columns(golden(spark, sf_dir).cleaned)
+
+
 def _flagship_steps() -> _Steps:
     steps = _activity_steps(_map_steps(_row_steps(None), 8))
     _item_steps(steps)
@@ -270,10 +277,11 @@ def _section_steps(with_test_map: bool, low: str) -> _Steps:
     return steps.drop_activities("below_threshold", low)
 
 
-def _section_sql(steps: _Steps, questions: str) -> str:
+def _section_sql(steps: _Steps, questions: str, **changed: str) -> str:
     return steps.sql(
         _RUN + _TEMPLATE + _SECTION_SQL + _rates_sql("template", "test_num_ques") + ", "
-        + _rates_sql("overall", f"(num_activities * {questions})") + " from {t}"
+        + _rates_sql("overall", f"(num_activities * {questions})") + " from {t}",
+        **changed,
     )
 
 
@@ -281,18 +289,20 @@ _SECTION_TOTAL = f"(select sum(section_num_ques) from {SECTIONS_SQL} m)"
 _TEST_TOTAL = f"(select sum(num_ques) from {test_map_sql(None)} m)"
 
 
-def _section_run(spark, sf_dir, config, inputs):
-    cleaned = clean(responses(spark, sf_dir), config, inputs).cleaned
+def section_columns(cleaned):
     return rounded(cleaned, *SECTION_RATIOS).select(*RUN_COLUMNS, *SECTION_COLUMNS)
 
 
-@query(
-    "clean_section_map",
-    _section_sql(
-        _section_steps(True, "section_num_attempted < min_items_per_seq or template_num_attempted < 3"),
-        _SECTION_TOTAL,
-    ),
-)
+def _section_run(spark, sf_dir, config, inputs):
+    return section_columns(clean(responses(spark, sf_dir), config, inputs).cleaned)
+
+
+def section_sql(**changed: str) -> str:
+    low = "section_num_attempted < min_items_per_seq or template_num_attempted < 3"
+    return _section_sql(_section_steps(True, low), _SECTION_TOTAL, **changed)
+
+
+@query("clean_section_map", section_sql())
 def clean_section_map(spark, sf_dir):
     config = CleanConfig(total_minutes=1440, section_separated=True)
     inputs = CleanInputs(test_map=test_map(spark, sf_dir, None), section_map=section_map(spark, sf_dir))
@@ -359,20 +369,28 @@ BANK_COLUMNS = [
 ]
 
 
-@query(
-    "clean_qbank",
-    _bank_steps().sql(
+def bank_sql(**changed: str) -> str:
+    return _bank_steps().sql(
         _RUN + _TEMPLATE + "overall_raw_correct, overall_num_attempted, actual_activity_order, "
-        + _rates_sql("template", "actual_num_ques") + ", " + _rates_sql("overall", "pool") + " from {t}"
-    ),
-)
-def clean_qbank(spark, sf_dir):
-    config = CleanConfig(question_bank=True, total_minutes=1440, min_items=2)
-    cleaned = clean(responses(spark, sf_dir), config, CleanInputs(test_map=bank_map(spark, sf_dir))).cleaned
+        + _rates_sql("template", "actual_num_ques") + ", " + _rates_sql("overall", "pool") + " from {t}",
+        **changed,
+    )
+
+
+BANK = CleanConfig(question_bank=True, total_minutes=1440, min_items=2)
+
+
+def bank_columns(cleaned):
     ratios = ["template_pTotal", "template_pPlus", "overall_pTotal", "overall_pPlus"]
     return rounded(cleaned, *ratios).select(*RUN_COLUMNS, *BANK_COLUMNS)
 
 
+@query("clean_qbank", bank_sql())
+def clean_qbank(spark, sf_dir):
+    inputs = CleanInputs(test_map=bank_map(spark, sf_dir))
+    return bank_columns(clean(responses(spark, sf_dir), BANK, inputs).cleaned)
+
+
 def _bank_section_steps() -> _Steps:
     steps = _activity_steps(_row_steps(1440, SECTIONS_SQL), "section_name", None)
     _repeat_steps(_item_steps(steps))
@@ -390,9 +408,8 @@ def _bank_section_steps() -> _Steps:
     ),
 )
 def clean_qbank_sections(spark, sf_dir):
-    config = CleanConfig(question_bank=True, total_minutes=1440, min_items=2)
     inputs = CleanInputs(section_map=section_map(spark, sf_dir))
-    cleaned = clean(responses(spark, sf_dir), config, inputs).cleaned
+    cleaned = clean(responses(spark, sf_dir), BANK, inputs).cleaned
     return rounded(cleaned, *SECTION_RATIOS).select(
         *RUN_COLUMNS, *SECTION_COLUMNS, "actual_activity_order"
     )
@@ -483,7 +500,7 @@ REMOVED = ["responses_removed", "activities_removed", "users_removed", "items_re
 OMITTED = ["omitted_responses", "omitted_activities", "omitted_users"]
 
 
-def _funnel_sql(steps: _Steps) -> str:
+def _funnel_sql(steps: _Steps, **changed: str) -> str:
     each = " union all ".join(
         f"select {i} as step_no, '{step}' as step, count(*) as responses_left, "
         "count(distinct activity_id_hist) as activities_left, count(distinct student_id) as users_left, "
@@ -494,7 +511,7 @@ def _funnel_sql(steps: _Steps) -> str:
         f"coalesce(lag({left}) over (order by step_no) - {left}, 0) as {gone}"
         for left, gone in zip(LEFT, REMOVED)
     )
-    return steps.sql(f"select *, {removed} from ({each}) f")
+    return steps.sql(f"select *, {removed} from ({each}) f", **changed)
 
 
 def _omitted_sql(steps: _Steps, shown: list[str]) -> str:
@@ -509,7 +526,11 @@ def _omitted_sql(steps: _Steps, shown: list[str]) -> str:
     )
 
 
-@query("audit_funnel", _funnel_sql(_golden_steps()))
+def funnel_sql(**changed: str) -> str:
+    return _funnel_sql(_golden_steps(), **changed)
+
+
+@query("audit_funnel", funnel_sql())
 def audit_funnel(spark, sf_dir):
     return golden(spark, sf_dir, audit=True).audit.select("step_no", "step", *LEFT, *REMOVED)
 

@@ -187,7 +187,7 @@ def clean(
         removed.append(_omissions(part, config, config_treatment, marked))
         _content(part, config, inputs)
         unbounded.append(_scores(part, config, inputs))
-        scored.append(part.frame)
+        scored.append(_finished(part.frame, tags=audit))
 
     frame = _union(scored)
     if config.question_bank:
@@ -212,8 +212,10 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _finished(frame: DataFrame) -> DataFrame:
-    return frame.drop(*[c for c in frame.columns if c.startswith(_MARK)])
+def _finished(frame: DataFrame, tags: bool = False) -> DataFrame:
+    """The frame without helper columns, with or without the tags of the audit."""
+    kept = (DROP_STEP, OMIT_STEP) if tags else ()
+    return frame.drop(*[c for c in frame.columns if c.startswith(_MARK) and c not in kept])
 
 
 def _section_names(config: CleanConfig, inputs: CleanInputs) -> list[str]:

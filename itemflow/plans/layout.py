@@ -75,24 +75,28 @@ def by_aggregate(rows: DataFrame, activity: tuple[str, ...]) -> Branch:
     return Branch(rows, activity, by_saved_join, _order_by_join, _count_by_join)
 
 
+def student_hash() -> Column:
+    return F.xxhash64("student_id")
+
+
 def student_loads(responses: DataFrame) -> DataFrame:
-    """(student, rows, shared): rows per student, and whether an activity is shared.
+    """(student_hash, n_rows, shared): rows per student, and whether an activity is shared.
 
     Reads two columns and combines them per activity before the first shuffle.
+    Students are told apart by a 64-bit hash, a number that a hash aggregate can
+    keep in place; students with one hash are only counted together.
     """
-    student = F.col("student_id")
-    per_activity = responses.groupBy("activity_id_hist").agg(
-        F.count("*").alias("n"),
-        F.count(student).alias("known"),
-        F.min(student).alias("owner"),
-        F.max(student).alias("last_owner"),
-    )
-    shared = (F.col("owner") != F.col("last_owner")) | (
-        (F.col("known") > 0) & (F.col("known") < F.col("n"))
+    per_activity = (
+        responses.select("activity_id_hist", student_hash().alias("student_hash"))
+        .groupBy("activity_id_hist")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("student_hash").alias("student_hash"),
+            F.max("student_hash").alias("last_hash"),
+        )
     )
-    return per_activity.groupBy(F.col("owner").alias("student_id")).agg(
-        F.sum("n").alias("n_rows"),
-        F.max(F.coalesce(shared, F.lit(False))).alias("shared"),
+    return per_activity.groupBy("student_hash").agg(
+        F.sum("n").alias("n_rows"), F.max(F.col("student_hash") != F.col("last_hash")).alias("shared")
     )
 
 
@@ -113,10 +117,11 @@ def branches(responses: DataFrame, rows: DataFrame, layout: str, hot_rows: int =
     if (most.n_rows or 0) <= hot_rows:
         return [by_student(rows, most.total)]
     # at most total / hot_rows students
-    hot = checkpointed(loads.where(F.col("n_rows") > hot_rows).select("student_id"))
+    hot = checkpointed(loads.where(F.col("n_rows") > hot_rows).select("student_hash"))
+    hashed = rows.withColumn("student_hash", student_hash())
+    cold_rows = drop_members(hashed, hot, ["student_hash"], small=True).drop("student_hash")
+    hot_rows_only = keep_members(hashed, hot, ["student_hash"], small=True).drop("student_hash")
     return [
-        by_student(drop_members(rows, hot, ["student_id"], small=True), most.total),
-        by_aggregate(
-            keep_members(rows, hot, ["student_id"], small=True), ("student_id", "activity_id_hist")
-        ),
+        by_student(cold_rows, most.total),
+        by_aggregate(hot_rows_only, ("student_id", "activity_id_hist")),
     ]
