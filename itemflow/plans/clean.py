@@ -179,31 +179,32 @@ def clean(
     _row_rules(run, config, inputs)
     _flag_lists(run, config, inputs)
 
-    scored, marked, removed, unbounded = [], [], [], []
+    scored, marked, removed, pools = [], [], [], []
     for branch in branches(responses, run.frame, config.layout, config.hot_rows):
         part = _Run(branch.rows, audit, run.steps, run.omit_steps, branch)
         _activity_rules(part, config, inputs)
         _item_rules(part, config)
         removed.append(_omissions(part, config, config_treatment, marked))
         _content(part, config, inputs)
-        unbounded.append(_scores(part, config, inputs))
+        pools.append(_scores(part, config, inputs).select("content_item_name"))
         scored.append(_finished(part.frame, tags=audit))
 
     frame = _union(scored)
-    if config.question_bank:
-        pool = _union(unbounded)
-        frame = scoring.student_rates(frame, scoring.distinct_items(pool))
     if save_to is not None:
         frame.write.mode("overwrite").parquet(save_to)
         frame = frame.sparkSession.read.parquet(save_to)
-
     table = funnel(frame, run.steps, run.omit_steps) if audit else None
-    alive = frame.where(F.col(DROP_STEP).isNull()) if audit else frame
+    cleaned = _finished(frame.where(F.col(DROP_STEP).isNull()) if audit else frame)
+    if config.question_bank:
+        # without sections the items of the bank are those of the cleaned rows
+        saved = save_to is not None and not _has_sections(config, inputs)
+        pool = cleaned if saved else _union(pools)
+        cleaned = scoring.student_rates(cleaned, scoring.distinct_items(pool))
     return CleanResult(
-        cleaned=_finished(alive),
+        cleaned=cleaned,
         sections=_section_names(config, inputs),
-        marked_omits=_finished(_union(marked)) if marked else None,
-        removed_repeats=_finished(_union(removed)) if config_treatment == "remove" else None,
+        marked_omits=_union(marked) if marked else None,
+        removed_repeats=_union(removed) if config_treatment == "remove" else None,
         audit=table,
     )
 
@@ -218,6 +219,10 @@ def _finished(frame: DataFrame, tags: bool = False) -> DataFrame:
     return frame.drop(*[c for c in frame.columns if c.startswith(_MARK) and c not in kept])
 
 
+def _has_sections(config: CleanConfig, inputs: CleanInputs) -> bool:
+    return inputs.section_map is not None or config.section_separated
+
+
 def _section_names(config: CleanConfig, inputs: CleanInputs) -> list[str]:
     if inputs.section_map is None or not (config.section_separated or config.question_bank):
         return []
@@ -360,11 +365,11 @@ def _omissions(
         known = F.col("timestamp_created").isNotNull()
         run.frame = run.frame.withColumn("repeat_omitted", F.when(known, showing != F.col("__first")))
         if treatment == "remove":
-            removed = run.living().where("repeat_omitted")
+            removed = _finished(run.living().where("repeat_omitted"))
             run.keep("repeat_removed", ~F.col("repeat_omitted"))
         else:
             run.omit("repeat", F.col("repeat_omitted"))
-        marked.append(omissions.marked_omits(run.living()))
+        marked.append(_finished(omissions.marked_omits(run.living())))
     limits = omissions.timing_conditions(
         run.frame.columns, config.ms_min, config.ms_max, config.sec_min, config.sec_max
     )
@@ -401,7 +406,7 @@ def _scores(run: _Run, config: CleanConfig, inputs: CleanInputs) -> DataFrame:
     Returns the living rows whose items make up the pool of a question bank.
     """
     attach, activity = run.branch.attach, list(run.branch.activity)
-    sections = inputs.section_map is not None or config.section_separated
+    sections = _has_sections(config, inputs)
     expected = "actual_num_ques" if config.question_bank else "test_num_ques"
 
     if not sections:

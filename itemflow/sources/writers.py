@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -46,3 +47,18 @@ def write_matrices(matrices: Mapping[str, DataFrame], folder: str, prefix: str =
 
 def write_audit(audit: DataFrame, path: str) -> None:
     write_frame(audit, path, "json", order_by=["step_no"])
+
+
+def write_matrix_lines(lines: DataFrame, positions: DataFrame, path: str) -> None:
+    """A matrix of any number of items as CSV text, from ``matrix_lines``.
+
+    Each file starts with the header, as other CSV writers do it. The header is
+    the list of items: one line, as long as each line of the matrix.
+    """
+    items = positions.toDF("content_item_name", "position").orderBy("position").collect()
+    header = ",".join(["student_id", *[r.content_item_name for r in items]])
+    text = lines.orderBy("student_id").select(F.concat_ws(",", "student_id", "line").alias(header))
+    # the line holds its own commas, so the writer gets a separator that no line has
+    text.write.mode("overwrite").option("header", True).option("sep", "\u0001").option(
+        "escapeQuotes", False
+    ).csv(path)
