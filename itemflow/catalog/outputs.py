@@ -235,15 +235,13 @@ def matrix_summary(spark, sf_dir):
 
 
 def _exams(spark, sf_dir, templates):
-    cleaned = _cleaned(spark, sf_dir, 1)
-    return {
-        f"T{t}_": matrix.matrix_long(cleaned.where(F.col("template_id") == t), ["scored_response"])
-        for t in templates
-    }
+    cleaned = _cleaned(spark, sf_dir, 1).where(F.col("template_id").isin(*templates))
+    exam = F.concat(F.lit("T"), F.col("template_id").cast("string"), F.lit("_"))
+    return matrix.matrix_long(cleaned.withColumn("exam", exam), ["scored_response"], by=["exam"])
 
 
-def _combined(exams, id_column: str = "student_id"):
-    items = {prefix: TENS for prefix in exams}
+def _combined(exams, templates, id_column: str = "student_id"):
+    items = {f"T{t}_": TENS for t in templates}
     return combine.combine_long(exams, "scored_response", items, ".", "-99", id_column)
 
 
@@ -267,20 +265,26 @@ def _combined_sql(templates, source: str = "coded", id_column: str = "student_id
 
 @query("combine_full", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_combined_sql((1, 2, 3, 4, 5))}"))
 def combine_full(spark, sf_dir):
-    return _combined(_exams(spark, sf_dir, (1, 2, 3, 4, 5)))
+    templates = (1, 2, 3, 4, 5)
+    return _combined(_exams(spark, sf_dir, templates), templates)
 
 
-@query(
-    "combine_fold",
-    with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_combined_sql((1, 2))}"),
-)
+@query("combine_fold", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_combined_sql((1, 2))}"))
 def combine_fold(spark, sf_dir):
-    exams = _exams(spark, sf_dir, (1, 2))
+    long = _exams(spark, sf_dir, (1, 2))
+    exams = {prefix: long.where(F.col("exam") == prefix).drop("exam") for prefix in ("T1_", "T2_")}
     return combine.combine_wide(
-        {p: matrix.matrix_wide(long, "scored_response", TENS, ".", "-99") for p, long in exams.items()}
+        {p: matrix.matrix_wide(one, "scored_response", TENS, ".", "-99") for p, one in exams.items()}
     )
 
 
+@query("combine_stacked", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_combined_sql((4, 5))}"))
+def combine_stacked(spark, sf_dir):
+    long = _exams(spark, sf_dir, (4, 5))
+    exams = {prefix: long.where(F.col("exam") == prefix).drop("exam") for prefix in ("T4_", "T5_")}
+    return _combined(combine.stack_exams(exams), (4, 5))
+
+
 def _users(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(
         F.col("c_name").alias("user_id"), F.col("c_custkey").cast("string").alias("student_id")
@@ -290,13 +294,10 @@ def _users(spark, sf_dir):
 def _first_source(spark, sf_dir):
     """Exams of the source that knows students by their user id only."""
     users = _users(spark, sf_dir)
-    exams = {
-        prefix: long.join(users, "student_id").drop("student_id")
-        for prefix, long in _exams(spark, sf_dir, (1, 2)).items()
-    }
+    exams = _exams(spark, sf_dir, (1, 2)).join(users, "student_id").drop("student_id")
     # a tenth of the users is not in the lookup
     lookup = users.where(~F.col("student_id").endswith("3"))
-    return combine.with_student_ids(_combined(exams, "user_id"), lookup)
+    return combine.with_student_ids(_combined(exams, (1, 2), "user_id"), lookup)
 
 
 _FIRST = (
@@ -319,4 +320,6 @@ def combine_lookup(spark, sf_dir):
     ),
 )
 def combine_sources(spark, sf_dir):
-    return combine.combine_sources(_first_source(spark, sf_dir), _combined(_exams(spark, sf_dir, (3, 4, 5))))
+    templates = (3, 4, 5)
+    second = _combined(_exams(spark, sf_dir, templates), templates)
+    return combine.combine_sources(_first_source(spark, sf_dir), second)

@@ -29,16 +29,19 @@ def value_counts(values: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def summarise_counts(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+def summarise_counts(counts: DataFrame, by: Sequence[str], saved: bool = False) -> DataFrame:
     """Minimum, quartiles, mean and maximum of a (by..., value, n) frame.
 
     Quartiles interpolate linearly between the two nearest order statistics.
     The ranks they need are found first among buckets of neighbouring values, so
     the only values that are sorted are those of the few buckets that hold a
-    wanted rank.
+    wanted rank. The counts are read twice, and checkpointed unless they come
+    from saved rows.
     """
     by = list(by)
-    counts = checkpointed(counts.withColumn("bucket", _bucket(F.col("value"))))
+    counts = counts.withColumn("bucket", _bucket(F.col("value")))
+    if not saved:
+        counts = checkpointed(counts)
     totals = counts.groupBy(*by).agg(
         F.sum("n").alias("n_values"),
         F.min("value").alias("minimum"),

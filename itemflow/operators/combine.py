@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from itemflow.operators.joins import check_unique, equi_join, natural_join
 from itemflow.operators.matrix import CODED_VARIABLES, NOT_SHOWN, _cell, pivoted, with_cell_state
 
+# No item is called this.
+_TAKEN = "\u0000taken"
+
 
 def prefixed(matrix: DataFrame, prefix: str, id_column: str) -> DataFrame:
     """Put the exam in front of every item column."""
@@ -27,42 +30,48 @@ def combine_wide(matrices: Mapping[str, DataFrame], id_column: str = "student_id
     return reduce(lambda a, b: equi_join(a, b, [id_column], "full"), frames)
 
 
+def stack_exams(longs: Mapping[str, DataFrame]) -> DataFrame:
+    """Long matrices of several exams as one, with the exam's prefix in ``exam``."""
+    return reduce(
+        DataFrame.unionByName, [long.withColumn("exam", F.lit(prefix)) for prefix, long in longs.items()]
+    )
+
+
 def combine_long(
-    longs: Mapping[str, DataFrame],
+    long: DataFrame,
     variable: str,
     items: Mapping[str, Sequence[str]],
     omit_code: str = "5",
     not_seen_code: str = "6",
     id_column: str = "student_id",
 ) -> DataFrame:
-    """The same table as ``combine_wide`` over the long matrices, in one pivot.
+    """The same table as ``combine_wide``, from a long matrix with an ``exam`` column.
 
-    Each exam adds one column that says whether the student has any row in it;
-    inside an exam taken, an item without a row was not seen.
+    One pivot for all exams. Each exam adds one column that says whether the
+    student has any row in it; inside an exam taken, an item without a row was
+    not seen.
     """
     if variable not in CODED_VARIABLES:
         not_seen_code = NOT_SHOWN
-    parts = []
-    for prefix, long in longs.items():
-        long = long.withColumnRenamed(id_column, "student_id")
-        cells = with_cell_state(long, variable).select(
-            "student_id",
-            F.concat(F.lit(prefix), "content_item_name").alias("content_item_name"),
-            F.col("value").cast("bigint").alias("value"),
-            F.when(F.col("cell_state") == "omitted", 0).otherwise(1).alias("state"),
-        )
-        taken = F.struct(
-            F.lit(_taken(prefix)).alias("content_item_name"),
-            F.lit(1).cast("bigint").alias("value"),
-            F.lit(1).alias("state"),
-        )
-        cell = F.struct("content_item_name", "value", "state")
-        parts.append(cells.select("student_id", F.inline(F.array(cell, taken))))
+    long = long.withColumnRenamed(id_column, "student_id").where(F.col("exam").isin(*items))
+    cells = with_cell_state(long, variable, ["exam"]).select(
+        "student_id",
+        F.concat("exam", "content_item_name").alias("content_item_name"),
+        F.col("value").cast("bigint").alias("value"),
+        F.when(F.col("cell_state") == "omitted", 0).otherwise(1).alias("state"),
+        F.concat("exam", F.lit(_TAKEN)).alias("taken"),
+    )
+    cell = F.struct("content_item_name", "value", "state")
+    taken = F.struct(
+        F.col("taken").alias("content_item_name"), F.lit(1).cast("bigint").alias("value"), F.lit(1).alias("state")
+    )
     columns = [(prefix, name) for prefix, names in items.items() for name in names]
     wanted = [prefix + name for prefix, name in columns]
     marks = {prefix: len(wanted) + i for i, prefix in enumerate(items)}
     wide = pivoted(
-        reduce(DataFrame.unionByName, parts), "student_id", wanted + [_taken(p) for p in items]
+        cells.select("student_id", F.inline(F.array(cell, taken))),
+        "student_id",
+        wanted + [prefix + _TAKEN for prefix in items],
     )
     return wide.select(
         F.col("student_id").alias(id_column),
@@ -75,10 +84,6 @@ def combine_long(
     )
 
 
-def _taken(prefix: str) -> str:
-    return prefix + "\u0000taken"
-
-
 def with_student_ids(combined: DataFrame, lookup: DataFrame, id_column: str = "user_id") -> DataFrame:
     """Add the student of each user id; users without one are dropped."""
     check_unique(lookup, [id_column], "the id lookup")

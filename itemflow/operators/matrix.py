@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from itemflow.functions.checkpoints import checkpointed
 from itemflow.functions.columns import count_where, grouped, strict_sum
 from itemflow.functions.quantiles import summarise_counts
 from itemflow.operators.joins import natural_join
@@ -35,19 +36,23 @@ OMIT_CODE, NOT_SEEN_CODE = ".", "-99"
 OMIT_INCORRECT_NAME = "Item_Scores_Omit_Incorrect"
 
 
-def matrix_long(frame: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """(student, item, seen, attempted, sum of each variable) for every shown item."""
-    return frame.groupBy(*CELL).agg(
+def matrix_long(frame: DataFrame, variables: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(student, item, seen, attempted, sum of each variable) for every shown item.
+
+    ``by`` adds keys, so that the matrices of several exams come out of one pass.
+    """
+    return frame.groupBy(*by, *CELL).agg(
         F.count("*").alias("seen"),
         count_where(F.col("attempted"))(grouped).alias("attempted"),
         *[strict_sum(F.col(v))(grouped).alias(v) for v in variables],
     )
 
 
-def with_cell_state(long: DataFrame, variable: str) -> DataFrame:
+def with_cell_state(long: DataFrame, variable: str, by: Sequence[str] = ()) -> DataFrame:
     """(student, item, value, cell_state) of one variable."""
     coded = F.lit(variable in CODED_VARIABLES) & (F.col("attempted") == 0)
     return long.select(
+        *by,
         *CELL,
         F.col(variable).alias("value"),
         F.when(coded, "omitted").otherwise("value").alias("cell_state"),
@@ -207,40 +212,48 @@ def omit_incorrect_matrix(cleaned: DataFrame, items: Sequence[str]) -> DataFrame
 def matrix_summary(long: DataFrame, variables: Sequence[str]) -> DataFrame:
     """Size and six-number summary of each dense matrix, empty cells counted as 0.
 
-    The empty cells are only counted: they enter as one value with a weight.
+    One pass counts how often each value, student and item occurs. The empty
+    cells are only counted: they enter as one value with a weight.
     """
-    long_values = long.select(
-        "student_id", "content_item_name",
+
+    def entry(kind: str, key: Column, value: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("variable"),
+            key.cast("string").alias("key"),
+            value.cast("double").alias("value"),
+        )
+
+    nothing = F.lit(None)
+    entries = long.select(
         F.inline(
-            F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("value")) for v in variables])
-        ),
+            F.array(
+                *[entry(name, F.col(name), nothing) for name in CELL],
+                *[entry(v, nothing, F.col(v)) for v in variables],
+            )
+        )
     )
-    sizes = long.agg(
-        F.count("*").alias("n_cells"),
-    ).withColumns(
-        {
-            "n_students": long.select("student_id").distinct().agg(F.count("*")).scalar(),
-            "n_items": long.select("content_item_name").distinct().agg(F.count("*")).scalar(),
-        }
-    )
-    empty = sizes.select(
-        F.explode(F.array(*[F.lit(v) for v in variables])).alias("variable"),
-        F.lit(0.0).alias("value"),
-        (F.col("n_students") * F.col("n_items") - F.col("n_cells")).alias("n"),
-        "n_students",
-        "n_items",
-    )
-    shown = (
-        long_values.where(F.col("value").isNotNull())
-        .groupBy("variable", "value")
-        .agg(F.count("*").alias("n"))
+    counts = checkpointed(entries.groupBy("variable", "key", "value").agg(F.count("*").alias("n")))
+    # one row per variable, plus one each for the students and the items
+    sizes = {
+        r.variable: r
+        for r in counts.groupBy("variable").agg(F.count("*").alias("kinds"), F.sum("n").alias("cells")).collect()
+    }
+    if not sizes:
+        n_students = n_items = n_cells = 0
+    else:
+        n_students, n_items = (sizes[name].kinds for name in CELL)
+        n_cells = sizes[CELL[0]].cells
+    spark = long.sparkSession
+    empty = spark.createDataFrame(
+        [(v, 0.0, n_students * n_items - n_cells) for v in variables], "variable string, value double, n long"
     )
-    counts = (
-        shown.unionByName(empty.where("n > 0").select("variable", "value", "n"))
+    shown = counts.where(F.col("variable").isin(*variables) & F.col("value").isNotNull())
+    values = (
+        shown.select("variable", "value", "n")
+        .unionByName(empty.where("n > 0"))
         .groupBy("variable", "value")
         .agg(F.sum("n").alias("n"))
     )
-    summary = summarise_counts(counts, ["variable"])
-    return summary.withColumns(
-        {"n_students": sizes.select("n_students").scalar(), "n_items": sizes.select("n_items").scalar()}
+    return summarise_counts(values, ["variable"], saved=True).withColumns(
+        {"n_students": F.lit(n_students).cast("bigint"), "n_items": F.lit(n_items).cast("bigint")}
     )

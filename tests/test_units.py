@@ -444,7 +444,7 @@ def test_combined_matrices_agree(spark):
         "B_": matrix.matrix_long(matrix_frame(spark).where("student_id = 's2'"), ["scored_response"]),
     }
     items = {"A_": ["i1", "i2", "i3"], "B_": ["i3", "i4"]}
-    fast = combine.combine_long(exams, "scored_response", items, ".", "-99")
+    fast = combine.combine_long(combine.stack_exams(exams), "scored_response", items, ".", "-99")
     slow = combine.combine_wide(
         {p: matrix.matrix_wide(long, "scored_response", items[p], ".", "-99") for p, long in exams.items()}
     )
