@@ -230,6 +230,34 @@ def flagship_activity_scores(spark, sf_dir):
     )
 
 
+def _over_time_steps() -> _Steps:
+    steps = _map_steps(_row_steps(), 8)
+    steps.drop_activities("scored_without_response", "scored_response = 1 and raw_response is null")
+    steps.drop_activities("negative_time", "milliseconds_used < 0")
+    steps.add(
+        "select * from {t} where activity_id_hist not in (select activity_id_hist from {t} "
+        "group by activity_id_hist having sum(milliseconds_used / 60000.0) > 2.0)",
+        "over_time",
+    )
+    _repeat_steps(_item_steps(_activity_steps(steps)))
+    steps.add(f"select *, {tallies_sql('template', _ACTIVITY)} from {{t}}")
+    return steps.keep(
+        "below_threshold",
+        "cast(template_num_attempted as double) / nullif(test_num_ques, 0) >= test_response_threshold",
+    )
+
+
+@query(
+    "clean_over_time",
+    _over_time_steps().sql("select response_id, activity_id_hist, attempted, repeat_omitted from {t}"),
+)
+def clean_over_time(spark, sf_dir):
+    config = CleanConfig(total_minutes=1440, remove_over_time=True)
+    inputs = CleanInputs(test_map=test_map(spark, sf_dir, minutes=2.0))
+    cleaned = clean(responses(spark, sf_dir), config, inputs).cleaned
+    return cleaned.select("response_id", "activity_id_hist", "attempted", "repeat_omitted")
+
+
 # Sections -------------------------------------------------------------------------
 
 

@@ -140,7 +140,9 @@ def with_responses(body: str, **changed: str) -> str:
 # Maps -------------------------------------------------------------------------
 
 
-def test_map(spark: SparkSession, sf_dir: str, num_ques: int | None = 8) -> DataFrame:
+def test_map(
+    spark: SparkSession, sf_dir: str, num_ques: int | None = 8, minutes: float = 1440.0
+) -> DataFrame:
     """One row per template; without a number, templates expect 4 to 8 questions."""
     templates = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("template_name")).distinct()
     by_template = F.substring("template_name", 1, 1).cast("int") + 3
@@ -148,7 +150,7 @@ def test_map(spark: SparkSession, sf_dir: str, num_ques: int | None = 8) -> Data
         "template_name",
         (by_template if num_ques is None else F.lit(num_ques)).alias("num_ques"),
         F.lit(0.25).alias("response_threshold"),
-        F.lit(1440.0).alias("minutes_allowed"),
+        F.lit(minutes).alias("minutes_allowed"),
     )
 
 

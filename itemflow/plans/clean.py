@@ -419,21 +419,22 @@ def _scores(run: _Run, config: CleanConfig, inputs: CleanInputs) -> DataFrame:
         if config.min_items is not None:
             run.drop("below_threshold", scoring.below_bank_minimum(config.min_items))
         run.frame = scoring.student_tallies(run.frame, attach, run.alive)
-        run.frame = run.branch.order_activities(run.frame, _alive(run))
+        run.frame = run.branch.order_activities(run.frame, run.alive)
         return run.living()
 
     _need(run.frame, "section_name", "section_num_ques")
-    run.frame = scoring.student_tallies(run.frame, attach, run.alive)
+    # longest key first: rows sorted by section, activity and student serve all three
+    run.frame = scoring.section_scores(run.frame, attach, activity, run.alive)
     run.frame = scoring.activity_scores(
         run.frame, expected, attach, activity, run.alive, with_omitted=False
     )
-    run.frame = scoring.section_scores(run.frame, attach, activity, run.alive)
+    run.frame = scoring.student_tallies(run.frame, attach, run.alive)
     pool = run.living()
 
     if config.question_bank:
         if config.min_items is not None:
             run.drop("below_threshold", scoring.below_bank_minimum(config.min_items))
-            run.frame = run.branch.order_activities(run.frame, _alive(run))
+            run.frame = run.branch.order_activities(run.frame, run.alive)
         return pool
 
     run.frame = _expected_of_student(run, config, inputs)
@@ -450,10 +451,6 @@ def _scores(run: _Run, config: CleanConfig, inputs: CleanInputs) -> DataFrame:
     return pool
 
 
-def _alive(run: _Run) -> Column:
-    return run.alive if run.tagged else F.lit(True)
-
-
 def _need(frame: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in frame.columns]
     if missing:
@@ -468,5 +465,5 @@ def _expected_of_student(run: _Run, config: CleanConfig, inputs: CleanInputs) ->
         if by_sections
         else _total(inputs.test_map, "num_ques")
     )
-    run.frame = run.branch.count_activities(run.frame, _alive(run))
+    run.frame = run.branch.count_activities(run.frame, run.alive)
     return scoring.student_rates(run.frame, F.col("__activities") * F.lit(questions))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from itemflow.functions.checkpoints import checkpointed
@@ -36,31 +36,44 @@ class Branch:
     rows: DataFrame
     activity: tuple[str, ...]
     attach: Attach
-    order_activities: Callable[[DataFrame, Column], DataFrame]
-    count_activities: Callable[[DataFrame, Column], DataFrame]
+    order_activities: Callable[[DataFrame, Column | None], DataFrame]
+    count_activities: Callable[[DataFrame, Column | None], DataFrame]
 
 
-def _order_by_window(frame: DataFrame, alive: Column) -> DataFrame:
+def _of_student(alive: Column | None) -> WindowSpec:
+    """A student's rows; removed rows, where they are kept, form a window of their own."""
+    return Window.partitionBy("student_id", *([] if alive is None else [alive]))
+
+
+def _living(frame: DataFrame, alive: Column | None) -> DataFrame:
+    return frame if alive is None else frame.where(alive)
+
+
+def _order_by_window(frame: DataFrame, alive: Column | None) -> DataFrame:
     start = F.col("timestamp_created")
-    by_start = Window.partitionBy("student_id", alive).orderBy(start.asc_nulls_last(), "activity_id_hist")
-    rank = F.when(alive & start.isNotNull(), F.dense_rank().over(by_start))
+    by_start = _of_student(alive).orderBy(start.asc_nulls_last(), "activity_id_hist")
+    ranked = start.isNotNull() if alive is None else alive & start.isNotNull()
+    rank = F.when(ranked, F.dense_rank().over(by_start))
     return frame.withColumn("actual_activity_order", rank.cast("bigint"))
 
 
-def _order_by_join(frame: DataFrame, alive: Column) -> DataFrame:
-    order = activity_order(frame.where(alive))
+def _order_by_join(frame: DataFrame, alive: Column | None) -> DataFrame:
+    order = activity_order(_living(frame, alive))
     return equi_join(frame, order, ["student_id", "activity_id_hist", "timestamp_created"], "left")
 
 
-def _count_by_window(frame: DataFrame, alive: Column) -> DataFrame:
-    student = Window.partitionBy("student_id", alive)
+def _count_by_window(frame: DataFrame, alive: Column | None) -> DataFrame:
+    student = _of_student(alive)
     place = F.dense_rank().over(student.orderBy("activity_id_hist"))
-    return frame.withColumn("__place", place).withColumn("__activities", F.max("__place").over(student))
+    placed = frame.withColumn("__place", place)
+    return placed.withColumn("__activities", F.max("__place").over(student)).drop("__place")
 
 
-def _count_by_join(frame: DataFrame, alive: Column) -> DataFrame:
-    taken = activities_per_student(frame.where(alive)).withColumnRenamed("num_activities", "__activities")
-    return equi_join(frame, taken, ["student_id"], "left")
+def _count_by_join(frame: DataFrame, alive: Column | None) -> DataFrame:
+    taken = activities_per_student(_living(frame, alive)).withColumnRenamed(
+        "num_activities", "__activities"
+    )
+    return equi_join(frame, checkpointed(taken), ["student_id"], "left")
 
 
 def by_student(rows: DataFrame, n_rows: int | None = None) -> Branch:

@@ -498,6 +498,43 @@ def test_sections_without_their_columns(spark):
         clean(frame(spark, {}), CleanConfig(section_separated=True), CleanInputs(test_map=test_map))
 
 
+def test_sections_from_the_data(spark):
+    test_map = spark.createDataFrame(
+        [("T1", 2, 0.5, 1.0)], "template_name string, num_ques int, response_threshold double, minutes_allowed double"
+    )
+    df = frame(
+        spark,
+        {"section_name": "S1"},
+        {"section_name": "S2", "content_item_id": 2, "raw_response": 0, "scored_response": 0},
+        {"section_name": "S1", "activity_id_hist": 2, "content_item_id": 3, "timestamp_created": DAY2},
+    ).withColumns({"section_num_ques": F.lit(1), "section_response_threshold": F.lit(0.5)})
+    for layout in ("student", "aggregate"):
+        config = CleanConfig(section_separated=True, layout=layout)
+        out = clean(df, config, CleanInputs(test_map=test_map)).cleaned
+        # one weak section removes the whole first activity; the rates were taken before
+        assert by_id(out, "overall_raw_correct", "overall_pTotal") == {"r2": (2, 0.5)}
+
+
+def test_removed_repeats_are_returned_by_every_layout(spark):
+    test_map = spark.createDataFrame(
+        [("T1", 2, 0.0, 1.0)], "template_name string, num_ques int, response_threshold double, minutes_allowed double"
+    )
+    df = frame(
+        spark,
+        *[
+            {"student_id": s, "activity_id_hist": a + n, "timestamp_created": t}
+            for a, s in ((10, "s1"), (20, "s2"))
+            for n, t in ((1, DAY1), (2, DAY2), (3, None))
+        ],
+    )
+    for options in ({"layout": "student"}, {"layout": "aggregate"}, {"layout": "auto", "hot_rows": 2}):
+        removing = clean(df, CleanConfig(repeat_treatment="remove", **options), CleanInputs(test_map=test_map))
+        assert (ids(removing.cleaned), ids(removing.removed_repeats)) == (["r0", "r3"], ["r1", "r4"])
+        omitting = clean(df, CleanConfig(**options), CleanInputs(test_map=test_map))
+        assert ids(omitting.marked_omits) == ["r1", "r4"]
+        assert ids(omitting.cleaned) == ["r0", "r1", "r2", "r3", "r4", "r5"]
+
+
 def test_letters_are_recoded_after_the_activity_rules(spark):
     test_map = spark.createDataFrame(
         [("T1", 2, 0.5, 1.0)], "template_name string, num_ques int, response_threshold double, minutes_allowed double"
