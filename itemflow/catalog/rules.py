@@ -176,7 +176,7 @@ def repeat_enrollments(spark, sf_dir):
     "over_time",
     _without(
         "select activity_id_hist from responses group by activity_id_hist "
-        "having sum(milliseconds_used / 60000.0) > 3.0"
+        "having sum(milliseconds_used) / 60000.0 > 3.0"
     ),
 )
 def over_time(spark, sf_dir):
@@ -189,7 +189,7 @@ def over_time(spark, sf_dir):
     with_responses(
         f"with timed as (select r.*, minutes_allowed from responses r join {SECTIONS_SQL} s "
         "on r.section_name = s.section_name), bad as (select distinct activity_id_hist from "
-        "(select activity_id_hist, section_name, minutes_allowed, sum(milliseconds_used / 60000.0) as used "
+        "(select activity_id_hist, section_name, minutes_allowed, sum(milliseconds_used) / 60000.0 as used "
         "from timed group by all) g where used > minutes_allowed / 2) "
         f"select {ID_SQL} from responses r where not exists "
         "(select 1 from bad b where b.activity_id_hist = r.activity_id_hist)"

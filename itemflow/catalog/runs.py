@@ -236,7 +236,7 @@ def _over_time_steps() -> _Steps:
     steps.drop_activities("negative_time", "milliseconds_used < 0")
     steps.add(
         "select * from {t} where activity_id_hist not in (select activity_id_hist from {t} "
-        "group by activity_id_hist having sum(milliseconds_used / 60000.0) > 2.0)",
+        "group by activity_id_hist having sum(milliseconds_used) / 60000.0 > 2.0)",
         "over_time",
     )
     _repeat_steps(_item_steps(_activity_steps(steps)))

@@ -102,12 +102,16 @@ def bad_repeat_administrations(frame: DataFrame) -> DataFrame:
 
 
 def bad_over_time(frame: DataFrame, part: Sequence[str] = ()) -> DataFrame:
-    """Activities (or sections of them) that took more minutes than allowed."""
-    minutes = strict_sum(milliseconds_to_minutes(F.col("milliseconds_used")))
+    """Activities (or sections of them) that took more minutes than allowed.
+
+    Whole milliseconds are summed, so that no order of rows decides a time that
+    is exactly the limit.
+    """
+    used = strict_sum(F.col("milliseconds_used"))
     return (
         frame.groupBy(*ACTIVITY, *part, "test_minutes_allowed")
-        .agg(minutes(grouped).alias("minutes_used"))
-        .where(F.col("minutes_used") > F.col("test_minutes_allowed"))
+        .agg(used(grouped).alias("time_used"))
+        .where(milliseconds_to_minutes(F.col("time_used")) > F.col("test_minutes_allowed"))
         .select(*ACTIVITY)
         .distinct()
     )

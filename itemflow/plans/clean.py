@@ -307,9 +307,9 @@ def _activity_rules(run: _Run, config: CleanConfig, inputs: CleanInputs) -> None
         bad = {"scored_without_response": exclusions.scored_without_response(config.no_response)} | bad
     if config.remove_over_time:
         place = ["section_name"] if inputs.section_map is not None else []
-        minutes = milliseconds_to_minutes(F.col("milliseconds_used"))
-        run.attach([*activity, *place], {"__minutes": strict_sum(minutes, run.alive)})
-        bad["over_time"] = F.col("__minutes") > F.col("test_minutes_allowed")
+        used = strict_sum(F.col("milliseconds_used"), run.alive)
+        run.attach([*activity, *place], {"__time_used": used})
+        bad["over_time"] = milliseconds_to_minutes(F.col("__time_used")) > F.col("test_minutes_allowed")
     if not config.question_bank:
         bad["too_many_questions"] = F.col("actual_num_ques") > F.col(allowed)
     run.attach([*activity, "content_item_name"], {"__shown": count_where(rows.is_not_staged(), run.alive)})
