@@ -1,10 +1,65 @@
-"""A training-data pipeline over ``documents``: each stage works on all that the one before it kept."""
+"""From raw documents to token ids: each stage works on all that the one before it kept."""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from itemflow.llm.common import saved, table
+from itemflow.llm.line_dedup import without_repeated_lines
+from itemflow.llm.mixing import mixed_documents
+from itemflow.llm.quality import quality_verdicts
+from itemflow.llm.simhash import one_of_each
+from itemflow.llm.unigram import decode_documents, encode_documents
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality_verdicts(docs, docs.columns).where("kept").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without later copies of runs of lines."""
+    others = [c for c in docs.columns if c != "text"]
+    kept = without_repeated_lines(docs, others)
+    changed = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("bigint")}
+    return kept.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return one_of_each(docs, words=3, most=2)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources: a document stands as many times as it is taken."""
+    return mixed_documents(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, with whether they decode to its text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    ids = encode_documents(docs, model, docs.columns)
+    decoded = decode_documents(ids, model, [*docs.columns, "ids"])
+    round_trip = (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip")
+    return decoded.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_tokens"), "ids", round_trip)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("simhash near-dedup", near_copies),
+    ("mixing to target weights", mixture),
+    ("sentencepiece", tokens),
+]
+
+# No SQL for robust outliers, SimHash or the mix; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemflow.llm.common import table
+from itemflow.llm.line_dedup import without_repeated_lines
+from itemflow.llm.mixing import mixed_rows
 from itemflow.llm.quality import quality_verdicts
 from itemflow.llm.simhash import near_duplicates
 from itemflow.llm.substring_dedup import without_repeats
+from itemflow.llm.token_files import read_token_files, write_token_files
+from itemflow.llm.unigram import decode_documents, encode_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +52,11 @@ from words d left join kept k using (doc_id)
 """
 
 
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_rows(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -56,3 +66,29 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"], words=3, most=2)
     return marked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_repeated_lines(table(spark, sf_dir, "documents"), ["doc_id"])
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(files)
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = encode_documents(rows, model, ["doc_id", "text"])
+    decoded = decode_documents(ids, model, ["doc_id", "text", "ids"])
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.crc32(F.concat_ws(" ", F.col("ids").cast("array<string>"))).alias("ids_crc32"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
