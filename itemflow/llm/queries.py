@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from itemflow.llm.common import table
 from itemflow.llm.line_dedup import without_repeated_lines
 from itemflow.llm.mixing import mixed_rows
+from itemflow.llm.nn_descent import near_vectors
 from itemflow.llm.quality import quality_verdicts
 from itemflow.llm.simhash import near_duplicates
 from itemflow.llm.substring_dedup import without_repeats
+from itemflow.llm.toxicity import toxicity
 from itemflow.llm.token_files import read_token_files, write_token_files
 from itemflow.llm.unigram import decode_documents, encode_documents
 
@@ -26,6 +28,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+
+
 @query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = without_repeats(table(spark, sf_dir, "documents"))
@@ -62,6 +69,26 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+@query
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+ORACLES["op6_embedding_near_dedup"] = """
+with recursive v as (
+  select vec_id, label, cast(embedding as double[]) as e from embeddings),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+reached as (
+  select vec_id as a, vec_id as b from v union select r.a, l.b from reached r join links l on r.b = l.a),
+parts as (select a as vec_id, min(b) as component_id from reached group by a),
+counts as (select a as vec_id, count(*) as n from links group by a)
+select p.vec_id, cast(coalesce(c.n, 0) as bigint) as n_links, p.component_id, p.vec_id = p.component_id as kept
+from parts p left join counts c using (vec_id)
+"""
+
+
 @query
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"], words=3, most=2)
