@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from itemflow.llm.chat import rotate
 from itemflow.llm.common import table
 from itemflow.llm.line_dedup import without_repeated_lines
 from itemflow.llm.mixing import mixed_rows
@@ -64,6 +65,34 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_rows(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rendered = rotate(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda x: F.concat_ws("-", x["from"], x["to"]))
+    return rendered.withColumn("mask", F.array_join(spans, ","))
+
+
+ORACLES["op4_chat_rotation"] = r"""
+with turns as (
+  select conv_id, replace(coalesce(role, ''), '<|', '< |') as speaker, replace(coalesce(text, ''), '<|', '< |') as text,
+    row_number() over (partition by conv_id order by turn nulls last, replace(coalesce(role, ''), '<|', '< |'), text) - 1 as number
+  from conversations),
+participants as (select distinct conv_id, speaker as participant from turns where lower(speaker) <> 'system'),
+said as (
+  select t.conv_id, p.participant, t.number // 128 as piece, t.number, t.speaker = p.participant as own,
+    '<|im_start|>' || case when t.speaker = p.participant then 'assistant' when lower(t.speaker) = 'system' then 'system'
+      else 'user name=' || t.speaker end || chr(10) as head,
+    t.text || '<|im_end|>' || chr(10) as body
+  from turns t join participants p on t.conv_id is not distinct from p.conv_id),
+placed as (
+  select *, sum(length(head) + length(body)) over (partition by conv_id, participant, piece order by number) as stop from said)
+select conv_id, participant, cast(piece as bigint) as piece, count(*) as n_turns,
+  string_agg(head || body, '' order by number) as text,
+  string_agg(cast(stop - length(body) as bigint) || '-' || cast(stop as bigint), ',' order by number) filter (where own) as mask
+from placed group by conv_id, participant, piece
+"""
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
