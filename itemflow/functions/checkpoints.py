@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:
     """The frame read back from the checkpoint folder of the session.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary folder.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; without that
+    setting it is one inside the warehouse, which is shared as well.
     """
     spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="itemflow-")
-        context.setCheckpointDir(folder)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
     return frame.checkpoint()

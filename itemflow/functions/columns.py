@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 # Answer letters and the option numbers they stand for.
 LETTER_CODES = {"A": 1, "B": 2, "C": 3, "D": 4}
@@ -85,9 +86,16 @@ def is_deleted_name(template_name: Column) -> Column:
     return F.coalesce(template_name.rlike(DELETED_TEMPLATE_PATTERN), F.lit(False))
 
 
-def is_attempted(raw_response: Column) -> Column:
-    """A response counts as attempted unless it is missing or 0."""
-    return F.coalesce(raw_response != 0, F.lit(False))
+def is_attempted(raw_response: Column, text: bool = False) -> Column:
+    """A response counts as attempted unless it is missing or 0; ``text``: the column holds text."""
+    return F.coalesce(raw_response != ("0" if text else 0), F.lit(False))
+
+
+def cast_or_refuse(text: Column, kind: DataType, name: str) -> Column:
+    """The text as the type; one that is no such value stops the run and is named in the error."""
+    value = text.try_cast(kind)
+    refused = F.raise_error(F.concat(F.lit(f"{name} holds no {kind.simpleString()}: "), text)).cast(kind)
+    return F.when(text.isNotNull() & value.isNull(), refused).otherwise(value)
 
 
 def zero_where(value: Column, flag: Column) -> Column:

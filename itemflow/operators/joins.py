@@ -8,21 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it was counted and holds no more rows than this.
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark the frame for broadcast if a count shows that it is small.
-
-    Beyond the bound the frame is left as it is: the join is then shuffled, and
-    adaptive execution splits its hot keys.
-    """
-    if frame.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(frame)
-    return frame
-
-
 def null_safe_equal(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"__{k}"]) for k in keys])
 
@@ -31,12 +16,14 @@ def _marked(right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return right.withColumnsRenamed({k: f"__{k}" for k in keys})
 
 
-def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, small: bool = False) -> DataFrame:
-    """Join on named keys, null matching null, with one copy of each key."""
+def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on named keys, null matching null, with one copy of each key.
+
+    Whether a side is broadcast is left to its size in bytes, known from files or, once
+    it has been computed, by adaptive execution.
+    """
     right = _marked(right, keys)
-    joined = left.join(
-        broadcast_if_small(right) if small else right, null_safe_equal(left, right, keys), how
-    )
+    joined = left.join(right, null_safe_equal(left, right, keys), how)
     if how in ("left_semi", "left_anti"):
         return joined
     if how in ("full", "right"):
@@ -44,30 +31,28 @@ def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
     return joined.drop(*[f"__{k}" for k in keys])
 
 
-def natural_join(left: DataFrame, right: DataFrame, how: str = "inner", small: bool = False) -> DataFrame:
+def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on every shared column name, null matching null."""
     keys = [c for c in left.columns if c in right.columns]
     if not keys:
         raise ValueError("the two frames share no column")
-    return equi_join(left, right, keys, how, small)
+    return equi_join(left, right, keys, how)
 
 
-def keep_members(frame: DataFrame, members: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
+def keep_members(frame: DataFrame, members: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys are listed."""
-    return equi_join(frame, members.select(*keys), keys, "left_semi", small)
+    return equi_join(frame, members.select(*keys), keys, "left_semi")
 
 
-def drop_members(frame: DataFrame, members: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
+def drop_members(frame: DataFrame, members: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys are not listed; a null that is not listed stays."""
-    return equi_join(frame, members.select(*keys), keys, "left_anti", small)
+    return equi_join(frame, members.select(*keys), keys, "left_anti")
 
 
-def flag_members(
-    frame: DataFrame, members: DataFrame, keys: Sequence[str], flag: str, small: bool = True
-) -> DataFrame:
+def flag_members(frame: DataFrame, members: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Add a boolean column that tells whether the keys are listed."""
     listed = members.select(*keys).distinct().withColumn(flag, F.lit(True))
-    joined = equi_join(frame, listed, keys, "left", small)
+    joined = equi_join(frame, listed, keys, "left")
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

@@ -8,20 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemflow.functions.checkpoints import checkpointed
 from itemflow.functions.columns import count_where, grouped, strict_sum
 from itemflow.functions.quantiles import summarise_counts
-from itemflow.operators.joins import natural_join
-from itemflow.operators.omissions import zero_repeats
+from itemflow.operators.joins import equi_join, natural_join
 from itemflow.operators.ranking import ranked
 from itemflow.operators.rows import drop_zero_time
 
 CELL = ["student_id", "content_item_name"]
-# Items per wide frame; more items are exported in blocks of columns.
-BLOCK_ITEMS = 2_000
+# Items per block of a matrix that is written as lines.
+BLOCK_ITEMS = 1_000
 # Variables whose omitted cells get a code of their own.
 CODED_VARIABLES = ("raw_response", "scored_response")
 # Fixed value: a cell of any other variable for an item that was not shown.
@@ -34,6 +33,7 @@ MATRIX_SET = {
 }
 OMIT_CODE, NOT_SEEN_CODE = ".", "-99"
 OMIT_INCORRECT_NAME = "Item_Scores_Omit_Incorrect"
+OMIT_INCORRECT_CODES = {"omit_code": "0", "not_seen_code": "."}
 
 
 def matrix_long(frame: DataFrame, variables: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -79,16 +79,14 @@ def name_order(frame: DataFrame) -> DataFrame:
     return ranked(items, [], ["content_item_name"], "display_position")
 
 
-def item_names(frame: DataFrame, use_display_order: bool = False, max_items: int = BLOCK_ITEMS) -> list[str]:
-    """The columns of a wide matrix, by display order or by name.
+def item_names(frame: DataFrame, use_display_order: bool = False) -> list[str]:
+    """The columns of a wide matrix, by display order or by name: a frame with a column per item.
 
-    Raises beyond ``max_items``: such a matrix is read in blocks or kept long.
+    For lists of items that a frame can hold as columns; matrices of any number of
+    items are ``block_lines``.
     """
     items = (display_order if use_display_order else name_order)(frame).orderBy("display_position")
-    names = [r.content_item_name for r in items.limit(max_items + 1).collect()]
-    if len(names) > max_items:
-        raise ValueError(f"more than {max_items} items: raise max_items, use blocks or the long form")
-    return names
+    return [r.content_item_name for r in items.toLocalIterator()]
 
 
 def _cell(state: str, value: str, omit_code: str, not_seen_code: str) -> Column:
@@ -140,13 +138,64 @@ def matrix_wide(
     )
 
 
-def matrix_blocks(
-    long: DataFrame, variable: str, items: Sequence[str], block: int = BLOCK_ITEMS, **codes: str
-) -> list[DataFrame]:
-    """The wide matrix in blocks of columns, each with all students."""
-    return [
-        matrix_wide(long, variable, items[i : i + block], **codes) for i in range(0, len(items), block)
-    ]
+def in_blocks(items: DataFrame, block_items: int, by: Sequence[str] = ()) -> DataFrame:
+    """Items (name, display_position from 1) with their block, place in it, and its width."""
+    place = F.col("display_position") - 1
+    width = F.count("*").over(Window.partitionBy(*by, "block"))
+    numbered = items.withColumns({"block": F.floor(place / block_items), "place": (place % block_items).cast("int")})
+    return numbered.withColumn("width", width.cast("int"))
+
+
+def block_headers(blocks: DataFrame, by: Sequence[str] = (), separator: str = ",") -> DataFrame:
+    """(block, line): the names of the items of each block, quoted where they hold a separator."""
+    name = F.col("content_item_name")
+    quoted = F.when(name.rlike('[,"\n]'), F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(name)
+    names = F.array_sort(F.collect_list(F.struct("place", quoted.alias("name"))))["name"]
+    return blocks.groupBy(*by, "block").agg(F.array_join(names, separator).alias("line"))
+
+
+def block_lines(
+    long: DataFrame,
+    variable: str,
+    blocks: DataFrame,
+    omit_code: str = "5",
+    not_seen_code: str = "6",
+    by: Sequence[str] = (),
+    separator: str = ",",
+) -> DataFrame:
+    """(student, block, line): a matrix of any number of items in blocks of columns.
+
+    Every student has a line in every block. ``blocks`` are the items as ``in_blocks``
+    gives them. What is gathered is the cells of one student in one block. With ``by``
+    there are blocks of their own for each exam; the line of a student who took no part
+    in it has empty cells.
+    """
+    if variable not in CODED_VARIABLES:
+        not_seen_code = NOT_SHOWN
+    cells = with_cell_state(long, variable, by)
+    text = F.when(F.col("cell_state") == "omitted", omit_code).otherwise(F.coalesce(F.col("value").cast("string"), F.lit("NA")))
+    cell = F.struct(F.col("place").alias("place"), text.alias("text"))
+    found = equi_join(cells, blocks, [*by, "content_item_name"], "inner").select(*by, "student_id", "block", "width", cell.alias("cell"))
+    sizes = blocks.groupBy(*by, "block").agg(F.first("width").alias("width"))
+    students = long.select("student_id").distinct()
+    taken = long.select(*by, "student_id").distinct().withColumn("taken", F.lit(True))
+    # one row per student and block, as many as the lines that are written
+    all_blocks = F.broadcast(sizes.agg(F.collect_list(F.struct(*by, "block", "width")).alias("all")))
+    every = students.join(all_blocks).select("student_id", F.inline("all"))
+    empty = every.withColumn("cell", F.lit(None).cast(found.schema["cell"].dataType)).select(*by, "student_id", "block", "width", "cell")
+    gathered = found.unionByName(empty).groupBy(*by, "student_id", "block", "width").agg(F.array_sort(F.collect_list("cell")).alias("cells"))
+    if by:
+        gathered = equi_join(gathered, taken, [*by, "student_id"], "left")
+    filler = F.lit(not_seen_code) if not by else F.when(F.col("taken"), F.lit(not_seen_code)).otherwise(F.lit(""))
+    gap = F.concat(F.lit(separator), filler)
+    before = F.expr("transform(cells, (c, i) -> c.place - if(i = 0, -1, cells[i - 1].place) - 1)")
+    written = F.transform(
+        F.arrays_zip(F.col("cells.text").alias("text"), before.alias("gap")),
+        lambda c: F.concat(F.repeat(gap, c["gap"]), F.lit(separator), c["text"]),
+    )
+    last = F.coalesce(F.try_element_at("cells", F.lit(-1))["place"], F.lit(-1))
+    line = F.concat(F.array_join(written, ""), F.repeat(gap, F.col("width") - 1 - last))
+    return gathered.select(*by, "student_id", "block", F.substring(line, len(separator) + 1, 2**31 - 1).alias("line"))
 
 
 def matrix_lines(
@@ -168,7 +217,7 @@ def matrix_lines(
         not_seen_code = NOT_SHOWN
     places = positions.toDF("content_item_name", "position")
     n_items = places.agg(F.count("*")).scalar()
-    cells = natural_join(with_cell_state(long, variable), places, "inner", small=True)
+    cells = natural_join(with_cell_state(long, variable), places, "inner")
     text = F.when(F.col("cell_state") == "omitted", omit_code).otherwise(
         F.coalesce(F.col("value").cast("string"), F.lit("NA"))
     )
@@ -186,27 +235,13 @@ def matrix_lines(
     return rows.select("student_id", F.substring(line, len(separator) + 1, 2**31 - 1).alias("line"))
 
 
-def matrix_set(
-    cleaned: DataFrame,
-    items: Sequence[str],
-    omit_code: str = OMIT_CODE,
-    not_seen_code: str = NOT_SEEN_CODE,
-) -> dict[str, DataFrame]:
-    """The standard matrices: scores, responses and time without repeats.
-
-    All three are pivots of the same long aggregate.
-    """
-    long = matrix_long(zero_repeats(cleaned, ["milliseconds_used"]), list(MATRIX_SET.values()))
-    return {
-        name: matrix_wide(long, variable, items, omit_code, not_seen_code)
-        for name, variable in MATRIX_SET.items()
-    }
-
-
 def omit_incorrect_matrix(cleaned: DataFrame, items: Sequence[str]) -> DataFrame:
     """Scores with omits as wrong and items without time spent as not seen."""
-    long = matrix_long(drop_zero_time(cleaned), ["scored_response"])
-    return matrix_wide(long, "scored_response", items, omit_code="0", not_seen_code=".")
+    return matrix_wide(omit_incorrect_long(cleaned), "scored_response", items, **OMIT_INCORRECT_CODES)
+
+
+def omit_incorrect_long(cleaned: DataFrame) -> DataFrame:
+    return matrix_long(drop_zero_time(cleaned), ["scored_response"])
 
 
 def matrix_summary(long: DataFrame, variables: Sequence[str]) -> DataFrame:

@@ -6,15 +6,17 @@ import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from itemflow.functions.columns import is_attempted, letter_to_number, zero_where
+from itemflow.functions.columns import cast_or_refuse, is_attempted, letter_to_number, zero_where
 from itemflow.operators.joins import equi_join, flag_members
 
 TREATMENTS = ("omit", "remove", "ignore")
 
 
 def add_attempted(frame: DataFrame) -> DataFrame:
-    return frame.withColumn("attempted", is_attempted(F.col("raw_response")))
+    text = dict(frame.dtypes)["raw_response"] == "string"
+    return frame.withColumn("attempted", is_attempted(F.col("raw_response"), text))
 
 
 def keep_originals(frame: DataFrame) -> DataFrame:
@@ -64,7 +66,7 @@ def flag_version_cutoffs(
     per_item = cutoffs.where(F.col(key).isNotNull()).groupBy(key).agg(latest.alias("__cutoff"))
     created = F.col("timestamp_created")
     old = created < F.col("__cutoff") if before else created > F.col("__cutoff")
-    joined = equi_join(frame, per_item, [key], "left", small=True)
+    joined = equi_join(frame, per_item, [key], "left")
     return joined.withColumn(flag, F.coalesce(old, F.lit(False))).drop("__cutoff")
 
 
@@ -199,6 +201,14 @@ def recode_letters(frame: DataFrame) -> DataFrame:
     )
 
 
+def numeric_responses(frame: DataFrame) -> DataFrame:
+    """Text responses as numbers; any that is none is refused, never lost."""
+    if dict(frame.dtypes)["raw_response"] != "string":
+        return frame
+    number = cast_or_refuse(F.col("raw_response"), LongType(), "raw_response")
+    return frame.withColumn("raw_response", number)
+
+
 def zero_repeats(frame: DataFrame, columns: list[str]) -> DataFrame:
     """Add ``<column>_fixed``, which is 0 on repeated questions."""
     return frame.withColumns({f"{c}_fixed": zero_where(F.col(c), F.col("repeat_omitted")) for c in columns})

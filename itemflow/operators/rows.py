@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from itemflow import schema
 from itemflow.functions.columns import minutes_between
-from itemflow.operators.joins import broadcast_if_small, keep_members, natural_join
+from itemflow.operators.joins import keep_members, natural_join
 
 
 def prepare_responses(frame: DataFrame, extra_names: dict[str, str] | None = None) -> DataFrame:
@@ -79,7 +79,7 @@ def drop_no_enrollment(frame: DataFrame) -> DataFrame:
 
 
 def keep_sections(frame: DataFrame, section_map: DataFrame) -> DataFrame:
-    return keep_members(frame, section_map, ["section_name"], small=True)
+    return keep_members(frame, section_map, ["section_name"])
 
 
 def keep_complete(frame: DataFrame) -> DataFrame:
@@ -136,16 +136,16 @@ def attach_content(
     """Responses to content items of the given interaction types, with extra item columns."""
     columns = ["content_item_id", "content_item_name", *extra]
     items = keep_interaction_types(content.distinct(), types).select(*columns)
-    return natural_join(responses, items, "inner", small=True)
+    return natural_join(responses, items, "inner")
 
 
 def join_section_map(responses: DataFrame, section_map: DataFrame) -> DataFrame:
-    return natural_join(responses, section_map, "inner", small=True)
+    return natural_join(responses, section_map, "inner")
 
 
 def join_test_map(responses: DataFrame, test_map: DataFrame) -> DataFrame:
     """Responses with what their template promises."""
-    return natural_join(responses, test_columns(test_map), "inner", small=True)
+    return natural_join(responses, test_columns(test_map), "inner")
 
 
 def test_columns(test_map: DataFrame) -> DataFrame:
@@ -181,6 +181,6 @@ def repeat_enrollments(purchases: DataFrame, products: DataFrame) -> DataFrame:
             F.col("transaction_code").isin(*schema.REPEAT_PURCHASE_CODES)
             & (F.col("created_on") >= F.lit(schema.REPEAT_PURCHASES_SINCE).cast("timestamp_ntz"))
         )
-        .join(broadcast_if_small(product_ids), F.col("product_id") == F.col("known_product_id"))
+        .join(product_ids, F.col("product_id") == F.col("known_product_id"))
         .select("enrollment_id")
     )

@@ -144,10 +144,10 @@ class _Run:
         """Attach a map's columns and drop the rows it does not know."""
         number = self.number(step)
         if not self.tagged:
-            self.frame = equi_join(self.frame, table, [key], "inner", small=True)
+            self.frame = equi_join(self.frame, table, [key], "inner")
             return
         table = table.withColumn("__in_map", F.lit(True))
-        self.frame = equi_join(self.frame, table, [key], "left", small=True)
+        self.frame = equi_join(self.frame, table, [key], "left")
         self._tag(DROP_STEP, F.col("__in_map").isNull(), number)
         self.frame = self.frame.drop("__in_map")
 
@@ -393,7 +393,7 @@ def _content(run: _Run, config: CleanConfig, inputs: CleanInputs) -> None:
     keys = ["content_item_id", "content_item_name"]
     items = rows.keep_interaction_types(inputs.content.distinct(), config.interaction_types)
     items = items.select(*keys, *config.extra_content).withColumn("__known", F.lit(True))
-    run.frame = equi_join(run.frame, items, keys, "left", small=True)
+    run.frame = equi_join(run.frame, items, keys, "left")
     run._tag(DROP_STEP, F.col("__known").isNull(), number)
 
 

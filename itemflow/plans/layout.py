@@ -132,8 +132,8 @@ def branches(responses: DataFrame, rows: DataFrame, layout: str, hot_rows: int =
     # at most total / hot_rows students
     hot = checkpointed(loads.where(F.col("n_rows") > hot_rows).select("student_hash"))
     hashed = rows.withColumn("student_hash", student_hash())
-    cold_rows = drop_members(hashed, hot, ["student_hash"], small=True).drop("student_hash")
-    hot_rows_only = keep_members(hashed, hot, ["student_hash"], small=True).drop("student_hash")
+    cold_rows = drop_members(hashed, hot, ["student_hash"]).drop("student_hash")
+    hot_rows_only = keep_members(hashed, hot, ["student_hash"]).drop("student_hash")
     return [
         by_student(cold_rows, most.total),
         by_aggregate(hot_rows_only, ("student_id", "activity_id_hist")),

@@ -11,13 +11,12 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemflow import schema
 from itemflow.functions.columns import is_deleted_name
 from itemflow.operators import combine, matrix, metadata, rows
 from itemflow.operators.answer_key import ID, answer_key
 from itemflow.operators.audit import DROP_STEP, OMIT_STEP, funnel
-from itemflow.operators.joins import flag_members, natural_join
-from itemflow.operators.omissions import zero_repeats
+from itemflow.operators.joins import check_unique, equi_join, flag_members, keep_members, natural_join
+from itemflow.operators.omissions import numeric_responses, zero_repeats
 from itemflow.operators.profile import derive_test_map, template_profile
 from itemflow.plans.clean import CleanConfig, CleanInputs, CleanResult, clean
 from itemflow.sources import readers, writers
@@ -64,7 +63,7 @@ def prepare(
     audit = funnel(tagged.withColumn(OMIT_STEP, F.lit(None).cast("int")), steps, [])
     kept = tagged.where(F.col(DROP_STEP).isNull()).drop(DROP_STEP)
     if content is not None:
-        kept = natural_join(kept, rows.prepare_content(content), "inner", small=True)
+        kept = natural_join(kept, rows.prepare_content(content), "inner")
     return Prepared(kept, test_map, audit)
 
 
@@ -77,11 +76,16 @@ def cleaning_step(
     inputs: CleanInputs = CleanInputs(),
     content_path: str | None = None,
     repeat_enrollments: DataFrame | None = None,
-    responses_schema=schema.RESPONSES,
+    text_responses: bool = False,
 ) -> CleanResult:
-    """Read the exports, clean them, and write rows, test map, omits and audits to a folder."""
+    """Read the exports, clean them, and write rows, test map, omits and audits to a folder.
+
+    Responses are letters where ``config.recode_answers`` is set, any text where
+    ``text_responses`` is, and else numbers: one that is none stops the run.
+    """
+    responses = readers.read_responses(spark, responses_path)
     prepared = prepare(
-        readers.read_responses(spark, responses_path, responses_schema),
+        responses if config.recode_answers or text_responses else numeric_responses(responses),
         readers.read_activities(spark, activities_path),
         readers.read_content_items(spark, content_path) if content_path else None,
         repeat_enrollments,
@@ -110,23 +114,29 @@ def matrix_step(
     prefix: str = "",
     use_display_order: bool = True,
     with_omit_incorrect: bool = False,
-    max_items: int = matrix.BLOCK_ITEMS,
+    block_items: int = matrix.BLOCK_ITEMS,
 ) -> list[str]:
-    """Write the standard matrices as CSV, the long matrix they come from, and its summary."""
+    """Write the standard matrices as CSV lines, the long matrix they come from, and its summary.
+
+    A matrix is written in blocks of ``block_items`` columns, however many items there
+    are. The order of the items is a table beside the matrices.
+    """
     cleaned = readers.read_stage(spark, cleaned_path)
     variables = list(matrix.MATRIX_SET.values())
     long = matrix.matrix_long(zero_repeats(cleaned, ["milliseconds_used"]), variables)
     writers.write_frame(long, f"{folder}/{prefix}long")
     long = readers.read_stage(spark, f"{folder}/{prefix}long")
-    items = matrix.item_names(cleaned, use_display_order, max_items)
+    order = matrix.display_order if use_display_order else matrix.name_order
+    writers.write_frame(matrix.in_blocks(order(cleaned), block_items), f"{folder}/{prefix}items")
+    blocks = readers.read_stage(spark, f"{folder}/{prefix}items")
+    headers = matrix.block_headers(blocks)
     codes = {"omit_code": matrix.OMIT_CODE, "not_seen_code": matrix.NOT_SEEN_CODE}
-    matrices = {
-        name: matrix.matrix_wide(long, variable, items, **codes)
-        for name, variable in matrix.MATRIX_SET.items()
-    }
+    matrices = {name: matrix.block_lines(long, variable, blocks, **codes) for name, variable in matrix.MATRIX_SET.items()}
     if with_omit_incorrect:
-        matrices[matrix.OMIT_INCORRECT_NAME] = matrix.omit_incorrect_matrix(cleaned, items)
-    writers.write_matrices(matrices, folder, prefix)
+        omit_incorrect = matrix.omit_incorrect_long(cleaned)
+        matrices[matrix.OMIT_INCORRECT_NAME] = matrix.block_lines(omit_incorrect, "scored_response", blocks, **matrix.OMIT_INCORRECT_CODES)
+    for name, lines in matrices.items():
+        writers.write_block_lines(lines, headers, f"{folder}/{prefix}{name}")
     writers.write_frame(matrix.matrix_summary(long, variables), f"{folder}/{prefix}summary", "json")
     return list(matrices)
 
@@ -154,35 +164,38 @@ def metadata_step(
 
 
 def combine_step(
-    first: Mapping[str, Mapping[str, DataFrame]],
-    second: Mapping[str, Mapping[str, DataFrame]],
+    spark: SparkSession,
+    first: Mapping[str, str],
+    second: Mapping[str, str],
     lookup: DataFrame,
     folder: str,
     id_column: str = "user_id",
+    kinds: Sequence[str] = tuple(matrix.MATRIX_SET),
+    prefix: str = "",
 ) -> list[str]:
-    """Write one matrix per kind with the exams of both sources.
+    """Write one matrix per kind with the exams of both sources, for students who are in both.
 
-    ``first`` and ``second`` give, for each kind (scores, responses, times), the
-    wide matrix of each exam by prefix. The first source names its students in
-    ``id_column``; the lookup tells who they are.
+    ``first`` and ``second`` name the folder of ``matrix_step`` of each exam by the
+    exam's prefix. The students of the first source are known by ``id_column``; the
+    lookup tells who they are. All exams are one long frame; each has blocks of its
+    own, in which a student who did not take it has empty cells.
     """
-    for kind, exams in first.items():
-        known = combine.with_student_ids(combine.combine_wide(exams, id_column), lookup, id_column)
-        both = combine.combine_sources(known, combine.combine_wide(second[kind]))
-        writers.write_frame(both, f"{folder}/{kind}", "csv", order_by=["student_id"])
-    return list(first)
-
-
-def matrices_of(
-    spark: SparkSession, folders: Mapping[str, str], names: Sequence[str], id_column: str = "student_id"
-) -> dict[str, dict[str, DataFrame]]:
-    """Read written matrices back, by kind and exam prefix, with the wanted name of the id."""
-    return {
-        name: {
-            prefix: readers.read_matrix_csv(spark, f"{folder}/{name}").withColumnRenamed(
-                "student_id", id_column
-            )
-            for prefix, folder in folders.items()
-        }
-        for name in names
-    }
+    check_unique(lookup, [id_column], "the id lookup")
+
+    def stacked(exams: Mapping[str, str], name: str) -> DataFrame:
+        return combine.stack_exams({exam: readers.read_stage(spark, f"{path}/{prefix}{name}") for exam, path in exams.items()})
+
+    who = lookup.select(F.col(id_column).cast("string").alias("student_id"), F.col("student_id").cast("string").alias("who"))
+    known = equi_join(stacked(first, "long"), who, ["student_id"], "inner").drop("student_id").withColumnRenamed("who", "student_id")
+    other = stacked(second, "long")
+    both = keep_members(known.select("student_id").distinct(), other, ["student_id"])
+    writers.write_frame(keep_members(known.unionByName(other), both, ["student_id"]), f"{folder}/long")
+    long = readers.read_stage(spark, f"{folder}/long")
+    blocks = stacked(first, "items").unionByName(stacked(second, "items"))
+    named = blocks.withColumn("content_item_name", F.concat("exam", "content_item_name"))
+    headers = matrix.block_headers(named, ["exam"])
+    codes = {"omit_code": matrix.OMIT_CODE, "not_seen_code": matrix.NOT_SEEN_CODE}
+    for kind in kinds:
+        lines = matrix.block_lines(long, matrix.MATRIX_SET[kind], blocks, **codes, by=["exam"])
+        writers.write_block_lines(lines, headers, f"{folder}/{kind}", ["exam"])
+    return list(kinds)

@@ -56,6 +56,11 @@ RESPONSES = _fields(
     ("correct_answer", LongType()),
 )
 
+# As exported, a response is text: a number or a letter.
+RESPONSE_EXPORT = StructType(
+    [StructField(f.name, StringType() if f.name == "raw_response" else f.dataType, True) for f in RESPONSES]
+)
+
 ACTIVITIES = _fields(
     ("student_id", StringType()),
     ("activity_id", LongType()),
@@ -119,5 +124,6 @@ def lower_first_letters(frame: DataFrame) -> DataFrame:
 
 
 def canonical(frame: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Rename the columns of an export to the names used here."""
-    return frame.withColumnsRenamed({old: new for old, new in names.items() if old in frame.columns})
+    """Rename the columns of an export to the names used here; a column that has its name keeps it."""
+    new_names = {old: new for old, new in names.items() if old in frame.columns and new not in frame.columns}
+    return frame.withColumnsRenamed(new_names)

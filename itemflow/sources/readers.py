@@ -2,51 +2,81 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from itemflow import schema
+from itemflow.functions.columns import cast_or_refuse
 
 # Fixed value: how exports write a missing value.
 NULL_TOKEN = "NA"
 
 
-def read_tsv(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
+# Columns that an export may lack: another table has them, or a later step makes them.
+OPTIONAL = frozenset(
+    ["activity_id_hist", "activity_status", "source_system", "rawest_response", "correct_answer", "is_scored", "tutor_mode"]
+)
+
+
+def read_tsv(
+    spark: SparkSession, path: str, columns: StructType, names: Mapping[str, str] | None = None, optional: Iterable[str] = ()
+) -> DataFrame:
     """An export with a header, tabs between fields and ``NA`` or nothing for null."""
-    return _delimited(spark, path, columns, "\t")
+    return _delimited(spark, path, columns, "\t", names or {}, optional)
 
 
-def read_csv(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
-    return _delimited(spark, path, columns, ",")
+def read_csv(
+    spark: SparkSession, path: str, columns: StructType, names: Mapping[str, str] | None = None, optional: Iterable[str] = ()
+) -> DataFrame:
+    return _delimited(spark, path, columns, ",", names or {}, optional)
 
 
-def _delimited(spark: SparkSession, path: str, columns: StructType, separator: str) -> DataFrame:
-    # Columns are found by name, not by place; one that the file lacks fails loudly.
-    return (
-        spark.read.schema(columns)
-        .option("header", True)
-        .option("sep", separator)
-        .option("nullValue", NULL_TOKEN)
-        .option("enforceSchema", False)
-        .csv(path)
+def _delimited(
+    spark: SparkSession, path: str, columns: StructType, separator: str, names: Mapping[str, str], optional: Iterable[str]
+) -> DataFrame:
+    """Columns are found by name, whatever their place; unknown ones are ignored.
+
+    All fields are read as text. Headers are brought to the names used here, then each
+    column is cast; a field that is no value of its type stops the run.
+    """
+    text = spark.read.option("header", True).option("sep", separator).option("nullValue", NULL_TOKEN).csv(path)
+    text = schema.canonical(schema.lower_first_letters(text), names)
+    missing = [f.name for f in columns if f.name not in text.columns and f.name not in set(optional)]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(text.columns)}")
+    present = [f for f in columns if f.name in text.columns]
+    return text.select(
+        *[
+            F.col(f.name) if f.dataType == StringType() else cast_or_refuse(F.col(f.name), f.dataType, f.name).alias(f.name)
+            for f in present
+        ]
     )
 
 
-def read_responses(spark: SparkSession, path: str, columns: StructType = schema.RESPONSES) -> DataFrame:
-    """Responses as TSV export; ids stay text."""
-    return read_tsv(spark, path, columns)
+def read_responses(spark: SparkSession, path: str, columns: StructType = schema.RESPONSE_EXPORT) -> DataFrame:
+    """Responses as TSV export; ids and responses stay text."""
+    return read_tsv(spark, path, columns, schema.RESPONSE_NAMES, OPTIONAL)
 
 
 def read_activities(spark: SparkSession, path: str, columns: StructType = schema.ACTIVITIES) -> DataFrame:
-    return read_tsv(spark, path, columns)
+    return read_tsv(spark, path, columns, schema.ACTIVITY_NAMES, ["source_system"])
 
 
-def read_content_items(
-    spark: SparkSession, path: str, columns: StructType = schema.CONTENT_ITEMS
-) -> DataFrame:
-    return read_tsv(spark, path, columns)
+def read_content_items(spark: SparkSession, path: str, columns: StructType = schema.CONTENT_ITEMS) -> DataFrame:
+    return read_tsv(spark, path, columns, schema.CONTENT_NAMES, ["content_item_name", "section_name"])
+
+
+def read_test_map(spark: SparkSession, path: str) -> DataFrame:
+    """A test map kept as CSV by hand."""
+    return read_csv(spark, path, schema.TEST_MAP, schema.TEST_MAP_NAMES)
+
+
+def read_section_map(spark: SparkSession, path: str) -> DataFrame:
+    """A section map kept as CSV by hand; only names and numbers of questions must be there."""
+    return read_csv(spark, path, schema.SECTION_MAP, schema.SECTION_MAP_NAMES, schema.SECTION_MAP.names[2:])
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
@@ -59,6 +89,11 @@ def read_matrix_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
+def read_block_lines(spark: SparkSession, path: str, id_column: str = "student_id") -> DataFrame:
+    """(value, block, ...): the lines of a matrix written in blocks, without the header lines."""
+    return spark.read.text(path).where(~F.col("value").startswith(f"{id_column},"))
+
+
 def repeat_enrollment_query(purchases: str, products: str, code_column: str = "transaction_code") -> str:
     """The question the database answers itself: enrollments bought again."""
     codes = ", ".join(f"'{c}'" for c in schema.REPEAT_PURCHASE_CODES)

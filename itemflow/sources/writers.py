@@ -39,26 +39,22 @@ def write_sections(cleaned: DataFrame, path: str) -> None:
     cleaned.write.mode("overwrite").partitionBy("section_name").parquet(path)
 
 
-def write_matrices(matrices: Mapping[str, DataFrame], folder: str, prefix: str = "") -> None:
-    """Each wide matrix as CSV, ordered by student."""
-    for name, matrix in matrices.items():
-        write_frame(matrix, f"{folder}/{prefix}{name}", "csv", order_by=["student_id"])
+def write_block_lines(lines: DataFrame, headers: DataFrame, path: str, by: Sequence[str] = (), id_column: str = "student_id") -> None:
+    """A matrix in blocks as CSV text: one folder per block, students in order, the header line first.
+
+    Lines are dealt by range, so that a block with very many students is several files;
+    the first of them begins with the header.
+    """
+    keys = [*by, "block"]
+    # an id may hold a separator
+    id_text = F.col(id_column).cast("string")
+    quoted = F.when(id_text.rlike('[,"\n]'), F.concat(F.lit('"'), F.replace(id_text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(id_text)
+    rows = lines.select(*keys, F.lit(1).alias("rank"), quoted.alias("id"), "line")
+    heads = headers.select(*keys, F.lit(0).alias("rank"), F.lit(id_column).alias("id"), "line")
+    order = [*keys, "rank", "id"]
+    text = rows.unionByName(heads).repartitionByRange(*order).sortWithinPartitions(*order)
+    text.select(*keys, F.concat_ws(",", F.coalesce("id", F.lit("")), "line").alias("value")).write.mode("overwrite").partitionBy(*keys).text(path)
 
 
 def write_audit(audit: DataFrame, path: str) -> None:
     write_frame(audit, path, "json", order_by=["step_no"])
-
-
-def write_matrix_lines(lines: DataFrame, positions: DataFrame, path: str) -> None:
-    """A matrix of any number of items as CSV text, from ``matrix_lines``.
-
-    Each file starts with the header, as other CSV writers do it. The header is
-    the list of items: one line, as long as each line of the matrix.
-    """
-    items = positions.toDF("content_item_name", "position").orderBy("position").collect()
-    header = ",".join(["student_id", *[r.content_item_name for r in items]])
-    text = lines.orderBy("student_id").select(F.concat_ws(",", "student_id", "line").alias(header))
-    # the line holds its own commas, so the writer gets a separator that no line has
-    text.write.mode("overwrite").option("header", True).option("sep", "\u0001").option(
-        "escapeQuotes", False
-    ).csv(path)

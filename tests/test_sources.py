@@ -2,6 +2,8 @@
 
 from datetime import datetime
 
+import pytest
+
 from itemflow import schema
 from itemflow.operators.joins import natural_join
 from itemflow.sources import readers, writers
@@ -26,22 +28,50 @@ def test_csv_round_trip_keeps_ids_as_text(spark, tmp_path):
     assert [tuple(r) for r in back.collect()] == [("007", 1, None)]
 
 
-def test_stage_and_matrix_files(spark, tmp_path):
-    matrix = spark.createDataFrame([("b", "1", "."), ("a", "-99", "0")], "student_id string, i1 string, i2 string")
-    writers.write_matrices({"Item_Scores": matrix}, str(tmp_path), "T1_")
-    back = readers.read_matrix_csv(spark, str(tmp_path / "T1_Item_Scores"))
-    assert [tuple(r) for r in back.collect()] == [("a", "-99", "0"), ("b", "1", ".")]
-    writers.write_frame(matrix, str(tmp_path / "stage"))
-    assert readers.read_stage(spark, str(tmp_path / "stage")).count() == 2
-
-
-def test_matrix_lines_file(spark, tmp_path):
-    items = spark.createDataFrame([("i2", 2), ("i1", 1)], "content_item_name string, display_position long")
-    lines = spark.createDataFrame([("b", "1,."), ("a", "-99,0")], "student_id string, line string")
-    writers.write_matrix_lines(lines, items, str(tmp_path / "lines"))
-    back = readers.read_matrix_csv(spark, str(tmp_path / "lines"))
-    assert back.columns == ["student_id", "i1", "i2"]
-    assert [tuple(r) for r in back.collect()] == [("a", "-99", "0"), ("b", "1", ".")]
+def test_exports_as_they_come(spark, tmp_path):
+    """Raw header names, another order, and columns that nobody asked for."""
+    (tmp_path / "activities.tsv").write_text(
+        "Extra\tstatus\ttemplate_id\ttimestamp_completed\ttimestamp_created\tactivity_title\tactivity_id\tstudent_id\n"
+        "x\t4\t3\tNA\t2021-01-01 10:00:00\tT\t9\t007\n"
+    )
+    row = readers.read_activities(spark, str(tmp_path / "activities.tsv")).first()
+    assert (row.student_id, row.activity_id, row.activity_status, row.template_id) == ("007", 9, "4", 3)
+    columns = [f.name for f in schema.RESPONSES if f.name not in readers.OPTIONAL]
+    values = dict.fromkeys(columns, "1") | {"raw_response": "A", "timestamp_created": "2021-01-01 10:00:00", "timestamp_completed": "NA"}
+    heads = {"section_name": "section_title", "student_id": "Student_id"}
+    (tmp_path / "responses.tsv").write_text(
+        "\t".join([*[heads.get(c, c) for c in reversed(columns)], "other"]) + "\n" + "\t".join([*[values[c] for c in reversed(columns)], "?"]) + "\n"
+    )
+    row = readers.read_responses(spark, str(tmp_path / "responses.tsv")).first()
+    assert (row.raw_response, row.section_name, row.student_id, row.scored_response) == ("A", "1", "1", 1)
+    (tmp_path / "content.tsv").write_text("interactionTypeId\tproduct_name\tquestion_number\n1\t2\t3\n")
+    row = readers.read_content_items(spark, str(tmp_path / "content.tsv")).first()
+    assert (row.content_item_id, row.template_id, row.interaction_type_id) == (3, 2, 1)
+    (tmp_path / "map.csv").write_text("minutes_allowed,numQues,template_name,response_threshold\n60,8,T1,0.5\n")
+    assert tuple(readers.read_test_map(spark, str(tmp_path / "map.csv")).first()) == ("T1", 8, 0.5, 60.0)
+    (tmp_path / "sections.csv").write_text("section_num_ques,sectionName\n4,Math\n")
+    assert tuple(readers.read_section_map(spark, str(tmp_path / "sections.csv")).first()) == ("Math", 4)
+
+
+def test_what_is_no_value_stops_the_run(spark, tmp_path):
+    (tmp_path / "content.tsv").write_text("content_item_id\ttemplate_id\tinteraction_type_id\nfive\t2\t1\n")
+    with pytest.raises(Exception, match="content_item_id holds no bigint: five"):
+        readers.read_content_items(spark, str(tmp_path / "content.tsv")).collect()
+    with pytest.raises(ValueError, match="no column student_id, activity_id"):
+        readers.read_activities(spark, str(tmp_path / "content.tsv"))
+
+
+def test_block_files(spark, tmp_path):
+    headers = spark.createDataFrame([(0, "i1,i2"), (1, "i3")], "block long, line string")
+    lines = spark.createDataFrame([("b", 0, "1,."), ("a", 0, "-99,0"), ("a", 1, "5"), ("b", 1, "6")], "student_id string, block long, line string")
+    path = str(tmp_path / "T1_Item_Scores")
+    writers.write_block_lines(lines, headers, path)
+    for block, text in {0: "student_id,i1,i2\na,-99,0\nb,1,.\n", 1: "student_id,i3\na,5\nb,6\n"}.items():
+        files = sorted((tmp_path / "T1_Item_Scores" / f"block={block}").glob("part-*"))
+        assert "".join(f.read_text() for f in files) == text
+    assert sorted(r.value for r in readers.read_block_lines(spark, path).where("block = 1").collect()) == ["a,5", "b,6"]
+    writers.write_frame(lines, str(tmp_path / "stage"))
+    assert readers.read_stage(spark, str(tmp_path / "stage")).count() == 4
 
 
 def test_empty_frames_are_not_written(spark, tmp_path):

@@ -8,6 +8,7 @@ from itemflow.catalog.tables import responses, test_map as make_test_map
 from itemflow.operators import audit, exclusions, rows
 from itemflow.plans import steps
 from itemflow.plans.clean import CleanConfig, CleanInputs
+from itemflow.sources import readers
 
 SF_DIR = "/root/testdata/sf0.001"
 OWN = ("activity_title", "activity_status", "timestamp_created", "timestamp_completed")
@@ -68,7 +69,6 @@ def test_study(spark, exports, tmp_path):
     config = CleanConfig(total_minutes=1440, ms_min=5000, remove_no_response_scored=False)
     result = steps.cleaning_step(
         spark, responses_path, activities_path, folder, config, CleanInputs(make_test_map(spark, SF_DIR)),
-        responses_schema=type(schema.RESPONSES)(EXPORTED),
     )
     n = result.cleaned.count()
     assert n == spark.read.parquet(f"{folder}/cleaned").count() > 0
@@ -76,11 +76,14 @@ def test_study(spark, exports, tmp_path):
     last = spark.read.json(f"{folder}/audit_clean").orderBy(F.desc("step_no")).first()
     assert last.responses_left == n
 
-    names = steps.matrix_step(spark, f"{folder}/cleaned", folder, with_omit_incorrect=True)
-    scores = spark.read.option("header", True).csv(f"{folder}/Item_Scores")
+    names = steps.matrix_step(spark, f"{folder}/cleaned", folder, with_omit_incorrect=True, block_items=100)
     items = result.cleaned.select("content_item_name").distinct().count()
     students = result.cleaned.select("student_id").distinct().count()
-    assert (len(scores.columns), scores.count(), len(names)) == (items + 1, students, 4)
+    lines = readers.read_block_lines(spark, f"{folder}/Item_Scores")
+    per_block = {r.block: (r.n, r.cells) for r in lines.groupBy("block").agg(F.count("*").alias("n"), F.max(F.size(F.split("value", ","))).alias("cells")).collect()}
+    assert {b: n for b, (n, _) in per_block.items()} == {b: students for b in range(-(-items // 100))}
+    assert sum(cells - 1 for _, cells in per_block.values()) == items
+    assert len(names) == 4
     assert spark.read.json(f"{folder}/summary").count() == 3
 
     steps.metadata_step(spark, f"{folder}/cleaned", f"{folder}/test_map", folder)
@@ -88,10 +91,56 @@ def test_study(spark, exports, tmp_path):
     assert users.count() == students
     assert users.agg(F.sum("test_seen")).first()[0] == n
 
+    lookup = result.cleaned.select("student_id", F.col("student_id").alias("user_id")).distinct().where("student_id % 2 = 0")
     kinds = ["Item_Scores", "Responses"]
-    first = steps.matrices_of(spark, {"PE1_": folder, "PE2_": folder}, kinds, "user_id")
-    second = steps.matrices_of(spark, {"FL1_": folder}, kinds)
-    lookup = scores.select("student_id", F.col("student_id").alias("user_id")).where("student_id % 2 = 0")
-    assert steps.combine_step(first, second, lookup, f"{folder}/combined") == kinds
-    both = spark.read.option("header", True).csv(f"{folder}/combined/Item_Scores")
-    assert (len(both.columns), both.count()) == (3 * items + 2, lookup.count())
+    assert steps.combine_step(spark, {"PE1_": folder, "PE2_": folder}, {"FL1_": folder}, lookup, f"{folder}/combined", kinds=kinds) == kinds
+    both = readers.read_block_lines(spark, f"{folder}/combined/Item_Scores")
+    assert both.select("exam", "block").distinct().count() == 3 * -(-items // 100)
+    assert both.groupBy("exam", "block").count().select("count").distinct().collect()[0][0] == lookup.count()
+
+
+def test_a_matrix_of_5000_items(spark, tmp_path):
+    """More items than a frame has columns; blocks of columns, each with its header."""
+    rows = spark.range(5000).select(
+        F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("student_id"), F.format_string("i%05d", "id").alias("content_item_name"),
+        F.col("id").alias("content_item_id"), F.lit("T").alias("template_name"), F.col("id").cast("int").alias("item_section_position"),
+        F.lit(1).cast("bigint").alias("raw_response"), F.lit(1).alias("scored_response"), F.lit(5).cast("bigint").alias("milliseconds_used"),
+        F.lit(True).alias("attempted"), F.lit(False).alias("repeat_omitted"),
+    )
+    rows.write.parquet(str(tmp_path / "cleaned"))
+    steps.matrix_step(spark, str(tmp_path / "cleaned"), str(tmp_path / "out"), block_items=700)
+    text = {}
+    for block in range(8):
+        files = sorted((tmp_path / "out" / "Item_Scores" / f"block={block}").glob("part-*"))
+        text[block] = "".join(f.read_text() for f in files).splitlines()
+    heads = [name for block in range(8) for name in text[block][0].split(",")[1:]]
+    assert heads == [f"i{k:05d}" for k in range(5000)]
+    for s in range(3):
+        cells = [c for block in range(8) for c in text[block][1 + s].split(",")[1:]]
+        assert cells == ["1" if k % 3 == s else "-99" for k in range(5000)]
+
+
+def test_letters_from_file_to_scores(spark, tmp_path):
+    head = [f.name for f in schema.RESPONSES if f.name not in ("activity_status", "rawest_response", "correct_answer")]
+    lines = ["\t".join(head)]
+    for i, (letter, score) in enumerate([("A", 1), ("B", 0), ("NA", 0), ("D", 1), ("E", 0)]):
+        values = dict.fromkeys(head, "1") | {
+            "response_id": f"r{i}", "student_id": "007", "content_item_id": str(10 + i), "content_item_name": f"i{i}", "template_name": "T1",
+            "raw_response": letter, "scored_response": str(score), "tutor_mode": "False", "milliseconds_used": "9000",
+            "timestamp_created": "2021-01-01 10:00:00", "timestamp_completed": "2021-01-01 11:00:00",
+        }
+        lines.append("\t".join(values[c] for c in head))
+    (tmp_path / "responses.tsv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "activities.tsv").write_text(
+        "student_id\tactivity_id\tsource_system\tactivity_title\tstatus\ttemplate_id\ttimestamp_created\ttimestamp_completed\n"
+        "007\t1\t1\tT1\t4\t1\t2021-01-01 10:00:00\t2021-01-01 11:00:00\n"
+    )
+    maps = CleanInputs(spark.createDataFrame([("T1", 5, 0.25, 1440.0)], "template_name string, num_ques int, response_threshold double, minutes_allowed double"))
+    paths = [str(tmp_path / "responses.tsv"), str(tmp_path / "activities.tsv")]
+    coded = steps.cleaning_step(spark, *paths, str(tmp_path / "coded"), CleanConfig(recode_answers=True), maps).cleaned
+    found = {r.response_id: (r.rawest_response, r.raw_response, r.attempted) for r in coded.collect()}
+    assert found == {"r0": ("A", 1, True), "r1": ("B", 2, True), "r2": (None, None, False), "r3": ("D", 4, True), "r4": ("E", None, False)}
+    text = steps.cleaning_step(spark, *paths, str(tmp_path / "text"), CleanConfig(), maps, text_responses=True).cleaned
+    assert {r.response_id: (r.raw_response, r.attempted) for r in text.collect()}["r4"] == ("E", True)
+    with pytest.raises(Exception, match="raw_response holds no bigint: "):
+        steps.cleaning_step(spark, *paths, str(tmp_path / "numbers"), CleanConfig(), maps)

@@ -114,13 +114,12 @@ def test_null_outside_a_list_stays(spark):
     assert {str(r.k): r.f for r in flags} == {"1": True, "2": False, "None": True}
 
 
-def test_only_counted_frames_are_broadcast(spark):
-    df = spark.range(100)
-    small = joins.broadcast_if_small(df, 100)
-    large = joins.broadcast_if_small(df, 99)
-    plan = lambda d: spark.range(10).join(d, "id")._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint (strategy=broadcast)" in plan(small)
-    assert "broadcast" not in plan(large)
+def test_joins_plan_without_a_job(spark):
+    df = spark.range(100).withColumn("k", F.col("id") % 7)
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    joins.flag_members(df, df.select("k"), ["k"], "f")
+    joins.keep_members(df, df.select("k"), ["k"])
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
 
 
 # Rows ------------------------------------------------------------------------------
@@ -417,14 +416,12 @@ def test_wide_matrix_and_lines(spark):
     assert cells(times) == {"s1": ("10000", "10000", "."), "s2": (".", ".", "10000")}
     lines = matrix.matrix_lines(long, "scored_response", matrix.name_order(df), ".", "-99")
     assert cells(lines) == {"s1": ("1,.,-99",), "s2": ("-99,-99,NA",)}
-    first, second = matrix.matrix_blocks(long, "raw_response", items, 2, omit_code="5", not_seen_code="6")
-    assert cells(first) == {"s1": ("2", "5"), "s2": ("6", "6")}
-    assert cells(second) == {"s1": ("6",), "s2": ("2",)}
+    blocks = matrix.in_blocks(matrix.name_order(df), 2)
+    found = {(r.student_id, r.block): r.line for r in matrix.block_lines(long, "raw_response", blocks, "5", "6").collect()}
+    assert found == {("s1", 0): "2,5", ("s1", 1): "6", ("s2", 0): "6,6", ("s2", 1): "2"}
+    assert {r.block: r.line for r in matrix.block_headers(blocks).collect()} == {0: "i1,i2", 1: "i3"}
     omit_incorrect = matrix.omit_incorrect_matrix(df, items)
     assert cells(omit_incorrect) == {"s1": ("1", "0", "."), "s2": (".", ".", "1")}
-    with pytest.raises(ValueError):
-        matrix.item_names(df, max_items=2)
-    assert set(matrix.matrix_set(df, items)) == set(matrix.MATRIX_SET)
 
 
 def test_display_order_takes_the_first_place(spark):
