@@ -100,8 +100,7 @@ def user_info(spark, sf_dir):
         f"{_strict('scored_response')} as num_correct, min(timestamp_created) as first_date, "
         "max(timestamp_created) as last_date from cleaned group by all) "
         "select i.*, c.brand, k.correct_answer from i "
-        f"left join (select content_item_id, content_item_name, brand from {CONTENT_SQL} x "
-        "where content_item_id % 3 <> 0) c "
+        f"left join (select content_item_id, content_item_name, brand from {CONTENT_SQL} x) c "
         "on c.content_item_id = i.content_item_id and c.content_item_name = i.content_item_name "
         "left join (select distinct content_item_id, correct_answer from cleaned) k "
         "on k.content_item_id = i.content_item_id"
@@ -109,8 +108,7 @@ def user_info(spark, sf_dir):
 )
 def item_info(spark, sf_dir):
     cleaned = _cleaned(spark, sf_dir)
-    content = content_items(spark, sf_dir).where("content_item_id % 3 <> 0")
-    content = content.select("content_item_id", "content_item_name", "brand")
+    content = content_items(spark, sf_dir).select("content_item_id", "content_item_name", "brand")
     return metadata.item_info(cleaned, given_keys(cleaned), content)
 
 
@@ -206,6 +204,27 @@ for _name, _variable in {
         return matrix.matrix_lines(_long(cleaned), variable, matrix.display_order(cleaned), ".", "-99")
 
 
+_BLOCK = 100
+
+
+def _block_lines_sql(variable: str, not_seen: str) -> str:
+    return with_responses(
+        f"{_cleaned_sql()}, {_LONG}, {_ORDER}, dense as (select s.student_id, display_position, "
+        f"case when c.seen is null then '{not_seen}' else {_code(variable)} end as code "
+        "from (select distinct student_id from cleaned) s cross join ordered o "
+        "left join cells c on c.student_id = s.student_id and c.content_item_name = o.content_item_name) "
+        f"select student_id, (display_position - 1) // {_BLOCK} as block, "
+        "string_agg(code, ',' order by display_position) as line from dense group by all"
+    )
+
+
+@query("matrix_block_lines", _block_lines_sql("scored_response", "-99"))
+def matrix_block_lines(spark, sf_dir):
+    cleaned = _cleaned(spark, sf_dir)
+    blocks = matrix.in_blocks(matrix.display_order(cleaned), _BLOCK)
+    return matrix.block_lines(_long(cleaned), "scored_response", blocks, ".", "-99")
+
+
 def _summary_sql(variable: str) -> str:
     value = f"case when c.seen is null then 0 else {variable} end"
     return (
@@ -231,6 +250,8 @@ def matrix_summary(spark, sf_dir):
     return rounded(summary, "q1", "median", "mean", "q3")
 
 
+TEMPLATES = (1, 2, 3, 4, 5)
+
 # Combined matrices ------------------------------------------------------------------
 
 
@@ -263,26 +284,25 @@ def _combined_sql(templates, source: str = "coded", id_column: str = "student_id
     return f"select {id_column}, {columns} from {source} where template_id in ({listed}) group by {id_column}"
 
 
-@query("combine_full", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_combined_sql((1, 2, 3, 4, 5))}"))
+@query("combine_full", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_combined_sql(TEMPLATES)}"))
 def combine_full(spark, sf_dir):
-    templates = (1, 2, 3, 4, 5)
-    return _combined(_exams(spark, sf_dir, templates), templates)
+    return _combined(_exams(spark, sf_dir, TEMPLATES), TEMPLATES)
 
 
-@query("combine_fold", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_combined_sql((1, 2))}"))
+@query("combine_fold", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_combined_sql(TEMPLATES)}"))
 def combine_fold(spark, sf_dir):
-    long = _exams(spark, sf_dir, (1, 2))
-    exams = {prefix: long.where(F.col("exam") == prefix).drop("exam") for prefix in ("T1_", "T2_")}
+    long = _exams(spark, sf_dir, TEMPLATES)
+    exams = {f"T{t}_": long.where(F.col("exam") == f"T{t}_").drop("exam") for t in TEMPLATES}
     return combine.combine_wide(
         {p: matrix.matrix_wide(one, "scored_response", TENS, ".", "-99") for p, one in exams.items()}
     )
 
 
-@query("combine_stacked", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_combined_sql((4, 5))}"))
+@query("combine_stacked", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_combined_sql(TEMPLATES)}"))
 def combine_stacked(spark, sf_dir):
-    long = _exams(spark, sf_dir, (4, 5))
-    exams = {prefix: long.where(F.col("exam") == prefix).drop("exam") for prefix in ("T4_", "T5_")}
-    return _combined(combine.stack_exams(exams), (4, 5))
+    long = _exams(spark, sf_dir, TEMPLATES)
+    exams = {f"T{t}_": long.where(F.col("exam") == f"T{t}_").drop("exam") for t in TEMPLATES}
+    return _combined(combine.stack_exams(exams), TEMPLATES)
 
 
 def _users(spark, sf_dir):
@@ -291,35 +311,36 @@ def _users(spark, sf_dir):
     )
 
 
-def _first_source(spark, sf_dir):
+def _first_source(spark, sf_dir, templates):
     """Exams of the source that knows students by their user id only."""
     users = _users(spark, sf_dir)
-    exams = _exams(spark, sf_dir, (1, 2)).join(users, "student_id").drop("student_id")
+    exams = _exams(spark, sf_dir, templates).join(users, "student_id").drop("student_id")
     # a tenth of the users is not in the lookup
     lookup = users.where(~F.col("student_id").endswith("3"))
-    return combine.with_student_ids(_combined(exams, (1, 2), "user_id"), lookup)
+    return combine.with_student_ids(_combined(exams, templates, "user_id"), lookup)
 
 
-_FIRST = (
-    "select c.c_name as user_id, cast(c.c_custkey as varchar) as student_id, f.* exclude (student_id) from "
-    f"({_combined_sql((1, 2))}) f join customer c on cast(c.c_custkey as varchar) = f.student_id "
-    "where c.c_custkey % 10 <> 3"
-)
+def _first_sql(templates) -> str:
+    return (
+        "select c.c_name as user_id, cast(c.c_custkey as varchar) as student_id, f.* exclude (student_id) from "
+        f"({_combined_sql(templates)}) f join customer c on cast(c.c_custkey as varchar) = f.student_id "
+        "where c.c_custkey % 10 <> 3"
+    )
 
 
-@query("combine_lookup", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_FIRST}"))
+@query("combine_lookup", with_responses(f"{_cleaned_sql(1)}, {_EXAM_CELLS} {_first_sql(TEMPLATES)}"))
 def combine_lookup(spark, sf_dir):
-    return _first_source(spark, sf_dir)
+    return _first_source(spark, sf_dir, TEMPLATES)
 
 
 @query(
     "combine_sources",
     with_responses(
-        f"{_cleaned_sql(1)}, {_EXAM_CELLS}, a as ({_FIRST}), b as ({_combined_sql((3, 4, 5))}) "
+        f"{_cleaned_sql(1)}, {_EXAM_CELLS}, a as ({_first_sql((1, 2))}), b as ({_combined_sql((3, 4, 5))}) "
         "select a.*, b.* exclude (student_id) from a join b on a.student_id = b.student_id"
     ),
 )
 def combine_sources(spark, sf_dir):
     templates = (3, 4, 5)
     second = _combined(_exams(spark, sf_dir, templates), templates)
-    return combine.combine_sources(_first_source(spark, sf_dir), second)
+    return combine.combine_sources(_first_source(spark, sf_dir, (1, 2)), second)

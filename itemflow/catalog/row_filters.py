@@ -260,21 +260,21 @@ def join_qbank_map(spark, sf_dir):
     "null_safe_natural_join",
     with_responses(
         "with e as (select enrollment_id, count(*) as n_responses from responses group by enrollment_id), "
-        "t as (select enrollment_id, count(distinct tutor_mode) as n_modes, max(template_id) as last_template "
-        "from responses where activity_id_hist % 3 = 0 group by enrollment_id) "
-        "select coalesce(e.enrollment_id, t.enrollment_id) as enrollment_id, n_responses, n_modes, "
-        "last_template from e full join t on e.enrollment_id is not distinct from t.enrollment_id"
+        "t as (select case when c_custkey % 97 = 0 then null else c_custkey end as enrollment_id, "
+        "count(*) as n_customers, max(c_nationkey) as last_nation from customer group by 1) "
+        "select coalesce(e.enrollment_id, t.enrollment_id) as enrollment_id, n_responses, n_customers, "
+        "last_nation from e full join t on e.enrollment_id is not distinct from t.enrollment_id"
     ),
 )
 def null_safe_natural_join(spark, sf_dir):
     shown = responses(spark, sf_dir)
     per_enrollment = shown.groupBy("enrollment_id").agg(F.count("*").alias("n_responses"))
-    thirds = (
-        shown.where(F.col("activity_id_hist") % 3 == 0)
-        .groupBy("enrollment_id")
-        .agg(F.count_distinct("tutor_mode").alias("n_modes"), F.max("template_id").alias("last_template"))
+    # customers without an order match nothing, and null matches null
+    key = F.col("c_custkey")
+    customers = table(spark, sf_dir, "customer").groupBy(F.when(key % 97 != 0, key).alias("enrollment_id")).agg(
+        F.count("*").alias("n_customers"), F.max("c_nationkey").alias("last_nation")
     )
-    return natural_join(per_enrollment, thirds, "full")
+    return natural_join(per_enrollment, customers, "full")
 
 
 @query(
