@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 # Text handled at once inside a task.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,6 +9,7 @@ documents reads the two tables and decompresses only their frames.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import struct
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from itemflow.llm.common import Words, new_folder, saved, slices, text_key, texts
+from itemflow.llm.common import Words, new_folder, ranges, saved, slices, texts
 
 # Fixed values of the seekable zstandard format.
 SEEK_MAGIC = 0x184D2A5E
@@ -33,8 +34,9 @@ CHECKSUMS = 0x80
 # A skippable frame of our own: the doc_ids.
 IDS_MAGIC = 0x184D2A50
 END_ID = 1
-KNOWN_WORDS = 400_000
-SEPARATOR = "<|startoftext|>"
+KNOWN_WORDS = 500_000
+# Signs that end a word as a unit of their own.
+STOPS = b".,;:!?"
 
 
 def place(uri: str) -> tuple[fs.FileSystem, str]:
@@ -46,70 +48,81 @@ def place(uri: str) -> tuple[fs.FileSystem, str]:
 
 class WordEncoder:
     """Ids of words. The tokenizer drops white space and splits at it, so that the ids of a
-    text are those of its words, and each distinct word is encoded once."""
+    text are those of its words, and each distinct word is encoded once.
+
+    A word of ASCII letters is one unit, in lower case, and goes to the merges of the
+    tokenizer at once; other words go through all of it, many together where each is one
+    unit, which the marks of word ends tell.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for piece, id_ in vocabulary.items():
+            self.ends[id_] = piece.endswith("</w>")
+        self.stops: dict[bytes, bytes] = {b"": b""}
         self.known: dict[bytes, bytes] = {}
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def words(self, distinct: list[bytes]) -> list[bytes]:
         """The ids of each word, as little-endian bytes. Words end in one space."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        new = [x for x in distinct if x not in self.known]
-        plain = [x for x in new if b"<|" not in x]
-        for first in range(0, len(plain), 2000):
-            some = plain[first : first + 2000]
-            ids = self._encode(f"{SEPARATOR} ".join(x.decode() for x in some)) if self.separator is not None else None
-            if ids is None or np.count_nonzero(ids == self.separator) != len(some) - 1:
-                self.known.update((x, self._encode(x.decode()).astype("<u4").tobytes()) for x in some)
+        known = self.known
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        other = []
+        merge = self.tokenizer.model.tokenize
+        for x in distinct:
+            if x in known:
+                continue
+            word = x[:-1]
+            stem = word.rstrip(STOPS)
+            if not stem.isalpha():
+                other.append(x)
                 continue
-            cuts = np.flatnonzero(ids == self.separator)
-            raw = ids.astype("<u4").tobytes()
-            begins = [0, *((cuts + 1) * 4).tolist()]
-            ends = [*(cuts * 4).tolist(), len(raw)]
-            self.known.update((x, raw[a:b]) for x, a, b in zip(some, begins, ends))
-        for x in new:
-            if b"<|" in x:
-                self.known[x] = self._encode(x.decode()).astype("<u4").tobytes()
-        return [self.known[x] for x in distinct]
+            stop = word[len(stem) :]
+            if stop not in self.stops:
+                self.stops[stop] = self._encode([stop.decode()])[0].tobytes()
+            known[x] = b"".join([t.id.to_bytes(4, "little") for t in merge(stem.lower().decode())]) + self.stops[stop]
+        if len(self.stops) > 10_000:
+            self.stops = {b"": b""}
+        single = [x for x in other if x[:-1].decode().isalpha()]
+        for first in range(0, len(single), 1000):
+            some = single[first : first + 1000]
+            ids = self._encode(["".join([x.decode() for x in some])])[0]
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) == len(some):  # each is one unit at least, so each is just one
+                raw = ids.tobytes()
+                known.update((x, raw[a:b]) for x, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()))
+        alone = [x for x in other if x not in known]
+        for first in range(0, len(alone), 1000):
+            some = alone[first : first + 1000]
+            known.update(zip(some, (x.tobytes() for x in self._encode([x.decode() for x in some]))))
+        return [known[x] for x in distinct]
 
     def documents(self, rows: list[bytes]) -> Iterator[bytes]:
         words = Words(rows)
-        ids, distinct = words.encoded()
+        codes, distinct = words.encoded()
         pieces = self.words(distinct)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        firsts = np.cumsum(lengths) - lengths
+        values = np.frombuffer(b"".join(pieces), "<u4")
+        raw = values[ranges(firsts[codes], lengths[codes])].tobytes()
+        sums = np.concatenate([[0], np.cumsum(lengths[codes])]) * 4
         end = struct.pack("<I", END_ID)
-        for first, n in zip(words.firsts.tolist(), words.counts.tolist()):
-            yield b"".join([pieces[i] for i in ids[first : first + n].tolist()]) + end
+        for a, b in zip(sums[words.firsts].tolist(), sums[words.firsts + words.counts].tolist()):
+            yield raw[a:b] + end
 
 
-def _frames(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, k, place, frame, size, checksum) of each document."""
-    rows = docs.select("doc_id", F.xxhash64("t").alias("k"), F.monotonically_increasing_id().alias("place"), "t")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
-        packer = zstandard.ZstdCompressor(level=3, write_checksum=True)
-        for batch in batches:
-            for part in slices(batch, 3):
-                frames, sizes, sums = [], [], []
-                for ids in encoder.documents(texts(part.column(3))):
-                    frames.append(packer.compress(ids))
-                    sizes.append(len(ids))
-                    sums.append(xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array(frames, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64())],
-                    ["doc_id", "k", "place", "frame", "size", "checksum"],
-                )
-
-    return rows.mapInArrow(run, "doc_id long, k long, place long, frame binary, size long, checksum long")
+@functools.cache
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker process."""
+    return WordEncoder(path)
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,10 +138,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "tokens")
     slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
+    # texts are sorted, not ids: the sort looks at its input twice
+    rows = slim.select("doc_id", F.xxhash64("t").alias("k"), F.monotonically_increasing_id().alias("place"), "t")
     order = [F.col("doc_id").asc_nulls_last(), F.col("k"), F.col("place")]
-    ordered = _frames(slim, tokenizer).repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = word_encoder(tokenizer)
+        packer = zstandard.ZstdCompressor(level=3, write_checksum=True)
         out, entries, ids, nulls = None, [], [], []
         for batch in batches:
             if not batch.num_rows:
@@ -139,9 +156,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
                 task = TaskContext.get()
                 path = f"{root}/{task.partitionId():07d}-{task.taskAttemptId()}.tok"
                 out = system.open_output_stream(path)
-            for frame, size, checksum in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist()):
-                out.write(frame)
-                entries.append((len(frame), size, checksum))
+            for part in slices(batch, 1):
+                for raw in encoder.documents(texts(part.column(1))):
+                    frame = packer.compress(raw)
+                    out.write(frame)
+                    entries.append((len(frame), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
             nulls.append(batch.column(0).is_null().to_numpy(False).astype(np.uint8))
             ids.append(batch.column(0).fill_null(0).to_numpy())
         if out is None:
