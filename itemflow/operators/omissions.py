@@ -100,11 +100,14 @@ def omit_old_keys(frame: DataFrame, old_keys: DataFrame) -> DataFrame:
 def showing(columns: list[str]) -> Column:
     """Orders the times a student saw an item; null when the time is unknown.
 
-    Showings at one time are told apart by the response, or by the activity where
-    responses have no id.
+    Showings at one time are told apart by the response, where responses have an id,
+    then by the activity, and then by a hash of the whole row: of rows that differ
+    anywhere exactly one is the first. Rows that agree in every column are all first.
     """
-    tie = "response_id" if "response_id" in columns else "activity_id_hist"
-    return F.when(F.col("timestamp_created").isNotNull(), F.struct("timestamp_created", tie))
+    ties = [c for c in ("response_id", "activity_id_hist") if c in columns]
+    whole = F.xxhash64(*[F.col(c) for c in sorted(columns)])
+    place = F.struct("timestamp_created", *ties, whole.alias("row"))
+    return F.when(F.col("timestamp_created").isNotNull(), place)
 
 
 def first_showings(frame: DataFrame) -> DataFrame:

@@ -36,15 +36,17 @@ def prepare(
     activities: DataFrame,
     content: DataFrame | None = None,
     repeat_enrollments: DataFrame | None = None,
+    save_to: str | None = None,
 ) -> Prepared:
     """Join responses with their activities and remove what no study uses.
 
     Repeated purchases, responses without an enrollment, and activities that
     share student, enrollment and template with a deleted one. Each row is tagged
-    with the rule that removes it; the audit is one pass over the tags.
+    with the rule that removes it; the audit is one pass over the tags. ``save_to``
+    names a folder in shared storage: the tagged rows are written there once, and all
+    that is returned reads them, not the exports.
     """
     merged = rows.join_activities(rows.prepare_responses(responses), rows.prepare_activities(activities))
-    test_map = derive_test_map(template_profile(merged))
     steps = ["start", "repeat_enrollment", "zero_enrollment", "deleted_template"]
     again = F.lit(False)
     tagged = merged
@@ -60,6 +62,10 @@ def prepare(
     tagged = flag_members(tagged, deleted, keys, "__deleted")
     last = F.when(F.col("__deleted"), 3)
     tagged = tagged.withColumn(DROP_STEP, F.coalesce(DROP_STEP, last)).drop("__again", "__deleted")
+    if save_to is not None:
+        writers.write_frame(tagged, save_to)
+        tagged = readers.read_stage(tagged.sparkSession, save_to)
+    test_map = derive_test_map(template_profile(tagged.drop(DROP_STEP)))
     audit = funnel(tagged.withColumn(OMIT_STEP, F.lit(None).cast("int")), steps, [])
     kept = tagged.where(F.col(DROP_STEP).isNull()).drop(DROP_STEP)
     if content is not None:
@@ -80,6 +86,9 @@ def cleaning_step(
 ) -> CleanResult:
     """Read the exports, clean them, and write rows, test map, omits and audits to a folder.
 
+    The exports are read for the prepared rows only, which are written to the folder and
+    read from there by all that follows.
+
     Responses are letters where ``config.recode_answers`` is set, any text where
     ``text_responses`` is, and else numbers: one that is none stops the run.
     """
@@ -89,6 +98,7 @@ def cleaning_step(
         readers.read_activities(spark, activities_path),
         readers.read_content_items(spark, content_path) if content_path else None,
         repeat_enrollments,
+        save_to=f"{folder}/prepared",
     )
     writers.write_frame(prepared.test_map, f"{folder}/test_map")
     if inputs.test_map is None and inputs.section_map is None:

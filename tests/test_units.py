@@ -362,6 +362,19 @@ def test_ranks_span_tasks(spark):
 # Keys ---------------------------------------------------------------------------------------
 
 
+def test_showings_at_one_time(spark):
+    rows = [("s", 1, datetime(2021, 1, 1), 7, answer) for answer in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "student_id string, content_item_id long, timestamp_created timestamp_ntz, activity_id_hist long, raw_response long")
+    assert sorted(r.repeat_omitted for r in omissions.flag_repeats(df).collect()) == [False, True, True]
+    named = df.withColumn("response_id", F.lit("same"))
+    assert sorted(r.repeat_omitted for r in omissions.flag_repeats(named).collect()) == [False, True, True]
+
+
+def test_text_responses_count_as_attempted(spark):
+    df = spark.createDataFrame([("A",), ("0",), (None,), ("7",)], "raw_response string")
+    assert [r.attempted for r in omissions.add_attempted(df).collect()] == [True, False, False, True]
+
+
 def test_answer_keys(spark):
     df = frame(
         spark,
