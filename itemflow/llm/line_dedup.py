@@ -63,7 +63,8 @@ def _sequence(docs: DataFrame, least: int, doc_id: str, text: str) -> DataFrame:
     least, so that a position plus an offset never falls into the next document.
     """
     order = [F.col("i").asc_nulls_last(), F.col("k")]
-    ordered = _line_ids(docs, doc_id, text).repartitionByRange(*order).sortWithinPartitions(*order)
+    # saved, since the sort looks at its input twice
+    ordered = saved(_line_ids(docs, doc_id, text), "line-ids").repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 40

@@ -25,6 +25,7 @@ UNKNOWN_PENALTY = 10.0
 # Longer units are encoded one by one.
 TOGETHER_BYTES = 96
 KNOWN_UNITS = 400_000
+KNOWN: dict[str, dict[bytes, bytes]] = {}
 
 
 @dataclass
@@ -115,7 +116,12 @@ class Unigram:
             raise ValueError("a piece reaches over a space behind a word")
         self.cut_lines = not any(b"\n" in x for x in pieces)
         self.trie = build_trie(pieces)
-        self.known: dict[bytes, bytes] = {}
+        self.path = path
+
+    @property
+    def known(self) -> dict[bytes, bytes]:
+        """Ids of units, kept by the worker process for all its tasks."""
+        return KNOWN.setdefault(self.path, {})
 
     # Units ----------------------------------------------------------------------
 
@@ -143,17 +149,16 @@ class Unigram:
 
     def encode_units(self, distinct: list[bytes]) -> list[bytes]:
         """The ids of each unit, as native 32-bit integers in bytes."""
-        if len(self.known) > KNOWN_UNITS:
-            self.known.clear()
-        new = [x for x in distinct if x not in self.known]
-        for x in new:
-            if len(x) > TOGETHER_BYTES:
-                self.known[x] = self._one(x).tobytes()
+        known = self.known
+        if len(known) > KNOWN_UNITS:
+            known.clear()
+        new = [x for x in distinct if x not in known]
         short = sorted((x for x in new if len(x) <= TOGETHER_BYTES), key=len)
         for first in range(0, len(short), 20_000):
             some = short[first : first + 20_000]
-            self.known.update(zip(some, self._many(some)))
-        return [self.known[x] for x in distinct]
+            known.update(zip(some, self._many(some)))
+        long = {x: self._one(x).tobytes() for x in new if len(x) > TOGETHER_BYTES}
+        return [long[x] if len(x) > TOGETHER_BYTES else known[x] for x in distinct]
 
     def _many(self, units: list[bytes]) -> list[bytes]:
         """Viterbi over all units at once. Of equal scores the longest first piece wins."""
