@@ -223,7 +223,9 @@ def read_token_files(files: DataFrame) -> DataFrame:
     """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     placed = files.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    spread = placed.select("path", "base").repartition("path")
+    # a number, so that files of few rows are not read by one task
+    partitions = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = placed.select("path", "base").repartition(partitions, "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
