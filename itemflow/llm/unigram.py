@@ -24,7 +24,7 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 # Longer units are encoded one by one.
 TOGETHER_BYTES = 96
-KNOWN_UNITS = 400_000
+KNOWN_UNITS = 200_000
 KNOWN: dict[str, dict[bytes, bytes]] = {}
 
 
@@ -154,8 +154,8 @@ class Unigram:
             known.clear()
         new = [x for x in distinct if x not in known]
         short = sorted((x for x in new if len(x) <= TOGETHER_BYTES), key=len)
-        for first in range(0, len(short), 20_000):
-            some = short[first : first + 20_000]
+        for first in range(0, len(short), 8_000):
+            some = short[first : first + 8_000]
             known.update(zip(some, self._many(some)))
         long = {x: self._one(x).tobytes() for x in new if len(x) > TOGETHER_BYTES}
         return [long[x] if len(x) > TOGETHER_BYTES else known[x] for x in distinct]
