@@ -2,10 +2,12 @@
 
 Vectors of a label keep a list of their nearest neighbours. The first lists come from
 sorted random signatures; then neighbours of neighbours are compared, round after
-round, until hardly a list changes and an audit against brute force, on a sample of
-bounded size, finds its links. Lists that hold nothing but links are too short: they
-are enlarged while they are short, and then to the whole of their component, where
-links are counted without being listed.
+round, until hardly a list changes. Lists that hold nothing but links are too short:
+they are enlarged while they are short. Then vectors whose list is still full of
+links look for the nearest outside their component, by the same descent, and
+components merge until none of them finds a link; inside a component links are
+counted without being listed. An audit against brute force, on a sample of bounded
+size, adds the sample's links that the lists lack.
 
 Equal vectors are one node. Hot neighbours are met in chunks of bounded size.
 """
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from itemflow.llm.common import saved
@@ -28,10 +30,10 @@ SIGNS = 30
 CHUNK = 64
 NEIGHBOURS = 8
 LONGEST_LIST = 32
-ROUNDS = 6
+# Share of list entries that a round may change in lists that have settled.
+SETTLED = 0.01
 # Vectors of the audit, the first by a hash of the node: 512 of any number.
 AUDITED = 512
-RECALL = 0.98
 SEED = 7
 BLOCK = 1024
 
@@ -64,16 +66,23 @@ def _nodes(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> DataF
 
 def _best(pairs: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """(node, near, size): the nearest of each node, similarity first; lists are bounded."""
-    near = F.sort_array(F.collect_set(F.struct("sim", "other")), asc=False)
-    lists = pairs.groupBy("node").agg(near.alias("near"))
+    # a pair may have been compared twice, with another last digit
+    once = pairs.groupBy("node", "other").agg(F.max("sim").alias("sim"))
+    near = F.sort_array(F.collect_list(F.struct("sim", "other")), asc=False)
+    lists = once.groupBy("node").agg(near.alias("near"))
     if sizes is None:
         return lists.select("node", F.slice("near", 1, NEIGHBOURS).alias("near"), F.lit(NEIGHBOURS).alias("size"))
     joined = lists.join(sizes.select("node", "size"), "node")
     return joined.select("node", F.slice("near", F.lit(1), F.col("size")).alias("near"), "size")
 
 
-def _first_lists(nodes: DataFrame) -> DataFrame:
+def _first_lists(nodes: DataFrame, tables: range) -> DataFrame:
     """Neighbours in the order of random signatures, in several tables."""
+    return _best(_met(nodes.select("node", "l", "vec", "dim", F.lit(None).cast("bigint").alias("root")), tables))
+
+
+def _met(rows: DataFrame, tables: range) -> DataFrame:
+    """(node, other, sim): the nearest in chunks of each table; those of one root do not meet."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,12 +90,11 @@ def _first_lists(nodes: DataFrame) -> DataFrame:
             for dim in np.unique(dims):
                 some = batch.filter(pa.array(dims == dim))
                 x = _unit(some.column(2))
-                for t in range(TABLES):
+                for t in tables:
                     planes = np.random.default_rng([SEED, t, int(dim)]).standard_normal((int(dim), SIGNS))
                     signs = (x @ planes > 0) @ (1 << np.arange(SIGNS - 1, -1, -1, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays([*some.columns, pa.array([t] * len(x), pa.int32()), pa.array(signs)], [*some.schema.names, "t", "sign"])
 
-    rows = nodes.select("node", "l", "vec", "dim")
     schema = rows.withColumns({"t": F.lit(0), "sign": F.lit(0).cast("bigint")}).schema
     order = ["t", "l", "dim", "sign", "node"]
     ordered = rows.mapInArrow(sign, schema).repartitionByRange(*order).sortWithinPartitions(*order)
@@ -106,7 +114,7 @@ def _first_lists(nodes: DataFrame) -> DataFrame:
             yield from _chunk(held)
 
     def _chunk(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys = list(zip(*[batch.column(c).to_pylist() for c in (4, 1, 3)]))
+        keys = list(zip(*[batch.column(c).to_pylist() for c in (5, 1, 3)]))
         first = 0
         while first < len(keys):
             last = first
@@ -117,11 +125,19 @@ def _first_lists(nodes: DataFrame) -> DataFrame:
             if part.num_rows < 2:
                 continue
             x = _unit(part.column(2))
-            sims = x @ x.T
-            np.fill_diagonal(sims, -2)
-            yield _nearest(part.column(0).to_numpy(), part.column(0).to_numpy(), sims, NEIGHBOURS, None)
+            yield _nearest(part.column(0).to_numpy(), part.column(0).to_numpy(), _similar(x, part.column(4)), NEIGHBOURS, None)
+
+    return ordered.mapInArrow(meet, "node long, other long, sim double")
 
-    return _best(ordered.mapInArrow(meet, "node long, other long, sim double"))
+
+def _similar(x: np.ndarray, roots: pa.Array) -> np.ndarray:
+    """Cosines; -2 for a vector with itself and with those of its root, where it has one."""
+    sims = x @ x.T
+    np.fill_diagonal(sims, -2)
+    if roots.null_count < len(roots):
+        root = roots.fill_null(-1).to_numpy()
+        sims[(root[:, None] == root[None, :]) & (root >= 0)] = -2
+    return sims
 
 
 def _nearest(rows: np.ndarray, columns: np.ndarray, sims: np.ndarray, most: int, low: np.ndarray | None) -> pa.RecordBatch:
@@ -134,24 +150,28 @@ def _nearest(rows: np.ndarray, columns: np.ndarray, sims: np.ndarray, most: int,
     return pa.RecordBatch.from_arrays([pa.array(rows[i]), pa.array(columns[top[i, j]]), pa.array(best[i, j])], ["node", "other", "sim"])
 
 
-def _round(lists: DataFrame, nodes: DataFrame) -> DataFrame:
+def _low() -> Column:
+    """What a neighbour has to exceed to enter a list."""
+    return F.when(F.size("near") < F.col("size"), F.lit(-1.5)).otherwise(F.element_at("near", -1)["sim"])
+
+
+def _round(edges: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs better than what their first node has, found among neighbours of a common node.
 
+    ``edges``: (node, hub), the neighbours; ``known``: (member, vec, low, root), where a null
+    low takes all and vectors of one root are not compared.
+
     Every node calls its neighbours and those that list it. The latter come in chunks
     of bounded size, each with the neighbours, so that a node that very many list is
     many groups, and each of them is small.
     """
-    low = F.when(F.size("near") < F.col("size"), F.lit(-1.5)).otherwise(F.element_at("near", -1)["sim"])
-    edges = lists.select("node", "size", low.alias("low"), F.explode("near").alias("e")).select("node", "size", "low", F.col("e.other").alias("hub"))
     crowd = edges.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     callers = edges.join(crowd, "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), F.col("node").alias("member"), F.lit(True).alias("calls"))
     called = edges.join(crowd.withColumnRenamed("hub", "h"), F.col("node") == F.col("h")).select(
         F.col("node").alias("hub"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"), F.col("hub").alias("member"), F.lit(False).alias("calls")
     )
     members = callers.unionByName(called).groupBy("hub", "chunk", "member").agg(F.max("calls").alias("calls"))
-    bounds = lists.select(F.col("node").alias("member"), low.alias("low"), "size")
-    known = nodes.select(F.col("node").alias("member"), "vec").join(bounds, "member", "left")
-    rows = members.join(known, "member").select("hub", "chunk", "member", "vec", "low", "size")
+    rows = members.join(known, "member").select("hub", "chunk", "member", "vec", "low", "root")
     grouped = rows.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,9 +198,7 @@ def _round(lists: DataFrame, nodes: DataFrame) -> DataFrame:
             ids = part.column(2).to_numpy()
             x = _unit(part.column(3))
             bound = part.column(4).fill_null(-1.5).to_numpy()
-            sims = x @ x.T
-            np.fill_diagonal(sims, -2)
-            out.append(_nearest(ids, ids, sims, LONGEST_LIST, bound))
+            out.append(_nearest(ids, ids, _similar(x, part.column(5)), LONGEST_LIST, bound))
             if len(out) >= 256:
                 yield from pa.Table.from_batches(out).combine_chunks().to_batches()
                 out = []
@@ -236,24 +254,94 @@ def audit(nodes: DataFrame, roots: DataFrame, least: float) -> tuple[float, Data
     return (total.found / total.n if total.n else 1.0), checked.where("not found").select("a", "b")
 
 
+def _entries(lists: DataFrame) -> DataFrame:
+    return lists.select("node", F.explode("near").alias("e")).select("node", "e.other", "e.sim")
+
+
+def _full(least: float) -> Column:
+    """The list holds nothing but links."""
+    return (F.size("near") >= F.col("size")) & (F.element_at("near", -1)["sim"] >= least)
+
+
+def _settled(lists: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Lists after rounds until hardly an entry changes and no list has to grow."""
+    while True:
+        edges = _entries(lists).select("node", F.col("other").alias("hub"))
+        bounds = lists.select(F.col("node").alias("member"), _low().alias("low"))
+        known = nodes.select(F.col("node").alias("member"), "vec", F.lit(None).cast("bigint").alias("root")).join(bounds, "member", "left")
+        pairs = saved(_round(edges, known), "pairs")
+        size = F.when(_full(least), F.least(F.col("size") * 2, F.lit(LONGEST_LIST))).otherwise(F.col("size"))
+        before = lists.select("node", size.alias("size"), F.col("near.other").alias("was"))
+        after = _best(pairs.unionByName(_entries(lists)), before).join(before.select("node", "was"), "node")
+        fresh = F.size(F.array_except("near.other", "was"))
+        marked = saved(after.select("node", "near", "size", fresh.alias("fresh")), "lists")
+        lists = marked.drop("fresh")
+        grows = _full(least) & (F.col("size") < LONGEST_LIST)
+        seen = marked.agg(F.sum("fresh").alias("fresh"), F.sum(F.size("near")).alias("n"), F.max(grows).alias("grows")).first()
+        if not seen.n or (seen.fresh < SETTLED * seen.n and not seen.grows):
+            return lists
+
+
+def _bridged(lists: DataFrame, nodes: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(links of the lists and of those between components whose lists are full, their roots).
+
+    Vectors whose list is full of links look for neighbours outside their component.
+    First those of a chunk meet, of all such vectors and of about NEIGHBOURS of each
+    component, so that a large one does not hide the others; then neighbours of neighbours,
+    inside and outside. Components with a link between them merge, until none has one.
+    """
+    edges = _listed(lists, least)
+    roots = _roots(nodes, edges)
+    full = saved(lists.where(_full(least)).select("node").join(nodes.select("node", "l", "dim", "vec"), "node"), "full")
+    inside = saved(lists.join(full.select("node"), "node").select("node", F.explode(F.slice("near", 1, NEIGHBOURS)).alias("e")).select("node", F.col("e.other").alias("hub")), "inside")
+    outside = None
+    first = 0
+    while True:
+        own = full.join(roots, "node")
+        several = own.groupBy("l", "dim").agg(F.count("*").alias("rows"), F.countDistinct("root").alias("roots")).where("roots > 1").withColumnsRenamed({"l": "s_l", "dim": "s_dim"})
+        own = saved(own.join(several, (F.col("l") == F.col("s_l")) & (F.col("dim") == F.col("s_dim"))).select("node", "l", "vec", "dim", "root", "rows"), "apart")
+        most = own.agg(F.max("rows")).first()[0]
+        if most is None:
+            return edges, roots
+        own = own.drop("rows")
+        tables = range(first, first + TABLES)
+        first = tables.stop
+        few = own.groupBy("root").agg(F.ceil(F.count("*") / NEIGHBOURS).alias("m"))
+        some = own.join(few, "root").where(F.pmod(F.xxhash64(F.lit(first), "node"), "m") == 0).select(*own.columns)
+        # components that have merged are no longer outside each other
+        root = own.select("node", "root")
+        seeds = _met(own, tables).unionByName(_met(some, tables))
+        if outside is not None:
+            kept = _entries(outside).join(root, "node").join(root.withColumnsRenamed({"node": "other", "root": "r"}), "other").where("root <> r")
+            seeds = seeds.unionByName(kept.select("node", "other", "sim"))
+        outside = saved(_best(seeds), "outside")
+        while True:
+            hubs = _entries(outside).select("node", F.col("other").alias("hub")).unionByName(inside.join(own.select("node"), "node")).distinct()
+            bounds = outside.select(F.col("node").alias("member"), _low().alias("low"))
+            known = own.select(F.col("node").alias("member"), "vec", "root").join(bounds, "member", "left")
+            pairs = saved(_round(hubs, known), "pairs")
+            was = outside.select("node", F.col("near.other").alias("was"))
+            after = _best(pairs.unionByName(_entries(outside))).join(was, "node", "left")
+            fresh = F.size(F.array_except("near.other", F.coalesce("was", F.array().cast("array<bigint>"))))
+            marked = saved(after.select("node", "near", "size", fresh.alias("fresh")), "outside")
+            outside = marked.drop("fresh")
+            seen = marked.agg(F.sum("fresh").alias("fresh"), F.sum(F.size("near")).alias("n")).first()
+            if not seen.n or seen.fresh < SETTLED * seen.n:
+                break
+        cross = saved(_listed(outside, least), "cross")
+        if cross.isEmpty():
+            return edges, roots
+        edges = edges.unionByName(cross)
+        roots = _roots(nodes, edges)
+
+
 def neighbour_graph(nodes: DataFrame, least: float) -> tuple[DataFrame, float]:
     """(node, root) of the nodes with links, and the recall of the audit."""
-    lists = saved(_first_lists(nodes), "lists")
-    missed = None
-    for turn in range(ROUNDS):
-        pairs = saved(_round(lists, nodes), "pairs")
-        full = (F.size("near") >= F.col("size")) & (F.element_at("near", -1)["sim"] >= least)
-        sizes = lists.select("node", F.when(full, F.least(F.col("size") * 2, F.lit(LONGEST_LIST))).otherwise(F.col("size")).alias("size"))
-        old = lists.select("node", F.explode("near").alias("e")).select("node", "e.other", "e.sim")
-        lists = saved(_best(pairs.unionByName(old), sizes), "lists")
-        if turn < 1:
-            continue
-        roots = _roots(nodes, _listed(lists, least))
-        recall, missed = audit(nodes, roots, least)
-        if recall >= RECALL:
-            break
+    lists = _settled(saved(_first_lists(nodes, range(TABLES)), "lists"), nodes, least)
+    edges, roots = _bridged(lists, nodes, least)
+    recall, missed = audit(nodes, roots, least)
     if recall < 1:
-        roots = _roots(nodes, _listed(lists, least).unionByName(missed))
+        roots = _roots(nodes, edges.unionByName(missed))
     return roots, recall
 
 

@@ -255,3 +255,25 @@ def test_near_vectors(spark):
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=str) == brute_vectors(rows, 0.93)
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
     assert near_vectors(frame.limit(0)).count() == 0
+
+
+def around(rng, centre, size, spread):
+    """Unit vectors whose cosines with each other are about 1 / (1 + spread ** 2)."""
+    noise = rng.standard_normal((size, len(centre)))
+    noise -= np.outer(noise @ centre, centre)
+    return centre + spread * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+
+
+def test_full_lists_find_links_outside_their_component(spark, monkeypatch):
+    monkeypatch.setattr("itemflow.llm.nn_descent.AUDITED", 1)  # else the audit repairs what the lists lack
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist(), i % 2) for i, v in enumerate(rng.standard_normal((300, 64)))]
+    for label in (0, 1):
+        a, b = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+        for centre in (a, 0.9494 * a + np.sqrt(1 - 0.9494**2) * b):
+            rows += [(len(rows) + i, v.tolist(), label) for i, v in enumerate(around(rng, centre, 60, 0.1))]
+    expected = brute_vectors(rows, 0.93)
+    assert max(n for _, n, _ in expected) > 100  # the two families of a label link
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    found = near_vectors(frame).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=str) == expected
