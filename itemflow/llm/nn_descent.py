@@ -7,7 +7,7 @@ they are enlarged while they are short. Then vectors whose list is still full of
 links look for the nearest outside their component, by the same descent, and
 components merge until none of them finds a link; inside a component links are
 counted without being listed. An audit against brute force, on a sample of bounded
-size, adds the sample's links that the lists lack.
+size, has to find the sample's links in the lists, else tables and rounds are added.
 
 Equal vectors are one node. Hot neighbours are met in chunks of bounded size.
 """
@@ -15,6 +15,7 @@ Equal vectors are one node. Hot neighbours are met in chunks of bounded size.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +33,13 @@ NEIGHBOURS = 8
 LONGEST_LIST = 32
 # Share of list entries that a round may change in lists that have settled.
 SETTLED = 0.01
-# Vectors of the audit, the first by a hash of the node: 512 of any number.
+# Vectors of the audit, the first by a hash of the node: 512 of any number, and eight
+# times as many where fewer than 32 of them have links.
 AUDITED = 512
+LEAST_LINKED = 32
+RECALL = 0.98
+# Times that tables are added where the audit finds too little.
+ADDED = 3
 SEED = 7
 BLOCK = 1024
 
@@ -76,6 +82,13 @@ def _best(pairs: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     return joined.select("node", F.slice("near", F.lit(1), F.col("size")).alias("near"), "size")
 
 
+def _tables(rows: int, least: float) -> int:
+    """Tables in which a pair at the threshold, among so many rows of a part, is in one chunk with probability RECALL."""
+    same = 1 - math.acos(max(-1.0, min(1.0, least))) / math.pi
+    meets = same ** max(0.0, math.log2(max(1, rows) / CHUNK))
+    return TABLES if meets >= 1 else max(TABLES, math.ceil(math.log(1 - RECALL) / math.log1p(-meets)))
+
+
 def _first_lists(nodes: DataFrame, tables: range) -> DataFrame:
     """Neighbours in the order of random signatures, in several tables."""
     return _best(_met(nodes.select("node", "l", "vec", "dim", F.lit(None).cast("bigint").alias("root")), tables))
@@ -220,13 +233,33 @@ def _roots(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return saved(linked.unionByName(own), "roots")
 
 
-def audit(nodes: DataFrame, roots: DataFrame, least: float) -> tuple[float, DataFrame]:
-    """(share of the sample's links that join one component, the links that do not).
+def audit(nodes: DataFrame, lists: DataFrame, roots: DataFrame, least: float) -> tuple[float, DataFrame]:
+    """(recall, the sample's links that do not join one component).
 
     The sample is compared with every vector: a fixed number of queries against all
-    rows, in blocks.
+    rows, in blocks. Recall is the mean over the sampled vectors that have links: the
+    share of a vector's links that a list of either end names, of as many as the
+    longest list can, or the share that joins one component if that is less.
     """
-    sample = nodes.select("node", "l", "dim", "vec").orderBy(F.xxhash64("node"), "node").limit(AUDITED).collect()
+    listed = _listed(lists, least)
+    listed = listed.unionByName(listed.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().withColumn("listed", F.lit(True))
+    root = roots.select("node", "root")
+    for size in (AUDITED, 8 * AUDITED):
+        links, asked = _links_of_sample(nodes, size, least)
+        seen = links.join(root.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(root.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left")
+        same = F.coalesce(F.col("ra") == F.col("rb"), F.lit(False))
+        checked = saved(seen.join(listed, ["a", "b"], "left").select("a", "b", same.alias("found"), F.coalesce("listed", F.lit(False)).alias("listed")), "audit")
+        each = checked.groupBy("b").agg(F.count("*").alias("n"), F.sum(F.col("found").cast("int")).alias("found"), F.sum(F.col("listed").cast("int")).alias("listed"))
+        share = F.least(F.col("found") / F.col("n"), F.col("listed") / F.least(F.col("n"), F.lit(LONGEST_LIST)))
+        total = each.agg(F.count("*").alias("n"), F.avg(share).alias("recall")).first()
+        if total.n >= LEAST_LINKED or asked < size:
+            break
+    return (total.recall if total.n else 1.0), checked.where("not found").select("a", "b")
+
+
+def _links_of_sample(nodes: DataFrame, size: int, least: float) -> tuple[DataFrame, int]:
+    """(a, b): all links of the sampled vectors, which are b; how many were sampled."""
+    sample = nodes.select("node", "l", "dim", "vec").orderBy(F.xxhash64("node"), "node").limit(size).collect()
     parts: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
     for key in {(r.l, r.dim) for r in sample}:
         some = [r for r in sample if (r.l, r.dim) == key]
@@ -245,13 +278,7 @@ def audit(nodes: DataFrame, roots: DataFrame, least: float) -> tuple[float, Data
                 a, b = some.column(0).to_numpy()[i], ids[j]
                 yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
 
-    links = nodes.select("node", "l", "vec", "dim").mapInArrow(run, "a long, b long")
-    root = roots.select("node", "root")
-    seen = links.join(root.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(root.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left")
-    same = F.coalesce(F.col("ra") == F.col("rb"), F.lit(False))
-    checked = saved(seen.select("a", "b", same.alias("found")), "audit")
-    total = checked.agg(F.count("*").alias("n"), F.sum(F.col("found").cast("int")).alias("found")).first()
-    return (total.found / total.n if total.n else 1.0), checked.where("not found").select("a", "b")
+    return nodes.select("node", "l", "vec", "dim").mapInArrow(run, "a long, b long"), len(sample)
 
 
 def _entries(lists: DataFrame) -> DataFrame:
@@ -304,7 +331,7 @@ def _bridged(lists: DataFrame, nodes: DataFrame, least: float) -> tuple[DataFram
         if most is None:
             return edges, roots
         own = own.drop("rows")
-        tables = range(first, first + TABLES)
+        tables = range(first, first + _tables(most, least))
         first = tables.stop
         few = own.groupBy("root").agg(F.ceil(F.count("*") / NEIGHBOURS).alias("m"))
         some = own.join(few, "root").where(F.pmod(F.xxhash64(F.lit(first), "node"), "m") == 0).select(*own.columns)
@@ -337,10 +364,21 @@ def _bridged(lists: DataFrame, nodes: DataFrame, least: float) -> tuple[DataFram
 
 def neighbour_graph(nodes: DataFrame, least: float) -> tuple[DataFrame, float]:
     """(node, root) of the nodes with links, and the recall of the audit."""
-    lists = _settled(saved(_first_lists(nodes, range(TABLES)), "lists"), nodes, least)
-    edges, roots = _bridged(lists, nodes, least)
-    recall, missed = audit(nodes, roots, least)
-    if recall < 1:
+    most = nodes.groupBy("l", "dim").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    tables = _tables(most, least)
+    lists = saved(_first_lists(nodes, range(tables)), "lists")
+    for turn in range(ADDED + 1):
+        lists = _settled(lists, nodes, least)
+        edges, roots = _bridged(lists, nodes, least)
+        recall, missed = audit(nodes, lists, roots, least)
+        if recall >= RECALL or turn == ADDED:
+            break
+        more = _first_lists(nodes, range((turn + 1) * tables, (turn + 2) * tables))
+        sizes = lists.select("node", "size").unionByName(more.select("node", "size")).groupBy("node").agg(F.max("size").alias("size"))
+        lists = saved(_best(_entries(lists).unionByName(_entries(more)), sizes), "lists")
+    if recall < RECALL:
+        warnings.warn(f"near vectors: the audit finds {recall:.4f} of its links, less than {RECALL}", RuntimeWarning, stacklevel=2)
+    if not missed.isEmpty():
         roots = _roots(nodes, edges.unionByName(missed))
     return roots, recall
 

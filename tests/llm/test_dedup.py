@@ -277,3 +277,17 @@ def test_full_lists_find_links_outside_their_component(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
     found = near_vectors(frame).collect()
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=str) == expected
+
+
+def test_pairs_beside_a_large_group(spark, monkeypatch):
+    for name, value in (("AUDITED", 16), ("CHUNK", 4), ("TABLES", 1)):
+        monkeypatch.setattr(f"itemflow.llm.nn_descent.{name}", value)
+    rng = np.random.default_rng(6)
+    unit = lambda: (v := rng.standard_normal(32)) / np.linalg.norm(v)
+    vectors = [*around(rng, unit(), 300, 0.1)]
+    for _ in range(200):
+        vectors += [*around(rng, unit(), 2, 0.1)]
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    found = near_vectors(frame).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=str) == brute_vectors(rows, 0.93)
