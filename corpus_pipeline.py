@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from itemflow.llm.common import saved, table
 from itemflow.llm.line_dedup import without_repeated_lines
 from itemflow.llm.mixing import mixed_documents
-from itemflow.llm.quality import quality_verdicts
+from itemflow.llm.quality import CUTOFF, quality_verdicts
 from itemflow.llm.simhash import one_of_each
 from itemflow.llm.unigram import decode_documents, encode_documents
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_verdicts(docs, docs.columns).where("kept").select(*docs.columns)
+    return quality_verdicts(docs, docs.columns, CUTOFF).where("kept").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,9 +25,11 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 UNIT = 1024
 Z = ("z1", "z2", "z3", "z4")
-# Least spread, in natural logarithms, that counts as a difference between documents of a group:
-# word length, symbols, repeated lines, repeated words.
-FLOORS = (0.15, 0.25, 0.35, 0.35)
+# Least spread, in natural logarithms, of word length, symbols, repeated lines, repeated words: most documents
+# of a group may have none of the last three, and the scatter is not to be singular.
+FLOORS = (0.05, 0.05, 0.05, 0.05)
+# Of the queries; the function's default keeps all but the farthest documents.
+CUTOFF = 0.999
 # A group of fewer documents has no half to fit; such groups of a language are fitted together,
 # and if these are few as well, such groups of all languages.
 LEAST_GROUP = 40

@@ -13,7 +13,7 @@ from itemflow.llm.common import table
 from itemflow.llm.line_dedup import without_repeated_lines
 from itemflow.llm.mixing import mixed_rows
 from itemflow.llm.nn_descent import near_vectors
-from itemflow.llm.quality import quality_verdicts
+from itemflow.llm.quality import CUTOFF, quality_verdicts
 from itemflow.llm.simhash import near_duplicates
 from itemflow.llm.substring_dedup import without_repeats
 from itemflow.llm.toxicity import toxicity
@@ -95,7 +95,7 @@ from placed group by conv_id, participant, piece
 
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
+    return quality_verdicts(table(spark, sf_dir, "documents"), ["doc_id"], CUTOFF)
 
 
 @query

@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from itemflow.llm import quality, toxicity
+from itemflow.llm.queries import op5_quality_rules
 from itemflow.llm.token_files import TokenFile, read_token_files, write_token_files
 from itemflow.llm.unigram import Unigram, decode_documents, encode_documents
 
@@ -120,6 +121,28 @@ def test_quality_verdicts(documents, rows):
         assert {r[-1] for r in expected if not r[-2]} == {True, False}  # some are outliers
 
 
+def test_each_statistic_rejects_moderate_outliers(spark, documents, tmp_path):
+    rng = random.Random(8)
+    word = lambda n=5: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    words = lambda n, size=5: [word(size + rng.choice((-1, 0, 1))) for _ in range(n)]
+    lines = lambda w: "\n".join(" ".join(w[i : i + 4]) for i in range(0, len(w), 4))
+    texts = [lines(words(rng.randrange(80, 120))) for _ in range(300)]
+    again = words(8)
+    short = lines(words(160)).split("\n")
+    planted = {
+        "word length": lines(words(100, 10)),
+        "symbols": lines([w + "#" * (i % 10 == 0) for i, w in enumerate(words(100))]),
+        "repeated lines": "\n".join([*short, *short[::5]]),
+        "repeated words": " ".join([*again, *words(42), *again, *words(42)]),
+    }
+    rows = [(i, t, "en", "web", len(t)) for i, t in enumerate([*texts, *planted.values()])]
+    documents(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in op5_quality_rules(spark, str(tmp_path)).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert {name: found[300 + i].kept for i, name in enumerate(planted)} == dict.fromkeys(planted, False)
+    assert sum(found[i].kept for i in range(300)) >= 297
+
+
 def test_no_documents_no_verdicts(documents):
     assert quality.quality_verdicts(documents([]), ["doc_id"]).count() == 0
 
