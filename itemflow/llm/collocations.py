@@ -70,38 +70,29 @@ class Index:
 
     def __init__(self, ids: np.ndarray, symbols: int):
         # DEPTH words: the first and the one after it
-        order = np.argsort(ids * symbols + np.append(ids[1:], 0), kind="stable")
+        order = np.argsort(ids * symbols + np.append(ids[1:], 0))
         self.bwt = ids[order - 1]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(ids, minlength=symbols))])
-        # where the suffix begins that is one word longer
-        rank = np.empty(len(ids), np.int64)
-        by_word = np.argsort(self.bwt, kind="stable")
-        rank[by_word] = np.arange(len(ids))
-        self.longer = rank
         self.symbols = symbols
 
     def extend(self, low: np.ndarray, high: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, ...]:
         """All phrases one word longer than those of the intervals.
 
         Returns (number of the interval, word, count, begin of the longer phrase's
-        interval here, begin of its interval in the other direction); ``other`` has the
-        begins of the given intervals there. Separators extend nothing.
+        interval in the other direction); ``other`` has the begins of the given intervals
+        there. Separators extend nothing.
         """
         sizes = high - low
         owner = np.repeat(np.arange(len(low)), sizes)
-        at = ranges(low, sizes)
-        key = owner * self.symbols + self.bwt[at]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        key = np.sort(owner * self.symbols + self.bwt[ranges(low, sizes)])
         heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         counts = np.diff(np.append(heads, len(key)))
         owner, word = key[heads] // self.symbols, key[heads] % self.symbols
         # in the other direction, smaller words come first
         before = np.cumsum(sizes) - sizes
         there = other[owner] + heads - before[owner]
-        here = self.longer[at[order[heads]]]
         real = word > 0
-        return owner[real], word[real], counts[real], here[real], there[real]
+        return owner[real], word[real], counts[real], there[real]
 
 
 class Phrases:
@@ -115,20 +106,22 @@ class Phrases:
         low, high = self.forward.first[1:-1], self.forward.first[2:]
         self.single = (np.arange(1, symbols), high - low)
         # pairs: every word extended to the left
-        owner, left, count, _, there = self.forward.extend(low, high, low)
+        owner, left, count, there = self.forward.extend(low, high, low)
         self.pairs = (left, owner + 1, count)
         self.pair_begins = there
 
-    def text(self, *ids: np.ndarray) -> pa.Array:
-        parts = [self.words.take(pa.array(i)) for i in ids]
-        return parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, " ")
+    def keys(self, lang: str, *ids: np.ndarray) -> pa.Array:
+        """The words of each phrase joined by spaces, then a line break, which no word holds, and the language."""
+        parts = [self.words.take(pa.array(i)) for i in ids[:-1]]
+        last = pc.binary_join_element_wise(self.words, pa.scalar(lang), "\n").take(pa.array(ids[-1]))
+        return pc.binary_join_element_wise(*parts, last, " ") if parts else last
 
     def triples(self, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
         """Wanted pairs extended to the right by words with which they form a wanted pair again."""
         left, right, count = self.pairs
         backward = Index(self.ids[::-1], self.forward.symbols)
         low = self.pair_begins[wanted]
-        owner, word, times, _, _ = backward.extend(low, low + count[wanted], low)
+        owner, word, times, _ = backward.extend(low, low + count[wanted], low)
         symbols = self.forward.symbols
         first, second = left[wanted][owner], right[wanted][owner]
         known = np.sort((left * symbols + right)[wanted])
@@ -138,20 +131,12 @@ class Phrases:
         return first[good], second[good], word[good], times[good]
 
 
-def table_place(lang: str, phrases: pa.Array) -> np.ndarray:
-    """The bit of each phrase in the table of frequent pairs."""
-    front = zlib.crc32(lang.encode() + b"\0")
-    places = [zlib.crc32(x, front) for x in phrases.cast(pa.binary()).to_pylist()]
-    return np.array(places, np.int64) & ((1 << TABLE_BITS) - 1)
-
-
 def _shards(docs: DataFrame, lang: str, text: str, enumerate_phrases) -> DataFrame:
-    """(lang, phrase, words, n) of the shards, not yet added up."""
+    """(key, n) of the phrases of each shard, not yet added up."""
     rows = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    names = ["lang", "phrase", "words", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,43 +144,44 @@ def _shards(docs: DataFrame, lang: str, text: str, enumerate_phrases) -> DataFra
             for part in slices(ordered, 1, SHARD_BYTES):
                 for value in pc.unique(part.column(0)).to_pylist():
                     pieces = pieces_of(texts(part.filter(pc.equal(part.column(0), value)).column(1)))
-                    if not len(pieces.ids):
-                        continue
-                    for phrases, words, counts in enumerate_phrases(value, pieces):
-                        n = len(phrases)
-                        columns = [pa.repeat(value, n), phrases, pa.repeat(pa.scalar(words, pa.int32()), n), pa.array(counts, pa.int64())]
-                        yield pa.RecordBatch.from_arrays(columns, names)
+                    if len(pieces.ids):
+                        for keys, counts in enumerate_phrases(value, Phrases(pieces)):
+                            yield pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64())], ["key", "n"])
 
-    return rows.mapInArrow(run, "lang string, phrase string, words int, n bigint")
+    return rows.mapInArrow(run, "key string, n bigint")
 
 
-def _added_up(shards: DataFrame) -> DataFrame:
-    return shards.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+def _added_up(shards: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, words, n) of single words, and of longer phrases with n >= least."""
+    total = shards.groupBy("key").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | ~F.col("key").rlike("^[^\n]* "))
+    phrase = F.substring_index("key", "\n", 1)
+    lang = F.expr("substring(key, char_length(substring_index(key, '\n', 1)) + 2)")
+    words = (F.char_length(phrase) - F.char_length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1).alias("words")
+    return total.select(lang.alias("lang"), words, phrase.alias("phrase"), "n")
 
 
-def _singles_and_pairs(lang: str, pieces: Pieces):
-    found = Phrases(pieces)
+def _singles_and_pairs(lang: str, found: Phrases):
     word, count = found.single
-    yield found.text(word), 1, count
+    yield found.keys(lang, word), count
     left, right, count = found.pairs
-    yield found.text(left, right), 2, count
+    yield found.keys(lang, left, right), count
 
 
 def _triples(table: np.ndarray):
-    def enumerate_phrases(lang: str, pieces: Pieces):
-        found = Phrases(pieces)
+    def enumerate_phrases(lang: str, found: Phrases):
         left, right, _ = found.pairs
-        place = table_place(lang, found.text(left, right))
+        keys = found.keys(lang, left, right).cast(pa.binary()).to_pylist()
+        place = np.fromiter(map(zlib.crc32, keys), np.int64, len(keys)) & ((1 << TABLE_BITS) - 1)
         frequent = (table[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
-        first, second, third, count = found.triples(frequent)
-        yield found.text(first, second, third), 3, count
+        *words, count = found.triples(frequent)
+        yield found.keys(lang, *words), count
 
     return enumerate_phrases
 
 
 def frequent_table(pairs: DataFrame) -> np.ndarray:
     """A bit for each frequent pair: at most 2**18 numbers of 64 bits reach the driver."""
-    key = F.concat(F.col("lang"), F.lit("\0"), F.col("phrase"))
+    key = F.concat_ws("\n", "phrase", "lang")
     place = F.crc32(key.cast("binary")).bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
     bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
     words = pairs.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
@@ -210,12 +196,12 @@ def phrase_counts(docs: DataFrame, least: int = 10, lang: str = "lang", text: st
 
     Two passes over the texts; the counts are whole sums over all shards.
     """
-    short = saved(_added_up(_shards(docs, lang, text, _singles_and_pairs)).where((F.col("words") == 1) | (F.col("n") >= least)), "phrases")
+    short = saved(_added_up(_shards(docs, lang, text, _singles_and_pairs), least), "phrases")
     totals = short.where("words = 1").groupBy("lang").agg(F.sum("n").alias("n"))
     common = short.where(F.col("n") >= least)
     table = frequent_table(common.where("words = 2"))
-    long = _added_up(_shards(docs, lang, text, _triples(table))).where(F.col("n") >= least)
-    return common.unionByName(saved(long, "phrases")), totals
+    long = saved(_added_up(_shards(docs, lang, text, _triples(table)), least), "phrases")
+    return common.unionByName(long), totals
 
 
 def _exact_score(a: Column, left: Column, right: Column) -> Column:
