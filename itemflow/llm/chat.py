@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from itemflow.llm.common import match, saved
 
 PIECE_TURNS = 128
+BOUND_CHARS = 64
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 SYSTEM = "system"
 
@@ -29,8 +30,9 @@ def plain(text: Column) -> Column:
 def _numbered(turns: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
     """(c, speaker, text, number): turns of each dialogue, numbered from 0."""
     rows = turns.select(F.col(conv_id).alias("c"), F.col(turn).alias("at"), plain(F.col(role)).alias("speaker"), plain(F.col(text)).alias("text"))
-    order = [F.col("c"), F.col("at").asc_nulls_last(), F.col("speaker"), F.xxhash64("text"), F.col("text")]
-    ordered = rows.repartitionByRange(*order[:4]).sortWithinPartitions(*order)
+    order = [F.col("c"), F.col("at").asc_nulls_last(), F.col("speaker")]
+    # bounds are sampled: they hold the beginnings of texts only
+    ordered = rows.repartitionByRange(*order, F.left("text", F.lit(BOUND_CHARS))).sortWithinPartitions(*order, "text")
     placed = saved(ordered.select("c", "speaker", "text", F.monotonically_increasing_id().alias("place")), "turns")
     placed = placed.withColumn("part", F.shiftright("place", 33))
     firsts = saved(placed.groupBy("c", "part").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firsts")

@@ -58,6 +58,14 @@ def text_key(column: str = "text") -> Column:
     return F.xxhash64(F.col(column))
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """The name, with lines in front until no column of the frame has it."""
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def match(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
     """Null-safe equality of left columns with right columns."""
     condition = F.lit(True)

@@ -158,19 +158,32 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row of the table."""
+    """(doc_id, size, source_size, target, taken) of every row of the table.
+
+    Nulls, empty texts, ties and an empty table as in ``mix``; of rows that repeat some
+    may be taken once more than others.
+    """
     each = mix(docs).withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
     times = F.col("whole") + F.when(F.col("row") <= F.col("extra"), 1).otherwise(0)
     return each.select(F.col("i").alias("doc_id"), "size", "source_size", "target", (F.col("size") * times).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents of the mix, all columns, each as many times as it is taken."""
-    plan = mix(docs).select("i", "k", F.col("source").alias("s"), "n", "extra", "whole").withColumnsRenamed({x: f"__{x}" for x in ("i", "k", "s", "n", "extra", "whole")})
-    keyed = docs.withColumns({"__key": text_key(), "__id": F.col("doc_id").cast("bigint"), "__source": F.col("source").cast("string")})
-    joined = keyed.join(plan, match(keyed, plan, {"__id": "__i", "__key": "__k", "__source": "__s"}))
-    row = F.row_number().over(Window.partitionBy("__id", "__key", "__source").orderBy(F.lit(0)))
-    times = F.col("__whole") + F.when(F.when(F.col("__n") == 1, F.lit(1)).otherwise(row) <= F.col("__extra"), 1).otherwise(0)
-    counted = joined.withColumn("__times", times).where("__times > 0")
-    repeated = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__times").cast("bigint"))))
-    return repeated.select(*docs.columns)
+    """The documents of the mix, all columns, each as many times as it is taken.
+
+    Nulls, empty texts, ties and an empty table as in ``mix``; a document that is not
+    taken has no row. Columns may have any names: rows travel as a whole.
+    """
+    plan = mix(docs).select("i", "k", F.col("source").alias("s"), "n", "extra", "whole")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"),
+        text_key().alias("r_k"),
+        F.col("doc_id").cast("bigint").alias("r_i"),
+        F.col("source").cast("string").alias("r_s"),
+    )
+    joined = rows.join(plan, match(rows, plan, {"r_i": "i", "r_k": "k", "r_s": "s"}))
+    place = F.row_number().over(Window.partitionBy("r_i", "r_k", "r_s").orderBy(F.lit(0)))
+    times = F.col("whole") + F.when(F.when(F.col("n") == 1, F.lit(1)).otherwise(place) <= F.col("extra"), 1).otherwise(0)
+    counted = joined.withColumn("times", times).where("times > 0")
+    repeated = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times").cast("bigint"))))
+    return repeated.select("all.*")

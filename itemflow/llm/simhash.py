@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemflow.llm.common import saved, slices, texts
+from itemflow.llm.common import free_name, saved, slices, texts
 from itemflow.llm.components import connected_components
 
 SEED = 42
@@ -166,9 +166,9 @@ def near_duplicates(docs: DataFrame, keep: list[str], words: int = 3, most: int
     and repeated rows share a fingerprint and so a component. Null doc_ids have
     fingerprints but never name a component, unless all of its doc_ids are null:
     then component_id is null. An empty table gives an empty result. Columns that
-    are not kept are not looked at.
+    are not kept are not looked at; kept ones with the names of new ones are replaced.
     """
-    names = list(dict.fromkeys([doc_id, *keep]))
+    names = [c for c in dict.fromkeys([doc_id, *keep]) if c not in ("fp", "root", "component_id")]
     marked = saved(with_fingerprints(docs, names, words, text), "fingerprints")
     prints = marked.groupBy("fp").agg(F.min(doc_id).alias("least"))
     groups = connected_components(linked(prints.select("fp"), most)).withColumnsRenamed({"a": "fp", "b": "root"})
@@ -183,10 +183,12 @@ def one_of_each(docs: DataFrame, words: int = 3, most: int = 2) -> DataFrame:
     """The documents with one row of each near-duplicate group, that of the least doc_id.
 
     Of rows that share the least doc_id the first by place stays; of a group without
-    doc_ids the first by place. All columns are returned as they are.
+    doc_ids the first by place; rows that repeat are such copies. All columns are
+    returned as they are, whatever their names; an empty table gives an empty result.
     """
-    kept = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    marked = near_duplicates(kept, ["__row"], words, most)
+    row = free_name(docs, "row")
+    kept = saved(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    marked = near_duplicates(kept, [row], words, most)
     able = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = able.groupBy("root").agg(F.min("__row").alias("__row"))
-    return kept.join(first.select("__row"), "__row", "left_semi").drop("__row")
+    first = able.groupBy("root").agg(F.min(row).alias(row))
+    return kept.join(first.select(row), row, "left_semi").drop(row)

@@ -42,7 +42,8 @@ STOPS = b".,;:!?"
 def place(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a folder or file named by Spark."""
     if re.match(r"[a-z0-9]+:", uri):
-        return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+        # Spark's names of S3 are its own
+        return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", uri)))
     return fs.LocalFileSystem(), uri
 
 

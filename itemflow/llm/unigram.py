@@ -272,34 +272,44 @@ class Unigram:
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text: bytes of the pieces, without the space that encoding put in front."""
+        return self.spell(ids).decode(errors="replace")
+
+    def spell(self, ids: list[int] | np.ndarray) -> bytes:
         spelled = self.spelled
-        return b"".join([spelled[i] for i in ids]).removeprefix(b" ").decode(errors="replace")
+        return b"".join([spelled[i] for i in ids]).removeprefix(b" ")
 
 
-def encode_documents(docs: DataFrame, model: str, keep: list[str], text: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, keep: list[str], text: str = "text", check: bool = False) -> DataFrame:
     """The kept columns and ``ids``, the piece ids of the whole text.
 
+    With ``check``, also ``round_trip``: the ids, decoded again, give the text. The same
+    worker encodes and decodes, so that one model is held per core.
+
     Null and empty texts have no ids. The marker character in a text counts as a
     space, as it does in the format. Very long texts, also without a space, are
     encoded whole. Equal scores are settled by position, so that rows that repeat
-    get the same ids. A kept column named ``ids`` is replaced; an empty table gives
-    an empty result.
+    get the same ids. Kept columns named ``ids`` or, with ``check``, ``round_trip`` are
+    replaced; an empty table gives an empty result.
     """
-    keep = [c for c in keep if c != "ids"]
+    new = {"ids": F.array().cast("array<int>")} | ({"round_trip": F.lit(True)} if check else {})
+    keep = [c for c in keep if c not in new]
     rows = docs.select(*[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("t"))
-    schema = rows.drop("t").withColumn("ids", F.array().cast("array<int>")).schema
-    last = len(keep)
+    schema = rows.drop("t").withColumns(new).schema
+    last, names = len(keep), list(new)
 
     unigram = Unigram(model)  # goes to the tasks as it is: its size is that of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, last):
-                ids = unigram.encode(texts(part.column(last)))
+                plain = texts(part.column(last))
+                ids = unigram.encode(plain)
                 ends = np.cumsum([0, *map(len, ids)]) // 4
-                values = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                column = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-                yield pa.RecordBatch.from_arrays([*part.columns[:last], column], [*part.schema.names[:last], "ids"])
+                values = np.frombuffer(b"".join(ids), np.int32)
+                columns = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))]
+                if check:
+                    columns.append(pa.array([unigram.spell(np.frombuffer(i, np.int32).tolist()) == x for i, x in zip(ids, plain)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:last], *columns], [*part.schema.names[:last], *names])
 
     return rows.mapInArrow(run, schema).withColumnsRenamed({f"k_{i}": c for i, c in enumerate(keep)})
 
