@@ -11,20 +11,35 @@ from itemflow.llm.line_dedup import without_repeated_lines
 from itemflow.llm.mixing import mixed_documents
 from itemflow.llm.quality import CUTOFF, quality_verdicts
 from itemflow.llm.simhash import one_of_each
-from itemflow.llm.unigram import decode_documents, encode_documents
+from itemflow.llm.unigram import encode_documents
+
+
+READ = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The columns that stages read, and all others in one struct, so that no operator meets their names."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in READ]
+    return docs.select(*READ, F.struct(*others).alias("others")) if others else docs.select(*READ)
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of the documents in their order."""
+    return rows.select(*[F.col(c) if c in READ else F.col(f"others.`{c}`") for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_verdicts(docs, docs.columns, CUTOFF).where("kept").select(*docs.columns)
+    rows = packed(docs)
+    return unpacked(quality_verdicts(rows, rows.columns, CUTOFF).where("kept"), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without later copies of runs of lines."""
-    others = [c for c in docs.columns if c != "text"]
-    kept = without_repeated_lines(docs, others)
+    rows = packed(docs)
+    kept = without_repeated_lines(rows, [c for c in rows.columns if c != "text"])
     changed = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("bigint")}
-    return kept.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return unpacked(kept.withColumns(changed), docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +55,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, with whether they decode to its text."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    ids = encode_documents(docs, model, docs.columns)
-    decoded = decode_documents(ids, model, [*docs.columns, "ids"])
-    round_trip = (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip")
-    return decoded.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_tokens"), "ids", round_trip)
+    ids = encode_documents(docs, model, ["doc_id", "lang", "source", "n_chars"], check=True)
+    return ids.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [
