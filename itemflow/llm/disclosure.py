@@ -9,10 +9,15 @@ information; what there is to tell is the entity's information content:
     disclosure(c, t) = PMI(c; t) / IC(c) = 1 - log P(c | t) / log P(c)
 
 with P(c | t) the share of the term's places that are near the entity and P(c) the share of
-all places that are. A term that discloses ``THRESHOLD`` of some entity, as seen in
-``SUPPORT`` different neighbourhoods, is replaced wherever it stands: by its longest
-beginning that, as the class of all terms that begin so, stays under the threshold for every
-entity, or by nothing where there is none.
+all places that are. A term that discloses ``THRESHOLD`` of some entity to ``SUPPORT``
+independent witnesses is replaced wherever it stands: by its longest beginning that, as the
+class of all terms that begin so, stays under the threshold for every entity, or by nothing
+where there is none.
+
+Neighbourhoods in copies and near copies of one text are no independent witnesses. Equal
+ones count once. Of the others, ``SKETCHES`` min-hashes are taken, which near copies mostly
+share; the number of witnesses is the mean, over the hashes, of the effective number of
+values (the inverse of the chance that two neighbourhoods have the same).
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ import re
 import zlib
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +40,11 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "term")
 NEAR = 10
 SUPPORT = 3
+SKETCHES = 4
 THRESHOLD = 0.75
 SHORTEST_STEM = 3
+# So many terms to replace, of so many characters in all, are handed to every worker; more are joined.
+TERMS_HELD, CHARS_HELD = 200_000, 8_000_000
 # Bits of the table of terms to replace; it has half a megabyte, whatever the corpus.
 TABLE_BITS = 22
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,replacement:string>>"
@@ -119,15 +127,20 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*parts, text[done:]])
 
 
-def neighbourhoods(text: str, spans: list[Span]) -> Iterator[tuple[str, int, Counter]]:
-    """(entity, number of the neighbourhood, its terms) for each span."""
+def sketch(terms: Iterable[str]) -> list[int]:
+    """Min-hashes of the terms."""
+    return [min((zlib.crc32(x.encode(), seed) for x in terms), default=0) for seed in range(SKETCHES)]
+
+
+def neighbourhoods(text: str, spans: list[Span]) -> Iterator[tuple[str, int, Counter, list[int]]]:
+    """(entity, number of the neighbourhood, its terms, their min-hashes) for each span."""
     terms = [(m.start(), m[0].translate(LOWER)) for m in TERM.finditer(masked(text, spans))]
     starts = [x for x, _ in terms]
     for span in spans:
         a, b = bisect_left(starts, span[0]), bisect_left(starts, span[2])
         near = [x for _, x in [*terms[max(0, a - NEAR) : a], *terms[b : b + NEAR]]]
         place = xxhash.xxh64_intdigest(" ".join(near).encode())
-        yield entity(text, span), place - 2**63, Counter(near)
+        yield entity(text, span), place - 2**63, Counter(near), sketch(set(near))
 
 
 # Counts over all documents ------------------------------------------------------
@@ -153,9 +166,9 @@ def _terms(rows: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
 
 
 def evidence(docs: DataFrame, text: str) -> DataFrame:
-    """(entity, place, term, n): terms of each neighbourhood of an entity, and, without entity, of all texts."""
+    """(entity, place, term, n, sketch): terms of each neighbourhood of an entity, and, without entity, of all texts."""
     rows = docs.select(F.col(text).cast("string").alias("t"))
-    names = ["entity", "place", "term", "n"]
+    kinds = {"entity": pa.string(), "place": pa.int64(), "term": pa.string(), "n": pa.int64(), "sketch": pa.list_(pa.int64())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,22 +178,32 @@ def evidence(docs: DataFrame, text: str) -> DataFrame:
                 if len(codes):
                     n = len(distinct)
                     words = pa.array([x[:-1].decode() for x in distinct], pa.string())
-                    columns = [pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), words, pa.array(np.bincount(codes, minlength=n))]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                    counts = pa.array(np.bincount(codes, minlength=n), pa.int64())
+                    columns = [pa.nulls(n, kinds["entity"]), pa.nulls(n, kinds["place"]), words, counts, pa.nulls(n, kinds["sketch"])]
+                    yield pa.RecordBatch.from_arrays(columns, list(kinds))
                 near = [
-                    (value, place, term, times)
+                    (value, place, term, times, hashes)
                     for x, s in zip(plain, spans)
                     if s
-                    for value, place, terms in neighbourhoods(x, s)
+                    for value, place, terms, hashes in neighbourhoods(x, s)
                     for term, times in terms.items()
                 ]
                 if near:
-                    columns = [pa.array(x, kind) for x, kind in zip(zip(*near), (pa.string(), pa.int64(), pa.string(), pa.int64()))]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                    columns = [pa.array(x, kind) for x, kind in zip(zip(*near), kinds.values())]
+                    yield pa.RecordBatch.from_arrays(columns, list(kinds))
+
+    found = rows.mapInArrow(run, "entity string, place bigint, term string, n bigint, sketch array<bigint>")
+    hashes = [F.max(F.get("sketch", F.lit(i))).alias(f"sketch_{i}") for i in range(SKETCHES)]
+    # the same neighbourhood in copies of a text is one row; its places all count
+    return found.groupBy("entity", "place", "term").agg(F.sum("n").alias("n"), *hashes)
+
 
-    found = rows.mapInArrow(run, "entity string, place bigint, term string, n bigint")
-    # the same neighbourhood in copies of a text is one witness; its places all count
-    return found.groupBy("entity", "place", "term").agg(F.sum("n").alias("n"))
+def witnesses(near: DataFrame) -> DataFrame:
+    """(entity, term, witnesses) from neighbourhoods: the mean effective number of their min-hashes."""
+    hashes = F.posexplode(F.array(*[f"sketch_{i}" for i in range(SKETCHES)])).alias("at", "hash")
+    each = near.select("entity", "term", hashes).groupBy("entity", "term", "at", "hash").agg(F.count("*").cast("double").alias("n"))
+    effective = F.sum("n") * F.sum("n") / F.sum(F.col("n") * F.col("n"))
+    return each.groupBy("entity", "term", "at").agg(effective.alias("effective")).groupBy("entity", "term").agg(F.avg("effective").alias("witnesses"))
 
 
 def disclosed(near: Column, all_: Column, entity_near: Column, places: Column) -> Column:
@@ -201,10 +224,11 @@ def revealing_terms(docs: DataFrame, threshold: float = THRESHOLD, support: int
     entities = near.groupBy("entity").agg(F.sum("n").alias("entity_n")).crossJoin(total)
     known = joint.join(vocabulary, "term").join(entities, "entity")
     told = known.withColumn("disclosure", disclosed(F.col("near_n"), F.col("all_n"), F.col("entity_n"), F.col("total_n")))
-    marked = saved(
-        told.where((F.col("places") >= support) & (F.col("disclosure") >= threshold)).groupBy("term").agg(F.max("disclosure").alias("disclosure")),
-        "revealing",
+    strong = saved(
+        told.where((F.col("places") >= support) & (F.col("disclosure") >= threshold)).select("entity", "term", "disclosure"), "strong"
     )
+    seen = witnesses(near.join(strong, ["entity", "term"], "left_semi")).where(F.col("witnesses") >= support)
+    marked = saved(strong.join(seen, ["entity", "term"]).groupBy("term").agg(F.max("disclosure").alias("disclosure")), "revealing")
     # beginnings of the marked terms, as classes of all terms that begin so
     lengths = F.sequence(F.lit(SHORTEST_STEM), F.greatest(F.char_length("term") - 1, F.lit(SHORTEST_STEM)))
     stems = F.explode(F.transform(lengths, lambda k: F.left(F.col("term"), k))).alias("stem")
@@ -294,9 +318,15 @@ def without_personal_data(
     """
     keep = [c for c in keep if c not in ("spans", "clean_text")]
     terms = saved(revealing_terms(docs, threshold, support, text), "terms")
-    found = term_spans(docs, terms, text)
-    own = docs.select(*[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("t"), *_text_key(text))
-    rows = own.join(found, ["k1", "k2"], "left").select(*[f"k_{i}" for i in range(len(keep))], "t", "terms")
+    own = [*[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("t")]
+    size = terms.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.char_length("term")), F.lit(0)).alias("chars")).first()
+    if size.n <= TERMS_HELD and size.chars <= CHARS_HELD:
+        held = {r.term: r.replacement for r in terms.collect()}
+        rows = docs.select(*own, F.lit(None).cast("array<struct<start:bigint,end:bigint,replacement:string>>").alias("terms"))
+    else:
+        held = {}
+        found = term_spans(docs, terms, text)
+        rows = docs.select(*own, *_text_key(text)).join(found, ["k1", "k2"], "left").drop("k1", "k2")
     schema = rows.drop("t", "terms").withColumns({"spans": F.array().cast(SPANS), "clean_text": F.lit("")}).schema
     last = len(keep)
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("replacement", pa.string())]))
@@ -304,11 +334,17 @@ def without_personal_data(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, last):
+                plain, found, blank = _plain_texts(part.column(last))
+                more = [[(t["start"], 4, t["end"], t["replacement"]) for t in x or []] for x in part.column(last + 1).to_pylist()]
+                if held:
+                    codes, distinct, owner = _terms(blank)
+                    there = np.array([x[:-1].decode() in held for x in distinct], bool)
+                    for k in np.unique(owner[there[codes]]).tolist() if len(codes) else []:
+                        every = [(m.start(), m.end(), m[0].translate(LOWER)) for m in TERM.finditer(masked(plain[k], found[k]))]
+                        more[k] = [(a, 4, b, held[x]) for a, b, x in every if x in held]
                 spans, clean = [], []
-                for x, more in zip(part.column(last).to_pylist(), part.column(last + 1).to_pylist()):
-                    x = x or ""
-                    mine = [(a, k, b, f"[{KINDS[k].upper()}]") for a, k, b in base_spans(x)]
-                    mine = sorted([*mine, *((t["start"], 4, t["end"], t["replacement"]) for t in more or [])])
+                for x, base, others in zip(plain, found, more):
+                    mine = sorted([*((a, k, b, f"[{KINDS[k].upper()}]") for a, k, b in base), *others])
                     spans.append([{"kind": KINDS[k], "start": a, "end": b, "replacement": r} for a, k, b, r in mine])
                     clean.append(_replaced(x, mine))
                 columns = [*part.columns[:last], pa.array(spans, span_type), pa.array(clean, pa.string())]
