@@ -106,6 +106,13 @@ def repeat_omit(spark, sf_dir):
     return kept.select(*SHOWN, "repeat_omitted")
 
 
+@query("repeat_omit_spread", _recoded("seen > 1", ", seen > 1 as repeat_omitted", source=_RANKED))
+def repeat_omit_spread(spark, sf_dir):
+    """The same, for items that one student may be shown any number of times."""
+    kept, _ = omissions.repeat_questions(_attempted(spark, sf_dir), spread=True)
+    return kept.select(*SHOWN, "repeat_omitted")
+
+
 @query(
     "repeat_remove",
     with_responses(f"select response_id, content_item_id, student_id from {_RANKED} r where seen = 1"),

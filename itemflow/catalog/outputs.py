@@ -315,16 +315,13 @@ def _first_source(spark, sf_dir, templates):
     """Exams of the source that knows students by their user id only."""
     users = _users(spark, sf_dir)
     exams = _exams(spark, sf_dir, templates).join(users, "student_id").drop("student_id")
-    # a tenth of the users is not in the lookup
-    lookup = users.where(~F.col("student_id").endswith("3"))
-    return combine.with_student_ids(_combined(exams, templates, "user_id"), lookup)
+    return combine.with_student_ids(_combined(exams, templates, "user_id"), users)
 
 
 def _first_sql(templates) -> str:
     return (
         "select c.c_name as user_id, cast(c.c_custkey as varchar) as student_id, f.* exclude (student_id) from "
-        f"({_combined_sql(templates)}) f join customer c on cast(c.c_custkey as varchar) = f.student_id "
-        "where c.c_custkey % 10 <> 3"
+        f"({_combined_sql(templates)}) f join customer c on cast(c.c_custkey as varchar) = f.student_id"
     )
 
 
@@ -341,6 +338,10 @@ def combine_lookup(spark, sf_dir):
     ),
 )
 def combine_sources(spark, sf_dir):
-    templates = (3, 4, 5)
-    second = _combined(_exams(spark, sf_dir, templates), templates)
-    return combine.combine_sources(_first_source(spark, sf_dir, (1, 2)), second)
+    users = _users(spark, sf_dir)
+    first, second = ({f"T{t}_": TENS for t in templates} for templates in ((1, 2), (3, 4, 5)))
+    # the first source knows students by their user id only
+    named = _exams(spark, sf_dir, TEMPLATES).join(users, "student_id")
+    own = F.when(F.col("exam").isin(*first), F.col("user_id")).otherwise(F.col("student_id"))
+    long = named.withColumn("student_id", own).drop("user_id")
+    return combine.combine_sources(long, "scored_response", first, second, users, ".", "-99")

@@ -19,6 +19,7 @@ from itemflow.catalog.tables import (
     with_responses,
 )
 from itemflow.plans.clean import CleanConfig, CleanInputs, clean
+from itemflow.plans.steps import prepare
 
 _ACTIVITY = "(partition by activity_id_hist)"
 _SECTION = "(partition by activity_id_hist, section_name)"
@@ -600,3 +601,53 @@ def run_removed_repeats(spark, sf_dir):
     config = CleanConfig(total_minutes=1440, repeat_treatment="remove")
     result = clean(responses(spark, sf_dir), config, inputs)
     return result.removed_repeats.select("response_id", "content_item_id")
+
+
+# A study's preparation, and runs on activities that students share ---------------------
+
+
+def _prepare_steps() -> _Steps:
+    steps = _Steps()
+    steps.keep("not_in_activities", "student_id in (select cast(c_custkey as varchar) from customer where c_acctbal >= 0)")
+    steps.keep(
+        "repeat_enrollment",
+        "enrollment_id is null or enrollment_id not in (select c_custkey from customer where c_mktsegment = 'BUILDING')",
+    )
+    steps.keep("zero_enrollment", "enrollment_id <> 0")
+    steps.add(
+        "select * from {t} r where not exists (select 1 from {t} d "
+        "where (d.activity_status = 'reset' or regexp_matches(d.template_name, '[0-9]_d')) and d.student_id = r.student_id "
+        "and d.enrollment_id = r.enrollment_id and d.template_id = r.template_id)",
+        "deleted_template",
+    )
+    return steps.add(
+        f"select r.* from {{t}} r where exists (select 1 from {CONTENT_SQL} c where c.content_item_id = r.content_item_id "
+        "and c.content_item_name = r.content_item_name and c.template_id = r.template_id)",
+        "not_in_content",
+    )
+
+
+@query("audit_prepare", _funnel_sql(_prepare_steps()))
+def audit_prepare(spark, sf_dir):
+    """Every response that is lost on the way to the cleaning, from the first join to the last."""
+    source = responses(spark, sf_dir).withColumn("source_system", F.lit("A"))
+    customers = table(spark, sf_dir, "customer")
+    # the export of activities has those of students whose account is in credit
+    known = customers.where("c_acctbal >= 0").select(F.col("c_custkey").cast("string").alias("student_id"))
+    activities = source.join(known, "student_id").select("student_id", "activity_id", "source_system", "activity_status").distinct()
+    again = customers.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("enrollment_id"))
+    prepared = prepare(source.drop("activity_status"), activities, content_items(spark, sf_dir), again)
+    return prepared.audit.select("step_no", "step", *LEFT, *REMOVED)
+
+
+# the last response of an activity of two or more was given by somebody else
+_TWIN_SQL = "case when item_section_position = 5 then concat('twin of ', student_id) else student_id end"
+
+
+@query("clean_shared_activities", golden_sql(student_id=_TWIN_SQL))
+def clean_shared_activities(spark, sf_dir):
+    """Students with activities of their own, and students who share some."""
+    twin = F.concat(F.lit("twin of "), F.col("student_id"))
+    shared = F.when(F.col("item_section_position") == 5, twin).otherwise(F.col("student_id"))
+    inputs = CleanInputs(test_map=test_map(spark, sf_dir))
+    return golden_columns(clean(responses(spark, sf_dir, student_id=shared), GOLDEN, inputs).cleaned)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from itemflow.functions.checkpoints import stored
 from itemflow.operators.joins import check_unique, equi_join, natural_join
 from itemflow.operators.matrix import CODED_VARIABLES, NOT_SHOWN, _cell, pivoted, with_cell_state
 
@@ -90,6 +91,33 @@ def with_student_ids(combined: DataFrame, lookup: DataFrame, id_column: str = "u
     return equi_join(combined, lookup, [id_column], "inner")
 
 
-def combine_sources(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Students with exams in both sources."""
-    return natural_join(first, second, "inner")
+def combine_sources(
+    long: DataFrame,
+    variable: str,
+    first: Mapping[str, Sequence[str]],
+    second: Mapping[str, Sequence[str]],
+    lookup: DataFrame,
+    omit_code: str = "5",
+    not_seen_code: str = "6",
+    id_column: str = "user_id",
+) -> DataFrame:
+    """Students with exams in both of two sources, side by side.
+
+    ``long`` is one long matrix with an ``exam`` column; its ``student_id`` is what the
+    source of the exam calls the student: ``id_column`` in the first, the student in the
+    second. ``first`` and ``second`` give the items of the exams of each source. All exams
+    are pivoted together in one pass; what is joined afterwards has one row per student.
+    """
+    check_unique(lookup, [id_column], "the id lookup")
+    source = F.when(F.col("exam").isin(*first), F.lit("1")).when(F.col("exam").isin(*second), F.lit("2"))
+    tagged = long.withColumn("student_id", F.concat(source, F.col("student_id").cast("string")))
+    # a student without an id is in no other source
+    wide = stored(combine_long(tagged.where(F.col("student_id").isNotNull()), variable, {**first, **second}, omit_code, not_seen_code))
+
+    def of(number: str, exams: Mapping[str, Sequence[str]], id_name: str) -> DataFrame:
+        columns = [prefix + name for prefix, names in exams.items() for name in names]
+        mine = wide.where(F.col("student_id").startswith(number))
+        return mine.select(F.substring("student_id", 2, 2**31 - 1).alias(id_name), *columns)
+
+    known = with_student_ids(of("1", first, id_column), lookup, id_column)
+    return natural_join(known, of("2", second, "student_id"), "inner")

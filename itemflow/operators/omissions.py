@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from itemflow.functions.columns import cast_or_refuse, is_attempted, letter_to_number, zero_where
 from itemflow.operators.joins import equi_join, flag_members
+from itemflow.operators.ranking import ranked
 
 TREATMENTS = ("omit", "remove", "ignore")
 
@@ -97,39 +98,52 @@ def omit_old_keys(frame: DataFrame, old_keys: DataFrame) -> DataFrame:
 # Repeated questions ---------------------------------------------------------
 
 
-def showing(columns: list[str]) -> Column:
-    """Orders the times a student saw an item; null when the time is unknown.
+# What tells showings at one time apart, in this order, where a frame has it.
+SHOWING_TIES = (
+    "response_id", "activity_id_hist", "section_name", "item_section_position",
+    "raw_response", "scored_response", "milliseconds_used",
+)
+SHOWING = ("student_id", "content_item_id")
 
-    Showings at one time are told apart by the response, where responses have an id,
-    then by the activity, and then by a hash of the whole row: of rows that differ
-    anywhere exactly one is the first. Rows that agree in every column are all first.
+
+def showing_order(columns: list[str]) -> list[Column]:
+    """Orders the times a student saw an item; unknown times come last.
+
+    Showings at one time are told apart by the response and by what was answered. Rows
+    that agree in all of this are ranked one after the other, in no matter which order.
+    Rows without response ids are told apart by a hash of all their columns.
     """
-    ties = [c for c in ("response_id", "activity_id_hist") if c in columns]
-    whole = F.xxhash64(*[F.col(c) for c in sorted(columns)])
-    place = F.struct("timestamp_created", *ties, whole.alias("row"))
-    return F.when(F.col("timestamp_created").isNotNull(), place)
-
-
-def first_showings(frame: DataFrame) -> DataFrame:
-    """The first showing of every item a student saw more than once."""
-    return (
-        frame.where(F.col("timestamp_created").isNotNull())
-        .groupBy("student_id", "content_item_id")
-        .agg(F.min(showing(frame.columns)).alias("__first"), F.count("*").alias("__shown"))
-        .where("__shown > 1")
-        .drop("__shown")
-    )
+    ties = [F.col(c) for c in SHOWING_TIES if c in columns]
+    whole = [] if "response_id" in columns else [F.xxhash64(*[F.col(c) for c in sorted(columns)])]
+    return [F.col("timestamp_created").asc_nulls_last(), *ties, *whole]
+
 
+def is_repeat(rank: Column) -> Column:
+    """Not the first showing; null where the time, and so the place in the order, is unknown."""
+    return F.when(F.col("timestamp_created").isNotNull(), rank > 1)
 
-def flag_repeats(frame: DataFrame) -> DataFrame:
+
+def flag_repeats(frame: DataFrame, spread: bool = False) -> DataFrame:
     """Add ``repeat_omitted``: the student has seen this item at an earlier time.
 
-    A response of unknown time has no place in the order: its flag is null.
+    A response of unknown time has no place in the order: its flag is null. The rows are
+    read and shuffled once, by student and item, and ranked in order; the showings of one
+    item to one student are in one task. With ``spread`` they may be any number: rows are
+    ranked over range partitions.
     """
-    joined = equi_join(frame, first_showings(frame), ["student_id", "content_item_id"], "left")
-    later = F.coalesce(showing(frame.columns) != F.col("__first"), F.lit(False))
-    repeat = F.when(F.col("timestamp_created").isNotNull(), later)
-    return joined.withColumn("repeat_omitted", repeat).drop("__first")
+    if spread:
+        return ranked_showings(frame, "__rank").withColumn("repeat_omitted", is_repeat(F.col("__rank"))).drop("__rank")
+    rank = F.row_number().over(Window.partitionBy(*SHOWING).orderBy(*showing_order(frame.columns)))
+    return frame.withColumn("repeat_omitted", is_repeat(rank))
+
+
+def ranked_showings(frame: DataFrame, rank: str, alive: Column | None = None) -> DataFrame:
+    """Number the showings of each item to each student, however many; removed rows by themselves."""
+    order = {f"__order_{i}": c for i, c in enumerate(showing_order(frame.columns)[1:])}
+    group = {} if alive is None else {"__living": alive}
+    keyed = frame.withColumns(order | group)
+    numbered = ranked(keyed, [*SHOWING, *group], ["timestamp_created", *order], rank)
+    return numbered.drop(*order, *group)
 
 
 def check_treatment(treatment: str) -> str:
@@ -139,16 +153,18 @@ def check_treatment(treatment: str) -> str:
     return treatment
 
 
-def repeat_questions(frame: DataFrame, treatment: str = "omit") -> tuple[DataFrame, DataFrame | None]:
+def repeat_questions(
+    frame: DataFrame, treatment: str = "omit", spread: bool = False
+) -> tuple[DataFrame, DataFrame | None]:
     """Treat repeated questions; returns the rows and, for ``remove``, the removed ones.
 
     ``remove`` keeps first showings only, so responses of unknown time are in
-    neither of the two frames.
+    neither of the two frames. ``spread`` as in ``flag_repeats``.
     """
     treatment = check_treatment(treatment)
     if treatment == "ignore":
         return frame.withColumn("repeat_omitted", F.lit(False)), None
-    flagged = flag_repeats(frame)
+    flagged = flag_repeats(frame, spread)
     if treatment == "remove":
         return flagged.where(~F.col("repeat_omitted")), flagged.where(F.col("repeat_omitted"))
     return recode_as_omitted(flagged, F.col("repeat_omitted")), None

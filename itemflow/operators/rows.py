@@ -120,11 +120,11 @@ def content_of_template(content: DataFrame, template_id: int) -> DataFrame:
     return content.where(F.col("template_id") == template_id)
 
 
-def join_activities(responses: DataFrame, activities: DataFrame) -> DataFrame:
-    """Responses with the columns of their activity."""
+def join_activities(responses: DataFrame, activities: DataFrame, how: str = "inner") -> DataFrame:
+    """Responses with the columns of their activity; with ``how="left"`` also those without one."""
     keys = ["student_id", "activity_id", "source_system"]
     new = [c for c in activities.columns if c in keys or c not in responses.columns]
-    return natural_join(responses, activities.select(*new), "inner")
+    return natural_join(responses, activities.select(*new), how)
 
 
 def attach_content(

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from itemflow.functions.checkpoints import stored
 from itemflow.functions.columns import (
     any_where,
     count_where,
@@ -22,6 +23,7 @@ from itemflow.operators.joins import equi_join, flag_members
 from itemflow.plans.layout import HOT_ROWS, Branch, branches
 
 _MARK = "__"
+BELOW = "__below"
 
 
 @dataclass(frozen=True)
@@ -179,27 +181,36 @@ def clean(
     _row_rules(run, config, inputs)
     _flag_lists(run, config, inputs)
 
-    scored, marked, removed, pools = [], [], [], []
+    scored, marked, removed = [], [], []
     for branch in branches(responses, run.frame, config.layout, config.hot_rows):
         part = _Run(branch.rows, audit, run.steps, run.omit_steps, branch)
         _activity_rules(part, config, inputs)
         _item_rules(part, config)
         removed.append(_omissions(part, config, config_treatment, marked))
         _content(part, config, inputs)
-        pools.append(_scores(part, config, inputs).select("content_item_name"))
-        scored.append(_finished(part.frame, tags=audit))
+        _scores(part, config, inputs)
+        scored.append(_finished(part.frame, inner=True))
 
     frame = _union(scored)
     if save_to is not None:
         frame.write.mode("overwrite").parquet(save_to)
         frame = frame.sparkSession.read.parquet(save_to)
+    elif config.question_bank:
+        # the items of the bank are counted over the scored rows: these are made once
+        frame = stored(frame)
     table = funnel(frame, run.steps, run.omit_steps) if audit else None
-    cleaned = _finished(frame.where(F.col(DROP_STEP).isNull()) if audit else frame)
+    cleaned = frame.where(F.col(DROP_STEP).isNull()) if audit else frame
     if config.question_bank:
-        # without sections the items of the bank are those of the cleaned rows
-        saved = save_to is not None and not _has_sections(config, inputs)
-        pool = cleaned if saved else _union(pools)
+        pool = cleaned
+        if _has_sections(config, inputs) and config.min_items is not None:
+            # the bank holds the items of activities below the minimum as well
+            if audit:
+                late = run.steps.index("below_threshold")
+                pool = frame.where(F.col(DROP_STEP).isNull() | (F.col(DROP_STEP) == late))
+            else:
+                cleaned = frame.where(~F.col(BELOW))
         cleaned = scoring.student_rates(cleaned, scoring.distinct_items(pool))
+    cleaned = _finished(cleaned)
     return CleanResult(
         cleaned=cleaned,
         sections=_section_names(config, inputs),
@@ -213,9 +224,9 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _finished(frame: DataFrame, tags: bool = False) -> DataFrame:
-    """The frame without helper columns, with or without the tags of the audit."""
-    kept = (DROP_STEP, OMIT_STEP) if tags else ()
+def _finished(frame: DataFrame, inner: bool = False) -> DataFrame:
+    """The frame without helper columns, with or without those that the end of the run needs."""
+    kept = (DROP_STEP, OMIT_STEP, BELOW) if inner else ()
     return frame.drop(*[c for c in frame.columns if c.startswith(_MARK) and c not in kept])
 
 
@@ -360,10 +371,8 @@ def _omissions(
     if treatment == "ignore":
         run.frame = run.frame.withColumn("repeat_omitted", F.lit(False))
     else:
-        showing = omissions.showing(run.frame.columns)
-        run.attach(["student_id", "content_item_id"], {"__first": plain(F.min(only(showing, run.alive)))})
-        known = F.col("timestamp_created").isNotNull()
-        run.frame = run.frame.withColumn("repeat_omitted", F.when(known, showing != F.col("__first")))
+        run.frame = run.branch.rank_showings(run.frame, "__rank", run.alive)
+        run.frame = run.frame.withColumn("repeat_omitted", omissions.is_repeat(F.col("__rank")))
         if treatment == "remove":
             removed = _finished(run.living().where("repeat_omitted"))
             run.keep("repeat_removed", ~F.col("repeat_omitted"))
@@ -400,10 +409,11 @@ def _content(run: _Run, config: CleanConfig, inputs: CleanInputs) -> None:
 # Scores and thresholds -------------------------------------------------------------
 
 
-def _scores(run: _Run, config: CleanConfig, inputs: CleanInputs) -> DataFrame:
+def _scores(run: _Run, config: CleanConfig, inputs: CleanInputs) -> None:
     """Attach scores and apply the thresholds.
 
-    Returns the living rows whose items make up the pool of a question bank.
+    In a bank with sections, rows below the minimum are marked and not dropped: their
+    items count for the pool.
     """
     attach, activity = run.branch.attach, list(run.branch.activity)
     sections = _has_sections(config, inputs)
@@ -415,12 +425,12 @@ def _scores(run: _Run, config: CleanConfig, inputs: CleanInputs) -> DataFrame:
         )
         if not config.question_bank:
             run.keep("below_threshold", scoring.reaches_threshold())
-            return run.living()
+            return
         if config.min_items is not None:
             run.drop("below_threshold", scoring.below_bank_minimum(config.min_items))
         run.frame = scoring.student_tallies(run.frame, attach, run.alive)
         run.frame = run.branch.order_activities(run.frame, run.alive)
-        return run.living()
+        return
 
     _need(run.frame, "section_name", "section_num_ques")
     # longest key first: rows sorted by section, activity and student serve all three
@@ -429,13 +439,18 @@ def _scores(run: _Run, config: CleanConfig, inputs: CleanInputs) -> DataFrame:
         run.frame, expected, attach, activity, run.alive, with_omitted=False
     )
     run.frame = scoring.student_tallies(run.frame, attach, run.alive)
-    pool = run.living()
 
     if config.question_bank:
         if config.min_items is not None:
-            run.drop("below_threshold", scoring.below_bank_minimum(config.min_items))
-            run.frame = run.branch.order_activities(run.frame, run.alive)
-        return pool
+            low, reaching = scoring.below_bank_minimum(config.min_items), run.alive
+            if run.tagged:
+                run.drop("below_threshold", low)
+            else:
+                run.number("below_threshold")
+                run.frame = run.frame.withColumn(BELOW, F.coalesce(low, F.lit(False)))
+                reaching = ~F.col(BELOW)
+            run.frame = run.branch.order_activities(run.frame, reaching)
+        return
 
     run.frame = _expected_of_student(run, config, inputs)
     if inputs.section_map is not None and "min_items_per_seq" in inputs.section_map.columns:
@@ -448,7 +463,6 @@ def _scores(run: _Run, config: CleanConfig, inputs: CleanInputs) -> DataFrame:
         low = scoring.below_test_threshold()
     run.attach(activity, {"__low": any_where(low, run.alive)})
     run.drop("below_threshold", F.col("__low"))
-    return pool
 
 
 def _need(frame: DataFrame, *columns: str) -> None:

@@ -1,11 +1,11 @@
 """Choice of the physical layout of a cleaning run.
 
-If every activity belongs to one student and no student has very many rows, the
-rows are partitioned by student once, and every rule that follows is a window
-inside that partitioning: one shuffle of the wide rows in all. Students beyond
-the bound take the other way, in which every total is aggregated before it is
-shuffled and joined back. If an activity belongs to several students, all rows
-take the other way, keyed by the activity alone.
+The rows are partitioned by student once, and every rule that follows is a window
+inside that partitioning: one shuffle of the wide rows in all. Two kinds of students
+take another way, in which every total is aggregated before it is shuffled and joined
+back: those with very many rows, and those who took part in an activity that several
+students share. All rows of such a student go that way. As whoever shares an activity
+is such a student, every activity is whole on its side, and the rules see it whole.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from itemflow.functions.checkpoints import checkpointed
 from itemflow.operators.joins import drop_members, equi_join, keep_members
+from itemflow.operators.omissions import SHOWING, ranked_showings, showing_order
 from itemflow.operators.ranking import activity_order
 from itemflow.operators.scoring import activities_per_student
 from itemflow.plans.attach import Attach, by_saved_join, by_window
@@ -38,6 +39,7 @@ class Branch:
     attach: Attach
     order_activities: Callable[[DataFrame, Column | None], DataFrame]
     count_activities: Callable[[DataFrame, Column | None], DataFrame]
+    rank_showings: Callable[[DataFrame, str, Column | None], DataFrame]
 
 
 def _of_student(alive: Column | None) -> WindowSpec:
@@ -76,30 +78,31 @@ def _count_by_join(frame: DataFrame, alive: Column | None) -> DataFrame:
     return equi_join(frame, checkpointed(taken), ["student_id"], "left")
 
 
+def _rank_by_window(frame: DataFrame, rank: str, alive: Column | None) -> DataFrame:
+    kept = [] if alive is None else [alive]
+    shown = Window.partitionBy(*SHOWING, *kept).orderBy(*showing_order(frame.columns))
+    return frame.withColumn(rank, F.row_number().over(shown))
+
+
 def by_student(rows: DataFrame, n_rows: int | None = None) -> Branch:
     default = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = -(-(n_rows or 0) // PARTITION_ROWS)
     # without a number the partitions can still be merged when they turn out small
     parts = rows.repartition(wanted, "student_id") if wanted > default else rows.repartition("student_id")
-    return Branch(parts, ("student_id", "activity_id_hist"), by_window, _order_by_window, _count_by_window)
+    return Branch(parts, ("student_id", "activity_id_hist"), by_window, _order_by_window, _count_by_window, _rank_by_window)
 
 
 def by_aggregate(rows: DataFrame, activity: tuple[str, ...]) -> Branch:
-    return Branch(rows, activity, by_saved_join, _order_by_join, _count_by_join)
+    return Branch(rows, activity, by_saved_join, _order_by_join, _count_by_join, ranked_showings)
 
 
 def student_hash() -> Column:
     return F.xxhash64("student_id")
 
 
-def student_loads(responses: DataFrame) -> DataFrame:
-    """(student_hash, n_rows, shared): rows per student, and whether an activity is shared.
-
-    Reads two columns and combines them per activity before the first shuffle.
-    Students are told apart by a 64-bit hash, a number that a hash aggregate can
-    keep in place; students with one hash are only counted together.
-    """
-    per_activity = (
+def activity_students(responses: DataFrame) -> DataFrame:
+    """(activity_id_hist, n, student_hash, last_hash): rows and the least and greatest student of each activity."""
+    return (
         responses.select("activity_id_hist", student_hash().alias("student_hash"))
         .groupBy("activity_id_hist")
         .agg(
@@ -108,11 +111,28 @@ def student_loads(responses: DataFrame) -> DataFrame:
             F.max("student_hash").alias("last_hash"),
         )
     )
-    return per_activity.groupBy("student_hash").agg(
+
+
+def student_loads(responses: DataFrame) -> DataFrame:
+    """(student_hash, n_rows, shared): rows per student, and whether an activity is shared.
+
+    Reads two columns and combines them per activity before the first shuffle.
+    Students are told apart by a 64-bit hash, a number that a hash aggregate can
+    keep in place; students with one hash are only counted together. The rows of a
+    shared activity count for its first student.
+    """
+    return activity_students(responses).groupBy("student_hash").agg(
         F.sum("n").alias("n_rows"), F.max(F.col("student_hash") != F.col("last_hash")).alias("shared")
     )
 
 
+def sharing_students(responses: DataFrame) -> DataFrame:
+    """(student_hash): students with rows in an activity of several students."""
+    shared = activity_students(responses).where(F.col("student_hash") != F.col("last_hash")).select("activity_id_hist")
+    members = responses.select("activity_id_hist", student_hash().alias("student_hash"))
+    return keep_members(members, checkpointed(shared), ["activity_id_hist"]).select("student_hash")
+
+
 def branches(responses: DataFrame, rows: DataFrame, layout: str, hot_rows: int = HOT_ROWS) -> list[Branch]:
     """Split the rows by the layout they need. ``responses`` are the rows as given."""
     if layout not in LAYOUTS:
@@ -125,16 +145,15 @@ def branches(responses: DataFrame, rows: DataFrame, layout: str, hot_rows: int =
     most = loads.agg(
         F.max("n_rows").alias("n_rows"), F.max("shared").alias("shared"), F.sum("n_rows").alias("total")
     ).first()
-    if most.shared:
-        return [by_aggregate(rows, ("activity_id_hist",))]
-    if (most.n_rows or 0) <= hot_rows:
+    if not most.shared and (most.n_rows or 0) <= hot_rows:
         return [by_student(rows, most.total)]
-    # at most total / hot_rows students
-    hot = checkpointed(loads.where(F.col("n_rows") > hot_rows).select("student_hash"))
+    # at most total / hot_rows students, and those who share
+    apart = loads.where(F.col("n_rows") > hot_rows).select("student_hash")
+    if most.shared:
+        apart = apart.unionByName(sharing_students(responses))
+    apart = checkpointed(apart.distinct())
     hashed = rows.withColumn("student_hash", student_hash())
-    cold_rows = drop_members(hashed, hot, ["student_hash"]).drop("student_hash")
-    hot_rows_only = keep_members(hashed, hot, ["student_hash"]).drop("student_hash")
-    return [
-        by_student(cold_rows, most.total),
-        by_aggregate(hot_rows_only, ("student_id", "activity_id_hist")),
-    ]
+    most_rows = drop_members(hashed, apart, ["student_hash"]).drop("student_hash")
+    rest = keep_members(hashed, apart, ["student_hash"]).drop("student_hash")
+    activity = ("activity_id_hist",) if most.shared else ("student_id", "activity_id_hist")
+    return [by_student(most_rows, most.total), by_aggregate(rest, activity)]

@@ -40,36 +40,43 @@ def prepare(
 ) -> Prepared:
     """Join responses with their activities and remove what no study uses.
 
-    Repeated purchases, responses without an enrollment, and activities that
-    share student, enrollment and template with a deleted one. Each row is tagged
-    with the rule that removes it; the audit is one pass over the tags. ``save_to``
+    Responses without an activity, repeated purchases, responses without an enrollment,
+    activities that share student, enrollment and template with a deleted one, and
+    responses to items that the content does not have. Joins keep what they do not find:
+    each row is tagged with the rule that removes it, and the audit, one pass over the
+    tags, begins with all rows of the export. ``save_to``
     names a folder in shared storage: the tagged rows are written there once, and all
     that is returned reads them, not the exports.
     """
-    merged = rows.join_activities(rows.prepare_responses(responses), rows.prepare_activities(activities))
-    steps = ["start", "repeat_enrollment", "zero_enrollment", "deleted_template"]
+    known = rows.prepare_activities(activities).withColumn("__known", F.lit(True))
+    tagged = rows.join_activities(rows.prepare_responses(responses), known, "left")
+    steps = ["start", "not_in_activities", "repeat_enrollment", "zero_enrollment", "deleted_template"]
     again = F.lit(False)
-    tagged = merged
     if repeat_enrollments is not None:
         tagged = flag_members(tagged, repeat_enrollments, ["enrollment_id"], "__again")
         again = F.col("__again")
-    early = F.when(again, 1).when(F.coalesce(F.col("enrollment_id") == 0, F.lit(True)), 2)
+    early = F.when(F.col("__known").isNull(), 1).when(again, 2).when(F.coalesce(F.col("enrollment_id") == 0, F.lit(True)), 3)
     tagged = tagged.withColumn(DROP_STEP, early)
 
     keys = ["student_id", "enrollment_id", "template_id"]
     reset = F.coalesce(F.col("activity_status") == "reset", F.lit(False))
     deleted = tagged.where(F.col(DROP_STEP).isNull() & (reset | is_deleted_name(F.col("template_name"))))
     tagged = flag_members(tagged, deleted, keys, "__deleted")
-    last = F.when(F.col("__deleted"), 3)
-    tagged = tagged.withColumn(DROP_STEP, F.coalesce(DROP_STEP, last)).drop("__again", "__deleted")
+    tagged = tagged.withColumn(DROP_STEP, F.coalesce(DROP_STEP, F.when(F.col("__deleted"), 4)))
+    if content is not None:
+        steps.append("not_in_content")
+        listed = rows.prepare_content(content).withColumn("__listed", F.lit(True))
+        tagged = natural_join(tagged, listed, "left")
+        tagged = tagged.withColumn(DROP_STEP, F.coalesce(DROP_STEP, F.when(F.col("__listed").isNull(), 5)))
+    tagged = tagged.drop("__known", "__again", "__deleted", "__listed")
     if save_to is not None:
         writers.write_frame(tagged, save_to)
         tagged = readers.read_stage(tagged.sparkSession, save_to)
-    test_map = derive_test_map(template_profile(tagged.drop(DROP_STEP)))
+    # a template is known by all its activities, kept or not
+    with_activity = tagged.where(F.coalesce(F.col(DROP_STEP) != 1, F.lit(True)))
+    test_map = derive_test_map(template_profile(with_activity.drop(DROP_STEP)))
     audit = funnel(tagged.withColumn(OMIT_STEP, F.lit(None).cast("int")), steps, [])
     kept = tagged.where(F.col(DROP_STEP).isNull()).drop(DROP_STEP)
-    if content is not None:
-        kept = natural_join(kept, rows.prepare_content(content), "inner")
     return Prepared(kept, test_map, audit)
 
 

@@ -83,11 +83,36 @@ def test_shared_activities_are_judged_as_one(spark, con):
     assert found is None, found
 
 
+def test_a_bank_with_sections_counts_items_below_the_minimum(spark, con):
+    """Alike with an audit, without one, and with rows saved by the caller."""
+    from itemflow.catalog import ORACLES, QUERIES
+
+    assert differences(QUERIES["clean_qbank_sections"](spark, SF_DIR), con, ORACLES["clean_qbank_sections"]) is None
+
+
+@pytest.mark.parametrize("layout", ["auto", "aggregate"])
+def test_showings_at_one_time_in_every_layout(spark, layout):
+    """Rows that agree in all but nothing: one of them is the first, in a shared activity as well."""
+    frame = responses(spark, SF_DIR)
+    double = frame.unionByName(frame.where("activity_id % 7 = 0")).unionByName(frame.where("activity_id % 7 = 0"))
+    config = CleanConfig(remove_no_response_scored=False, layout=layout)
+    inputs = CleanInputs(test_map=make_test_map(spark, SF_DIR))
+    rows = clean(double.withColumn("template_name", F.col("template_name")), config, inputs)
+    ranks = rows.cleaned.groupBy("student_id", "content_item_id").agg(F.sum(F.when(~F.col("repeat_omitted"), 1).otherwise(0)).alias("firsts"))
+    assert ranks.where("firsts > 1").count() == 0
+
+
 def test_layout_is_chosen_by_the_data(spark):
     plain, one, twins = responses(spark, SF_DIR), hot(spark), shared(spark)
     assert [b.activity for b in branches(plain, plain, "auto")] == [("student_id", "activity_id_hist")]
     assert len(branches(one, one, "auto", hot_rows=300)) == 2
-    assert [b.activity for b in branches(twins, twins, "auto")] == [("activity_id_hist",)]
+    mixed = branches(twins, twins, "auto")
+    assert [b.activity for b in mixed] == [("student_id", "activity_id_hist"), ("activity_id_hist",)]
+    assert sum(b.rows.count() for b in mixed) == twins.count()
+    # whoever shares an activity is on the second side, with all their rows, and nobody else
+    sharing = twins.groupBy("activity_id_hist").agg(F.countDistinct("student_id").alias("n")).where("n > 1").drop("n")
+    students = twins.join(sharing, "activity_id_hist").select("student_id").distinct()
+    assert mixed[1].rows.count() == twins.join(students, "student_id").count() < twins.count()
     with pytest.raises(ValueError):
         branches(plain, plain, "other")
 

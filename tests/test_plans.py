@@ -72,8 +72,8 @@ def test_a_bank_run_shuffles_the_rows_once_per_pass(spark, tmp_path):
 
     inputs = CleanInputs(test_map=bank_map(spark, "/root/testdata/sf0.001"))
     plan = physical(clean(frame, runs.BANK, inputs).cleaned)
-    # one pass counts the items of the bank, the other scores against them
-    assert len(re.findall(r"Exchange hashpartitioning\(student_id", plan)) == 2
+    # the scored rows are stored: counting the items of the bank does not make them again
+    assert "hashpartitioning(student_id" not in plan and "Window" not in plan and "response_id" in plan
     saved = physical(clean(frame, runs.BANK, inputs, save_to=str(tmp_path / "bank")).cleaned)
     assert "hashpartitioning(student_id" not in saved and "Window" not in saved
 
@@ -102,11 +102,21 @@ def test_no_plan_has_a_cross_join_or_python(spark):
         assert "Python" not in plan and "Pandas" not in plan, name
 
 
-def test_first_showings_hold_repeated_items_only(spark):
-    frame = omissions.add_attempted(rows.drop_staged(responses(spark, "/root/testdata/sf0.001")))
-    firsts = omissions.first_showings(frame)
-    several = frame.groupBy("student_id", "content_item_id").count().where("count > 1").count()
-    assert firsts.count() == several
+def test_showings_are_ranked_in_one_pass(spark, tmp_path):
+    frame = written(spark, tmp_path)
+    plan = physical(omissions.flag_repeats(frame))
+    assert len(re.findall(r"Scan parquet", plan)) == 1 and len(re.findall(r"Exchange", plan)) == 1
+    assert "SortAggregate" not in plan and "Join" not in plan and "xxhash64" not in plan
+
+
+def test_queries_read_the_responses_once(spark):
+    """One scan of the fact table, and no aggregate that sorts."""
+    from itemflow.catalog import QUERIES
+
+    for name in ("matrix_long", "user_info", "repeat_omit"):
+        plan = physical(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert len(re.findall(r"Location:[^\n]*lineitem|Scan parquet[^\n]*l_orderkey", plan)) == 1, name
+        assert "SortAggregate" not in plan, name
 
 
 def test_tables_are_read_with_their_schema(spark):

@@ -54,15 +54,32 @@ def test_prepare_counts_what_it_removes(spark, exports):
     first = exclusions.without_repeat_enrollments(frame, again)
     second = rows.drop_zero_enrollment(first)
     third = exclusions.without_deleted_templates(second)
-    expected = [tuple(audit.counters(f).first()) for f in (frame, first, second, third)]
+    # all responses have an activity here
+    expected = [tuple(audit.counters(f).first()) for f in (frame, frame, first, second, third)]
     found = out.audit.orderBy("step_no").select(
         "responses_left", "activities_left", "users_left", "items_left"
     )
     assert [tuple(r) for r in found.collect()] == expected
-    assert expected[0] != expected[1] != expected[2] != expected[3]
+    assert expected[1] != expected[2] != expected[3] != expected[4]
     assert out.responses.count() == expected[-1][0]
 
 
+def test_prepare_accounts_for_rows_that_joins_lose(spark, exports):
+    """Whatever the joins do not find is a step: losses and what is left add up to the export."""
+    frame, _, _ = exports
+    activities = frame.where("activity_status <> 'reset'").select(
+        "student_id", "activity_id", "source_system", F.col("activity_status").alias("status")
+    ).distinct()
+    content = frame.where("template_id = 1 and section_name = 'Math'").select("content_item_id", "content_item_name").distinct()
+    out = steps.prepare(frame.drop("activity_status"), activities, content)
+    found = {r.step: r for r in out.audit.orderBy("step_no").collect()}
+    assert list(found) == ["start", "not_in_activities", "repeat_enrollment", "zero_enrollment", "deleted_template", "not_in_content"]
+    unknown = frame.join(activities, ["student_id", "activity_id"], "left_anti").count()
+    assert found["not_in_activities"].responses_removed == unknown > 0
+    assert found["not_in_content"].responses_removed > 0
+    assert sum(r.responses_removed for r in found.values()) + out.responses.count() == frame.count() == found["start"].responses_left
+
+
 def test_study(spark, exports, tmp_path):
     _, responses_path, activities_path = exports
     folder = str(tmp_path)
