@@ -15,7 +15,7 @@ from itemflow.catalog.tables import (
     test_map_sql,
     with_responses,
 )
-from itemflow.operators import combine, matrix, metadata, omissions, rows, scoring
+from itemflow.operators import cells, combine, matrix, metadata, omissions, rows, scoring
 from itemflow.operators.answer_key import given_keys
 
 # Items of the wide matrices: the last two digits of an item's name, so that the
@@ -345,3 +345,21 @@ def combine_sources(spark, sf_dir):
     own = F.when(F.col("exam").isin(*first), F.col("user_id")).otherwise(F.col("student_id"))
     long = named.withColumn("student_id", own).drop("user_id")
     return combine.combine_sources(long, "scored_response", first, second, users, ".", "-99")
+
+
+@query(
+    "matrix_cells",
+    with_responses(
+        f"{_cleaned_sql()}, {_LONG} select student_id, content_item_name, least(attempted, 1) as attempted, "
+        "case when attempted = 0 then 0 else scored_response end as scored_response from cells"
+    ),
+)
+def matrix_cells(spark, sf_dir):
+    """The matrix as text in blocks of columns, and back to one row per student and item."""
+    cleaned = _cleaned(spark, sf_dir)
+    blocks = matrix.in_blocks(matrix.name_order(cleaned), 700)
+    lines = matrix.block_lines(_long(cleaned), "scored_response", blocks, ".", "-99")
+    text = lines.select("block", F.concat_ws(",", "student_id", "line").alias("value"))
+    heads = matrix.block_headers(blocks).select("block", F.concat_ws(",", F.lit("student_id"), "line").alias("value"))
+    found = cells.long_of_cells(cells.cells_of_lines(text, heads, ["block"]), "scored_response", ".", "-99")
+    return found.select("student_id", "content_item_name", "attempted", "scored_response")

@@ -13,6 +13,9 @@ from itemflow.operators.joins import natural_join
 # Buckets per doubling of the value: the number of buckets depends on the range
 # of the values only, never on how many there are.
 _BUCKETS_PER_DOUBLING = 1024
+# So many different values of a range are sorted; a range with more is cut.
+SORTED_KINDS = 10_000
+_PARTS = 1024
 
 
 def _bucket(value: Column) -> Column:
@@ -29,13 +32,50 @@ def value_counts(values: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     )
 
 
+def _extent() -> list[Column]:
+    """What is known of a bucket: how many values, how many different ones, least and greatest."""
+    return [F.sum("n").alias("bucket_n"), F.count("*").alias("kinds"), F.min("value").alias("low"), F.max("value").alias("high")]
+
+
+def _in_range(counts: DataFrame, by: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """Counts with each wanted rank whose range they are in; at most six ranks per group."""
+    inside = (F.col("value") >= F.col("low")) & (F.col("value") <= F.col("high"))
+    for c in by:
+        inside = inside & F.col(c).eqNullSafe(F.col(f"w_{c}"))
+    return counts.join(F.broadcast(wanted), inside)
+
+
+def _narrowed(counts: DataFrame, by: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """Wanted ranks with ranges of at most ``SORTED_KINDS`` different values.
+
+    Where a range has more, it is cut into ``_PARTS`` parts of equal width between its
+    least and its greatest value; the part that holds the rank is the next range. Every
+    cut parts at least these two, and each is one pass over the counts.
+    """
+    group = [*[f"w_{c}" for c in by], "probability", "rank"]
+    while (wanted.agg(F.max("kinds")).first()[0] or 0) > SORTED_KINDS:
+        wide = wanted.where(F.col("kinds") > SORTED_KINDS)
+        part = F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * _PARTS)
+        cut = _in_range(counts, by, wide).select(
+            *group, "weight", "start", "value", "n", F.least(part, F.lit(_PARTS - 1)).alias("part")
+        )
+        # at most _PARTS rows per wanted rank
+        parts = cut.groupBy(*group, "weight", "start", "part").agg(*_extent())
+        end = F.col("start") + F.sum("bucket_n").over(Window.partitionBy(*group).orderBy("part"))
+        found = parts.withColumn("end", end).withColumn("start", F.col("end") - F.col("bucket_n"))
+        found = found.where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end"))).select(*wanted.columns)
+        wanted = checkpointed(wanted.where(F.col("kinds") <= SORTED_KINDS).unionByName(found))
+    return wanted
+
+
 def summarise_counts(counts: DataFrame, by: Sequence[str], saved: bool = False) -> DataFrame:
     """Minimum, quartiles, mean and maximum of a (by..., value, n) frame.
 
     Quartiles interpolate linearly between the two nearest order statistics.
     The ranks they need are found first among buckets of neighbouring values, so
     the only values that are sorted are those of the few buckets that hold a
-    wanted rank. The counts are read twice, and checkpointed unless they come
+    wanted rank; a bucket with very many different values is cut until it has few.
+    The counts are read twice, and checkpointed unless they come
     from saved rows.
     """
     by = list(by)
@@ -54,7 +94,7 @@ def summarise_counts(counts: DataFrame, by: Sequence[str], saved: bool = False)
     position = (F.col("total") - 1) * F.col("probability")
     wanted = (
         counts.groupBy(*by, "bucket")
-        .agg(F.sum("n").alias("bucket_n"))
+        .agg(*_extent())
         .withColumn("end", F.sum("bucket_n").over(ordered))
         .withColumn("start", F.col("end") - F.col("bucket_n"))
         .withColumn("total", F.sum("bucket_n").over(whole))
@@ -64,17 +104,13 @@ def summarise_counts(counts: DataFrame, by: Sequence[str], saved: bool = False)
         .withColumn("weight", 1 - F.abs(position - F.col("rank")))
         .select(
             *[F.col(c).alias(f"w_{c}") for c in by],
-            F.col("bucket").alias("w_bucket"),
-            "start", "probability", "rank", "weight",
+            "low", "high", "kinds", "start", "probability", "rank", "weight",
         )
     )
-    same = F.col("bucket") == F.col("w_bucket")
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"w_{c}"))
+    wanted = _narrowed(counts, by, checkpointed(wanted))
     within = Window.partitionBy(*by, "probability", "rank").orderBy("value")
     hit = (
-        # at most six rows per group, one per wanted rank
-        counts.join(F.broadcast(wanted), same)
+        _in_range(counts, by, wanted)
         .withColumn("last", F.col("start") + F.sum("n").over(within))
         .where((F.col("rank") < F.col("last")) & (F.col("rank") >= F.col("last") - F.col("n")))
     )

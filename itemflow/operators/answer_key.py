@@ -44,31 +44,37 @@ def answer_key(frame: DataFrame, item: str = ID, infer: bool = False, strict: bo
     return key
 
 
-def _answers_by_item(frame: DataFrame, item: str) -> DataFrame:
-    """Given keys if every item has one, else the answers scored as right."""
-    keyed = frame.groupBy(item).agg(F.max(F.col("correct_answer").isNotNull()).alias("keyed"))
-    complete = keyed.agg(F.min("keyed").alias("complete")).first().complete
-    if complete or complete is None:
-        return given_keys(frame, item)
-    return (
-        frame.where(F.col("scored_response") == 1)
-        .select(item, F.col("raw_response").alias("correct_answer"))
-        .distinct()
+def _answers(frame: DataFrame, item: str) -> DataFrame:
+    """(item, given, answer, total, min_date, max_date): given answers, and those scored as right.
+
+    Both come from one pass. An item without a given answer has a row with none.
+    """
+    times = [F.col("timestamp_created").alias("at")] if "timestamp_created" in frame.columns else [F.lit(None).cast("timestamp_ntz").alias("at")]
+    text = F.col("raw_response").cast("string").alias("answer")
+    given = F.struct(F.lit(True).alias("given"), F.col("correct_answer").cast("string").alias("answer"))
+    right = F.when(F.col("scored_response") == 1, F.struct(F.lit(False).alias("given"), text))
+    kinds = F.filter(F.array(given, right), lambda x: x.isNotNull())
+    return frame.select(item, *times, F.inline(kinds)).groupBy(item, "given", "answer").agg(
+        F.count("*").alias("total"), F.min("at").alias("min_date"), F.max("at").alias("max_date")
     )
 
 
 def answer_key_conflicts(frame: DataFrame, item: str = ID) -> DataFrame:
     """For items with several keys: how often and when each answer was scored as right.
 
-    A clean key gives no rows.
+    The keys are the given ones if every item has one, else the answers scored as right;
+    which of them is a value in the plan. A clean key gives no rows.
     """
-    conflicting = repeated_keys(_answers_by_item(frame, item), [item])
-    columns = [F.count("*").alias("total")]
-    if "timestamp_created" in frame.columns:
-        columns += [
-            F.min("timestamp_created").alias("min_date"),
-            F.max("timestamp_created").alias("max_date"),
-        ]
-    scored = frame.where(F.col("scored_response") == 1).groupBy(item, "raw_response").agg(*columns)
+    answers = _answers(frame, item)
+    given = F.col("given")
+    # an answer that is missing is no given one, but it can be scored as right
+    per_item = answers.groupBy(item).agg(
+        F.count(F.when(given & F.col("answer").isNotNull(), 1)).alias("n_given"), F.count(F.when(~given, 1)).alias("n_right")
+    )
+    complete = F.coalesce(per_item.agg(F.min(F.col("n_given") > 0)).scalar(), F.lit(True))
+    conflicting = per_item.where(F.when(complete, F.col("n_given") > 1).otherwise(F.col("n_right") > 1))
+    answer = F.col("answer").cast(frame.schema["raw_response"].dataType).alias("raw_response")
+    dates = ["min_date", "max_date"] if "timestamp_created" in frame.columns else []
+    scored = answers.where(~given).select(item, answer, "total", *dates)
     # aggregated first: the join sees one row per item and answer
     return keep_members(scored, conflicting, [item])

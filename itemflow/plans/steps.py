@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemflow.functions.columns import is_deleted_name
-from itemflow.operators import combine, matrix, metadata, rows
+from itemflow.operators import cells, combine, matrix, metadata, rows
 from itemflow.operators.answer_key import ID, answer_key
 from itemflow.operators.audit import DROP_STEP, OMIT_STEP, funnel
 from itemflow.operators.joins import check_unique, equi_join, flag_members, keep_members, natural_join
 from itemflow.operators.omissions import numeric_responses, zero_repeats
 from itemflow.operators.profile import derive_test_map, template_profile
+from itemflow.operators.ranking import ranked
 from itemflow.plans.clean import CleanConfig, CleanInputs, CleanResult, clean
 from itemflow.sources import readers, writers
 
@@ -158,6 +159,30 @@ def matrix_step(
     return list(matrices)
 
 
+def import_step(
+    spark: SparkSession, paths: Mapping[str, str], folder: str, prefix: str = "", id_column: str = "student_id",
+    codes: tuple[str, str] = (matrix.OMIT_CODE, matrix.NOT_SEEN_CODE), block_items: int = matrix.BLOCK_ITEMS,
+) -> None:
+    """Bring finished matrices from elsewhere into the form that ``combine_step`` reads.
+
+    ``paths`` names the file, or the folder of blocks, of each kind of matrix. Items keep
+    the order they have in the first one.
+    """
+    longs, items = {}, None
+    for kind, path in paths.items():
+        lines, headers = readers.read_matrix_lines(spark, path, id_column)
+        by = ["block"] if "block" in lines.columns else []
+        if items is None:
+            names = headers.select(*by, cells.fields(F.col("value")).alias("names")).distinct()
+            placed = names.select(*by, F.posexplode(F.slice("names", F.lit(2), F.size("names") - 1)).alias("place", "content_item_name"))
+            items = ranked(placed, [], [*by, "place"], "display_position").select("content_item_name", "display_position")
+        found = cells.cells_of_lines(lines, headers, by, id_column).drop(*by)
+        variable = matrix.MATRIX_SET[kind]
+        longs[variable] = cells.long_of_cells(found, variable, *codes, id_column=id_column)
+    writers.write_frame(cells.merged_longs(longs), f"{folder}/{prefix}long")
+    writers.write_frame(matrix.in_blocks(items, block_items), f"{folder}/{prefix}items")
+
+
 def metadata_step(
     spark: SparkSession,
     cleaned_path: str,

@@ -94,6 +94,16 @@ def read_block_lines(spark: SparkSession, path: str, id_column: str = "student_i
     return spark.read.text(path).where(~F.col("value").startswith(f"{id_column},"))
 
 
+def read_matrix_lines(spark: SparkSession, path: str, id_column: str = "student_id") -> tuple[DataFrame, DataFrame]:
+    """(lines, headers) of a matrix as CSV text, in one file or in blocks, with the columns of its folders.
+
+    A header begins with the name of the id column, quoted or not.
+    """
+    text = spark.read.text(path)
+    first = F.replace(F.substring_index("value", ",", 1), F.lit('"'), F.lit(""))
+    return text.where(first != id_column), text.where(first == id_column)
+
+
 def repeat_enrollment_query(purchases: str, products: str, code_column: str = "transaction_code") -> str:
     """The question the database answers itself: enrollments bought again."""
     codes = ", ".join(f"'{c}'" for c in schema.REPEAT_PURCHASE_CODES)
