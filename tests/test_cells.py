@@ -45,7 +45,7 @@ def test_matrices_in_blocks_are_read_back(spark, tmp_path):
     items = [readers.read_stage(spark, str(tmp_path / f / "items")).select("content_item_name", "display_position", "block", "place", "width") for f in ("out", "again")]
     assert sorted(items[0].collect()) == sorted(items[1].collect())
     # what is combined from files equals what is combined from the long matrices
-    lookup = cleaned_rows(spark).select("student_id", F.col("student_id").alias("user_id")).distinct().where("student_id % 2 = 0")
+    lookup = cleaned_rows(spark).select("student_id", F.col("student_id").alias("user_id")).distinct().where("student_id not like '%1'")
     text = []
     for folder in ("out", "again"):
         steps.combine_step(spark, {"A_": str(tmp_path / folder)}, {"B_": str(tmp_path / folder)}, lookup, str(tmp_path / f"both_{folder}"), kinds=["Item_Scores"])
