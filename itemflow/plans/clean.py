@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from itemflow.functions.checkpoints import stored
+from itemflow.functions.checkpoints import checkpointed, stored
 from itemflow.functions.columns import (
     any_where,
     count_where,
@@ -312,21 +312,12 @@ def _activity_rules(run: _Run, config: CleanConfig, inputs: CleanInputs) -> None
     part = "section_name" if by_section else "template_name"
     allowed = "section_num_ques" if by_section else "test_num_ques"
 
-    run.frame = scoring.question_counts(run.frame, part, run.branch.attach, activity, run.alive)
-    bad = {"negative_time": exclusions.negative_time()}
+    conditions = {"negative_time": exclusions.negative_time()}
     if config.remove_no_response_scored:
-        bad = {"scored_without_response": exclusions.scored_without_response(config.no_response)} | bad
-    if config.remove_over_time:
-        place = ["section_name"] if inputs.section_map is not None else []
-        used = strict_sum(F.col("milliseconds_used"), run.alive)
-        run.attach([*activity, *place], {"__time_used": used})
-        bad["over_time"] = milliseconds_to_minutes(F.col("__time_used")) > F.col("test_minutes_allowed")
-    if not config.question_bank:
-        bad["too_many_questions"] = F.col("actual_num_ques") > F.col(allowed)
-    run.attach([*activity, "content_item_name"], {"__shown": count_where(rows.is_not_staged(), run.alive)})
-    bad["duplicate_items"] = F.col("__shown") > 1
-    # these rules look at nothing but the activity itself, so they can be found together
-    run.attach(activity, {f"__{step}": any_where(c, run.alive) for step, c in bad.items()})
+        conditions = {"scored_without_response": exclusions.scored_without_response(config.no_response)} | conditions
+    place = "section_name" if inputs.section_map is not None else None
+    judge = _judged_together if run.branch.apart else _judged_by_window
+    bad = judge(run, conditions, part, None if config.question_bank else allowed, place, config.remove_over_time)
     for step in bad:
         run.drop(step, F.col(f"__{step}"))
 
@@ -340,6 +331,80 @@ def _activity_rules(run: _Run, config: CleanConfig, inputs: CleanInputs) -> None
         run.drop("manual_exclusion", F.col("__manual"))
 
 
+def _judged_by_window(
+    run: _Run, conditions: dict[str, Column], part: str, allowed: str | None, place: str | None, over_time: bool
+) -> list[str]:
+    """Attach ``actual_num_ques`` and a flag for each rule that an activity can break; returns the rules."""
+    activity = list(run.branch.activity)
+    run.frame = scoring.question_counts(run.frame, part, run.branch.attach, activity, run.alive)
+    bad = dict(conditions)
+    if over_time:
+        used = strict_sum(F.col("milliseconds_used"), run.alive)
+        run.attach([*activity, *([place] if place else [])], {"__time_used": used})
+        bad["over_time"] = milliseconds_to_minutes(F.col("__time_used")) > F.col("test_minutes_allowed")
+    if allowed:
+        bad["too_many_questions"] = F.col("actual_num_ques") > F.col(allowed)
+    run.attach([*activity, "content_item_name"], {"__shown": count_where(rows.is_not_staged(), run.alive)})
+    bad["duplicate_items"] = F.col("__shown") > 1
+    # these rules look at nothing but the activity itself, so they can be found together
+    run.attach(activity, {f"__{step}": any_where(c, run.alive) for step, c in bad.items()})
+    return list(bad)
+
+
+def _judged_together(
+    run: _Run, conditions: dict[str, Column], part: str, allowed: str | None, place: str | None, over_time: bool
+) -> list[str]:
+    """The same flags from one aggregate of the rows, saved once.
+
+    A row counts for its part of the activity, for its item, and for its share of the
+    time; each of these groups is added up before the shuffle. One verdict per activity is
+    made of the saved groups and joined to the rows.
+    """
+    activity, alive = list(run.branch.activity), F.lit(True) if run.alive is None else run.alive
+    living = F.coalesce(alive, F.lit(False))
+
+    def entry(kind: str, key: Column, counted: Column, limit: Column, used: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            key.cast("string").alias("key"),
+            F.coalesce(counted, F.lit(False)).cast("bigint").alias("n"),
+            F.when(living, limit.cast("double")).alias("limit"),
+            F.when(living, used.cast("bigint")).alias("used"),
+        )
+
+    nothing = F.lit(None)
+    entries = [
+        entry("part", F.col(part), living, F.col(allowed) if allowed else nothing, nothing),
+        entry("item", F.col("content_item_name"), living & rows.is_not_staged(), nothing, nothing),
+    ]
+    if over_time:
+        entries.append(entry("time", F.col(place) if place else nothing, living, F.col("test_minutes_allowed"), F.col("milliseconds_used")))
+    flags = [F.coalesce(living & c, F.lit(False)).alias(f"__{step}") for step, c in conditions.items()]
+    each = run.frame.select(*activity, *flags, F.inline(F.array(*entries)))
+    groups = checkpointed(
+        each.groupBy(*activity, "kind", "key").agg(
+            F.sum("n").alias("n"),
+            F.min("limit").alias("limit"),
+            F.count("used").alias("known"),
+            F.sum("used").alias("used"),
+            *[F.max(f"__{step}").alias(f"__{step}") for step in conditions],
+        )
+    )
+    kind, n = F.col("kind"), F.col("n")
+    bad = {step: F.col(f"__{step}") for step in conditions}
+    if over_time:
+        whole = F.when(F.col("known") == n, F.col("used"))
+        bad["over_time"] = (kind == "time") & (milliseconds_to_minutes(whole) > F.col("limit"))
+    if allowed:
+        bad["too_many_questions"] = (kind == "part") & (n > F.col("limit"))
+    bad["duplicate_items"] = (kind == "item") & (n > 1)
+    verdicts = groups.groupBy(*activity).agg(*[F.max(F.coalesce(c, F.lit(False))).alias(f"__{step}") for step, c in bad.items()])
+    counts = groups.where(kind == "part").select(*activity, F.col("key").alias("__part"), n.alias("actual_num_ques"))
+    counted = equi_join(run.frame.withColumn("__part", F.col(part).cast("string")), counts, [*activity, "__part"], "left")
+    run.frame = equi_join(counted.drop("__part"), verdicts, activity, "left")
+    return list(bad)
+
+
 def _item_rules(run: _Run, config: CleanConfig) -> None:
     if config.recode_answers:
         run.frame = omissions.recode_letters(run.frame)

@@ -40,6 +40,8 @@ class Branch:
     order_activities: Callable[[DataFrame, Column | None], DataFrame]
     count_activities: Callable[[DataFrame, Column | None], DataFrame]
     rank_showings: Callable[[DataFrame, str, Column | None], DataFrame]
+    # students of the other kinds: groups are of any size, and saved
+    apart: bool = False
 
 
 def _of_student(alive: Column | None) -> WindowSpec:
@@ -93,7 +95,7 @@ def by_student(rows: DataFrame, n_rows: int | None = None) -> Branch:
 
 
 def by_aggregate(rows: DataFrame, activity: tuple[str, ...]) -> Branch:
-    return Branch(rows, activity, by_saved_join, _order_by_join, _count_by_join, ranked_showings)
+    return Branch(rows, activity, by_saved_join, _order_by_join, _count_by_join, ranked_showings, True)
 
 
 def student_hash() -> Column:

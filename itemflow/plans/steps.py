@@ -11,6 +11,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from itemflow import schema
 from itemflow.functions.columns import is_deleted_name
 from itemflow.operators import cells, combine, matrix, metadata, rows
 from itemflow.operators.answer_key import ID, answer_key
@@ -91,6 +92,7 @@ def cleaning_step(
     content_path: str | None = None,
     repeat_enrollments: DataFrame | None = None,
     text_responses: bool = False,
+    bad_cells: int | None = None,
 ) -> CleanResult:
     """Read the exports, clean them, and write rows, test map, omits and audits to a folder.
 
@@ -99,8 +101,17 @@ def cleaning_step(
 
     Responses are letters where ``config.recode_answers`` is set, any text where
     ``text_responses`` is, and else numbers: one that is none stops the run.
+
+    Other fields of the responses that are no values of their types stop the run as well,
+    unless ``bad_cells`` says how many a column may have: their rows are left out, and the
+    cells are written beside the rest.
     """
-    responses = readers.read_responses(spark, responses_path)
+    if bad_cells is None:
+        responses = readers.read_responses(spark, responses_path)
+    else:
+        responses, bad = readers.read_sorted_out(spark, responses_path, schema.RESPONSE_EXPORT, schema.RESPONSE_NAMES, readers.OPTIONAL)
+        writers.write_frame(bad, f"{folder}/bad_cells")
+        readers.stop_beyond(readers.read_stage(spark, f"{folder}/bad_cells"), bad_cells)
     prepared = prepare(
         responses if config.recode_answers or text_responses else numeric_responses(responses),
         readers.read_activities(spark, activities_path),

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from itemflow import schema
 from itemflow.functions.columns import cast_or_refuse
@@ -42,12 +42,7 @@ def _delimited(
     All fields are read as text. Headers are brought to the names used here, then each
     column is cast; a field that is no value of its type stops the run.
     """
-    text = spark.read.option("header", True).option("sep", separator).option("nullValue", NULL_TOKEN).csv(path)
-    text = schema.canonical(schema.lower_first_letters(text), names)
-    missing = [f.name for f in columns if f.name not in text.columns and f.name not in set(optional)]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(text.columns)}")
-    present = [f for f in columns if f.name in text.columns]
+    text, present = _as_text(spark, path, columns, separator, names, optional)
     return text.select(
         *[
             F.col(f.name) if f.dataType == StringType() else cast_or_refuse(F.col(f.name), f.dataType, f.name).alias(f.name)
@@ -56,6 +51,49 @@ def _delimited(
     )
 
 
+def _as_text(
+    spark: SparkSession, path: str, columns: StructType, separator: str, names: Mapping[str, str], optional: Iterable[str]
+) -> tuple[DataFrame, list[StructField]]:
+    """The file's columns as text under the names used here, and which of the wanted ones it has."""
+    text = spark.read.option("header", True).option("sep", separator).option("nullValue", NULL_TOKEN).csv(path)
+    text = schema.canonical(schema.lower_first_letters(text), names)
+    missing = [f.name for f in columns if f.name not in text.columns and f.name not in set(optional)]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(text.columns)}")
+    return text, [f for f in columns if f.name in text.columns]
+
+
+def read_sorted_out(
+    spark: SparkSession, path: str, columns: StructType, names: Mapping[str, str] | None = None, optional: Iterable[str] = (), separator: str = "\t"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad cells): rows whose fields are all of their types, and the fields that are not.
+
+    A bad cell is (file, row, column, text); ``row`` has all fields of its row as they are,
+    by which it is found in the file. Rows with a bad cell are in the second frame only, once
+    for each of its bad cells.
+    """
+    text, present = _as_text(spark, path, columns, separator, names or {}, optional)
+    typed = [f for f in present if f.dataType != StringType()]
+    no_value = [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in typed]
+    cell = [F.when(bad, F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("text"))) for f, bad in zip(typed, no_value)]
+    found = F.filter(F.array(*cell), lambda c: c.isNotNull())
+    marked = text.withColumns({"__file": F.col("_metadata.file_path"), "__bad": found})
+    kinds = {f.name: f.dataType for f in present}
+    rows = marked.where(F.size("__bad") == 0).select(*[F.col(c).try_cast(k).alias(c) for c, k in kinds.items()])
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in text.columns]))
+    bad = marked.where(F.size("__bad") > 0).select(F.col("__file").alias("file"), whole.alias("row"), F.inline("__bad"))
+    return rows, bad
+
+
+def stop_beyond(bad: DataFrame, limit: int) -> dict[str, int]:
+    """How many cells of each column are bad; raises if some column has more than the limit."""
+    counts = {r["column"]: r["n"] for r in bad.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    beyond = {c: n for c, n in sorted(counts.items()) if n > limit}
+    if beyond:
+        raise ValueError(f"more than {limit} cells are no values of their types: " + ", ".join(f"{c}: {n}" for c, n in beyond.items()))
+    return counts
+
+
 def read_responses(spark: SparkSession, path: str, columns: StructType = schema.RESPONSE_EXPORT) -> DataFrame:
     """Responses as TSV export; ids and responses stay text."""
     return read_tsv(spark, path, columns, schema.RESPONSE_NAMES, OPTIONAL)

@@ -102,6 +102,28 @@ def test_showings_at_one_time_in_every_layout(spark, layout):
     assert ranks.where("firsts > 1").count() == 0
 
 
+@pytest.mark.parametrize("audit", [False, True])
+def test_time_limits_in_every_layout(spark, audit):
+    inputs = CleanInputs(section_map=section_map(spark, SF_DIR))
+    rows = {}
+    for layout in ("student", "aggregate"):
+        config = CleanConfig(remove_over_time=True, remove_no_response_scored=False, layout=layout)
+        result = clean(hot(spark), config, inputs, audit=audit)
+        columns = ["response_id", "actual_num_ques", "overall_raw_correct", "overall_pTotal", "repeat_omitted"]
+        rows[layout] = sorted(map(str, result.cleaned.select(*columns).collect())), audit and sorted(map(str, result.audit.collect()))
+    assert rows["student"] == rows["aggregate"] and len(rows["student"][0]) > 0
+
+
+def test_the_rules_on_shared_activities_are_one_saved_aggregate(spark, monkeypatch):
+    from itemflow.plans import clean as run
+
+    saved = []
+    monkeypatch.setattr(run, "checkpointed", lambda frame: saved.append(frame.columns) or frame)
+    inputs = CleanInputs(test_map=make_test_map(spark, SF_DIR))
+    clean(shared(spark), CleanConfig(remove_over_time=True), inputs)
+    assert len(saved) == 1 and {"kind", "key", "n"} <= set(saved[0])
+
+
 def test_layout_is_chosen_by_the_data(spark):
     plain, one, twins = responses(spark, SF_DIR), hot(spark), shared(spark)
     assert [b.activity for b in branches(plain, plain, "auto")] == [("student_id", "activity_id_hist")]

@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import types as T
 
 from itemflow import schema
 from itemflow.operators.joins import natural_join
@@ -61,6 +62,23 @@ def test_what_is_no_value_stops_the_run(spark, tmp_path):
         readers.read_activities(spark, str(tmp_path / "content.tsv"))
 
 
+def test_bad_cells_are_sorted_out(spark, tmp_path):
+    for name, lines in {
+        "a.tsv": ["student_id\tn\twhen", "s1\t1\t2021-01-01", "s2\tone\tnever", "s3\tNA\t2021-01-02"],
+        "b.tsv": ["student_id\tn\twhen", "s4\t2.5\t2021-01-03", "s5\t5\tNA"],
+        "c.tsv": ["student_id\tn\twhen"],
+    }.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    columns = T.StructType([T.StructField("student_id", T.StringType()), T.StructField("n", T.LongType()), T.StructField("when", T.DateType())])
+    rows, bad = readers.read_sorted_out(spark, str(tmp_path), columns)
+    assert sorted((r.student_id, r.n) for r in rows.collect()) == [("s1", 1), ("s3", None), ("s5", 5)]
+    found = sorted((r.file.rsplit("/")[-1], r.column, r.text, "s2" in r.row) for r in bad.collect())
+    assert found == [("a.tsv", "n", "one", True), ("a.tsv", "when", "never", True), ("b.tsv", "n", "2.5", False)]
+    assert readers.stop_beyond(bad, 2) == {"n": 2, "when": 1}
+    with pytest.raises(ValueError, match="more than 1 cells are no values of their types: n: 2"):
+        readers.stop_beyond(bad, 1)
+
+
 def test_block_files(spark, tmp_path):
     headers = spark.createDataFrame([(0, "i1,i2"), (1, "i3")], "block long, line string")
     lines = spark.createDataFrame([("b", 0, "1,."), ("a", 0, "-99,0"), ("a", 1, "5"), ("b", 1, "6")], "student_id string, block long, line string")

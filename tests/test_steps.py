@@ -164,3 +164,10 @@ def test_letters_from_file_to_scores(spark, tmp_path):
     assert {r.response_id: (r.raw_response, r.attempted) for r in text.collect()}["r4"] == ("E", True)
     with pytest.raises(Exception, match="raw_response holds no bigint: "):
         steps.cleaning_step(spark, *paths, str(tmp_path / "numbers"), CleanConfig(), maps)
+    with (tmp_path / "responses.tsv").open("a") as file:
+        file.write("\t".join((values | {"response_id": "r5", "milliseconds_used": "slow"})[c] for c in head) + "\n")
+    some = steps.cleaning_step(spark, *paths, str(tmp_path / "some"), CleanConfig(), maps, text_responses=True, bad_cells=1).cleaned
+    assert sorted(r.response_id for r in some.collect()) == ["r0", "r1", "r2", "r3", "r4"]
+    assert [(r["column"], r.text) for r in spark.read.parquet(str(tmp_path / "some" / "bad_cells")).collect()] == [("milliseconds_used", "slow")]
+    with pytest.raises(ValueError, match="more than 0 cells"):
+        steps.cleaning_step(spark, *paths, str(tmp_path / "none"), CleanConfig(), maps, text_responses=True, bad_cells=0)
