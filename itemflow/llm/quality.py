@@ -25,9 +25,14 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 UNIT = 1024
 Z = ("z1", "z2", "z3", "z4")
-# Least spread, in natural logarithms, of word length, symbols, repeated lines, repeated words: most documents
-# of a group may have none of the last three, and the scatter is not to be singular.
-FLOORS = (0.05, 0.05, 0.05, 0.05)
+# Least spread, in natural logarithms, of any statistic: the scatter is not to be singular.
+LEAST_SPREAD = 0.05
+# Most documents of a group may have no symbols, repeated lines or repeated words at all, so that its half has no
+# spread there. The least spread of these is that of a normal variable which stays within the value that 99 of 100
+# documents do not exceed; but not more than this, so that far documents cannot widen it without bound.
+MOST_SPREAD = 0.3
+WITHIN = (99, 100)
+DEVIATIONS = 2.576
 # Of the queries; the function's default keeps all but the farthest documents.
 CUTOFF = 0.999
 # A group of fewer documents has no half to fit; such groups of a language are fitted together,
@@ -111,7 +116,14 @@ def _moments() -> list[Column]:
     return [F.sum(n).alias("m"), *sums, *products]
 
 
-def _fit(moments: DataFrame, factor: float, group: list[str]) -> DataFrame:
+def spreads(vectors: DataFrame) -> list[float]:
+    """Least spread of each statistic, over all documents: four numbers."""
+    long = vectors.select("n", F.posexplode(F.array(*Z)).alias("d", "z")).where("d > 0")
+    most = {r.d: r.median / UNIT / DEVIATIONS for r in _medians(long, ["d"], "z", WITHIN).collect()}
+    return [min(MOST_SPREAD, max(LEAST_SPREAD, most.get(d, 0.0))) for d in range(len(Z))]
+
+
+def _fit(moments: DataFrame, factor: float, group: list[str], least: list[float]) -> DataFrame:
     """Centre, Cholesky factor and log determinant from the moments of a subset."""
     m = F.col("m").cast("double")
     centre = {f"c{i}": F.col(f"s{i}") / m for i in range(len(Z))}
@@ -119,7 +131,7 @@ def _fit(moments: DataFrame, factor: float, group: list[str]) -> DataFrame:
     cov = {}
     for i, j in _pairs():
         value = factor * (F.col(f"p{i}{j}") / m - F.col(f"c{i}") * F.col(f"c{j}"))
-        cov[f"v{i}{j}"] = value + F.lit((FLOORS[i] * UNIT) ** 2) if i == j else value
+        cov[f"v{i}{j}"] = value + F.lit((least[i] * UNIT) ** 2) if i == j else value
     frame = frame.withColumns(cov)
     return _factored(frame, group)
 
@@ -153,15 +165,15 @@ def _with_fit(vectors: DataFrame, fit: DataFrame, group: list[str], how: str = "
     return vectors.join(fit, condition, how).drop(*[f"f_{g}" for g in group])
 
 
-def _medians(values: DataFrame, group: list[str], value: str) -> DataFrame:
-    """Lower weighted median per group; the distinct integers of a group are few."""
+def _medians(values: DataFrame, group: list[str], value: str, share: tuple[int, int] = (1, 2)) -> DataFrame:
+    """Lower weighted median, or another quantile, per group; the distinct integers of a group are few."""
     counts = values.groupBy(*group, value).agg(F.sum("n").alias("n"))
     over = Window.partitionBy(*group)
     ranked = counts.withColumns({"below": F.sum("n").over(over.orderBy(value)), "all": F.sum("n").over(over)})
-    return ranked.where(2 * F.col("below") >= F.col("all")).groupBy(*group).agg(F.min(value).alias("median"))
+    return ranked.where(share[1] * F.col("below") >= share[0] * F.col("all")).groupBy(*group).agg(F.min(value).alias("median"))
 
 
-def _starts(vectors: DataFrame) -> DataFrame:
+def _starts(vectors: DataFrame, least: list[float]) -> DataFrame:
     """Two deterministic starts per group: medians with median deviations, and plain moments."""
     group = GROUP
     long = vectors.select(*group, "n", F.posexplode(F.array(*Z)).alias("d", "z"))
@@ -172,9 +184,9 @@ def _starts(vectors: DataFrame) -> DataFrame:
     wide = spread.groupBy(*group).pivot("d", list(range(len(Z)))).agg(F.max("centre").alias("c"), F.max("median").alias("v"))
     values = {f"c{i}": F.col(f"{i}_c").cast("double") for i in range(len(Z))}
     for i, j in _pairs():
-        values[f"v{i}{j}"] = (1.4826 * F.col(f"{i}_v")) ** 2 + F.lit((FLOORS[i] * UNIT) ** 2) if i == j else F.lit(0.0)
+        values[f"v{i}{j}"] = (1.4826 * F.col(f"{i}_v")) ** 2 + F.lit((least[i] * UNIT) ** 2) if i == j else F.lit(0.0)
     robust = _factored(wide.withColumns(values), group).withColumn("start", F.lit(0))
-    plain = _fit(vectors.groupBy(*group).agg(*_moments()), 1.0, group).withColumn("start", F.lit(1))
+    plain = _fit(vectors.groupBy(*group).agg(*_moments()), 1.0, group, least).withColumn("start", F.lit(1))
     return robust.unionByName(plain)
 
 
@@ -190,16 +202,17 @@ def fitted(vectors: DataFrame) -> DataFrame:
     group = [*GROUP, "start"]
     twice = vectors.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     half = consistency(0.5)
-    fit = saved(_starts(vectors), "fit")
+    least = spreads(vectors)
+    fit = saved(_starts(vectors, least), "fit")
     for _ in range(STEPS):
-        fit = saved(_fit(_nearest(_with_fit(twice, fit, group), group), half, group), "fit")
+        fit = saved(_fit(_nearest(_with_fit(twice, fit, group), group), half, group, least), "fit")
     rank = Window.partitionBy(*GROUP).orderBy("det", "start")
     best = fit.withColumn("rank", F.row_number().over(rank)).where("rank = 1").drop("rank", "start", "det")
     # one more fit, of all documents that are not far away, uses more than half of the group
     group = GROUP
     able = vectors.groupBy(*group).agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST_GROUP).drop("all")
     near = _with_fit(_with_fit(vectors, best, group), able, group).where(_distance() <= chi_square_at(0.975, len(Z)))
-    return saved(_fit(near.groupBy(*group).agg(*_moments()), consistency(0.975), group).drop("det"), "fit")
+    return saved(_fit(near.groupBy(*group).agg(*_moments()), consistency(0.975), group, least).drop("det"), "fit")
 
 
 def consistency(share: float) -> float:

@@ -72,7 +72,9 @@ def brute_verdicts(rows):
         own = groups[r[2], r[3]]
         return own if len(own) >= 40 else small[r[2]] if len(small[r[2]]) >= 40 else tiny
 
-    floor = np.diag([(f * 1024) ** 2 for f in quality.FLOORS])
+    passed = np.sort(np.array([z for v in groups.values() for z in v] or [[0] * 4]), axis=0)
+    point = passed[-(-99 * len(passed) // 100) - 1] / 1024 / 2.576
+    floor = np.diag((1024 * np.clip(point * [0, 1, 1, 1], 0.05, 0.3)) ** 2)
     cut = quality.chi_square_at(1 - 1e-8, 4)
 
     def scatter(x, factor):
@@ -143,6 +145,22 @@ def test_each_statistic_rejects_moderate_outliers(spark, documents, tmp_path):
     assert sum(found[i].kept for i in range(300)) >= 297
 
 
+def test_few_clean_documents_are_rejected(documents):
+    rng = random.Random(9)
+    rows = []
+    for i in range(2000):
+        lines = [" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randrange(6, 14))) for _ in range(rng.randrange(20, 100))]
+        if i % 20 == 0:  # one line twice
+            lines.append(rng.choice(lines))
+        if i % 25 == 1:  # one symbol
+            lines[0] += " 5%"
+        rows.append((i, "\n".join(lines), rng.choice(["en", "de"]), rng.choice(["web", "book"]), 0))
+    found = quality.quality_verdicts(documents(rows), ["doc_id"], quality.CUTOFF).collect()
+    assert not any(r.base_failed for r in found)
+    assert sum(not r.kept for r in found) < 20
+    assert all(r.kept for r in found if r.n_dup_lines == 1 and r.n_words >= 500)
+
+
 def test_no_documents_no_verdicts(documents):
     assert quality.quality_verdicts(documents([]), ["doc_id"]).count() == 0
 
