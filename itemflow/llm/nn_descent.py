@@ -296,8 +296,8 @@ def _settled(lists: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
         edges = _entries(lists).select("node", F.col("other").alias("hub"))
         bounds = lists.select(F.col("node").alias("member"), _low().alias("low"))
         known = nodes.select(F.col("node").alias("member"), "vec", F.lit(None).cast("bigint").alias("root")).join(bounds, "member", "left")
-        pairs = saved(_round(edges, known), "pairs")
-        size = F.when(_full(least), F.least(F.col("size") * 2, F.lit(LONGEST_LIST))).otherwise(F.col("size"))
+        pairs = _round(edges, known)
+        size = F.when(_full(least), LONGEST_LIST).otherwise(F.col("size"))
         before = lists.select("node", size.alias("size"), F.col("near.other").alias("was"))
         after = _best(pairs.unionByName(_entries(lists)), before).join(before.select("node", "was"), "node")
         fresh = F.size(F.array_except("near.other", "was"))
@@ -315,51 +315,53 @@ def _bridged(lists: DataFrame, nodes: DataFrame, least: float) -> tuple[DataFram
     Vectors whose list is full of links look for neighbours outside their component.
     First those of a chunk meet, of all such vectors and of about NEIGHBOURS of each
     component, so that a large one does not hide the others; then neighbours of neighbours,
-    inside and outside. Components with a link between them merge, until none has one.
+    inside and outside. Every round's links merge components at once, all of them in one
+    step: where each component finds another, their number halves at least. It ends when
+    no round finds a link and hardly a vector's nearest outside changes.
     """
     edges = _listed(lists, least)
     roots = _roots(nodes, edges)
     full = saved(lists.where(_full(least)).select("node").join(nodes.select("node", "l", "dim", "vec"), "node"), "full")
     inside = saved(lists.join(full.select("node"), "node").select("node", F.explode(F.slice("near", 1, NEIGHBOURS)).alias("e")).select("node", F.col("e.other").alias("hub")), "inside")
     outside = None
+    merged = True
     first = 0
     while True:
-        own = full.join(roots, "node")
-        several = own.groupBy("l", "dim").agg(F.count("*").alias("rows"), F.countDistinct("root").alias("roots")).where("roots > 1").withColumnsRenamed({"l": "s_l", "dim": "s_dim"})
-        own = saved(own.join(several, (F.col("l") == F.col("s_l")) & (F.col("dim") == F.col("s_dim"))).select("node", "l", "vec", "dim", "root", "rows"), "apart")
-        most = own.agg(F.max("rows")).first()[0]
-        if most is None:
+        if merged:
+            own = full.join(roots, "node")
+            several = own.groupBy("l", "dim").agg(F.count("*").alias("rows"), F.countDistinct("root").alias("roots")).where("roots > 1").withColumnsRenamed({"l": "s_l", "dim": "s_dim"})
+            own = saved(own.join(several, (F.col("l") == F.col("s_l")) & (F.col("dim") == F.col("s_dim"))).select("node", "l", "vec", "dim", "root", "rows"), "apart")
+            most = own.agg(F.max("rows")).first()[0]
+            if most is None:
+                return edges, roots
+            own = own.drop("rows")
+            root = own.select("node", "root")
+            tables = range(first, first + _tables(most, least))
+            first = tables.stop
+            few = own.groupBy("root").agg(F.ceil(F.count("*") / NEIGHBOURS).alias("m"))
+            some = own.join(few, "root").where(F.pmod(F.xxhash64(F.lit(first), "node"), "m") == 0).select(*own.columns)
+            seeds = _met(own, tables).unionByName(_met(some, tables))
+            if outside is not None:
+                # components that have merged are no longer outside each other
+                kept = _entries(outside).join(root, "node").join(root.withColumnsRenamed({"node": "other", "root": "r"}), "other").where("root <> r")
+                seeds = seeds.unionByName(kept.select("node", "other", "sim"))
+            outside = saved(_best(seeds), "outside")
+        hubs = _entries(outside).select("node", F.col("other").alias("hub")).unionByName(inside.join(own.select("node"), "node")).distinct()
+        bounds = outside.select(F.col("node").alias("member"), _low().alias("low"))
+        known = own.select(F.col("node").alias("member"), "vec", "root").join(bounds, "member", "left")
+        was = outside.select("node", F.col("near.other")[0].alias("was"))
+        after = _best(_round(hubs, known).unionByName(_entries(outside))).join(was, "node", "left")
+        fresh = (~F.col("near.other")[0].eqNullSafe(F.col("was"))).cast("int")
+        marked = saved(after.select("node", "near", "size", fresh.alias("fresh")), "outside")
+        outside = marked.drop("fresh")
+        links = F.exists("near", lambda x: x["sim"] >= least)
+        seen = marked.agg(F.sum("fresh").alias("fresh"), F.count("*").alias("n"), F.max(links).alias("links")).first()
+        merged = bool(seen.links)
+        if merged:
+            edges = edges.unionByName(_listed(outside, least))
+            roots = _roots(nodes, edges)
+        elif not seen.n or seen.fresh < SETTLED * seen.n:
             return edges, roots
-        own = own.drop("rows")
-        tables = range(first, first + _tables(most, least))
-        first = tables.stop
-        few = own.groupBy("root").agg(F.ceil(F.count("*") / NEIGHBOURS).alias("m"))
-        some = own.join(few, "root").where(F.pmod(F.xxhash64(F.lit(first), "node"), "m") == 0).select(*own.columns)
-        # components that have merged are no longer outside each other
-        root = own.select("node", "root")
-        seeds = _met(own, tables).unionByName(_met(some, tables))
-        if outside is not None:
-            kept = _entries(outside).join(root, "node").join(root.withColumnsRenamed({"node": "other", "root": "r"}), "other").where("root <> r")
-            seeds = seeds.unionByName(kept.select("node", "other", "sim"))
-        outside = saved(_best(seeds), "outside")
-        while True:
-            hubs = _entries(outside).select("node", F.col("other").alias("hub")).unionByName(inside.join(own.select("node"), "node")).distinct()
-            bounds = outside.select(F.col("node").alias("member"), _low().alias("low"))
-            known = own.select(F.col("node").alias("member"), "vec", "root").join(bounds, "member", "left")
-            pairs = saved(_round(hubs, known), "pairs")
-            was = outside.select("node", F.col("near.other").alias("was"))
-            after = _best(pairs.unionByName(_entries(outside))).join(was, "node", "left")
-            fresh = F.size(F.array_except("near.other", F.coalesce("was", F.array().cast("array<bigint>"))))
-            marked = saved(after.select("node", "near", "size", fresh.alias("fresh")), "outside")
-            outside = marked.drop("fresh")
-            seen = marked.agg(F.sum("fresh").alias("fresh"), F.sum(F.size("near")).alias("n")).first()
-            if not seen.n or seen.fresh < SETTLED * seen.n:
-                break
-        cross = saved(_listed(outside, least), "cross")
-        if cross.isEmpty():
-            return edges, roots
-        edges = edges.unionByName(cross)
-        roots = _roots(nodes, edges)
 
 
 def neighbour_graph(nodes: DataFrame, least: float) -> tuple[DataFrame, float]:

@@ -279,6 +279,21 @@ def test_full_lists_find_links_outside_their_component(spark, monkeypatch):
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=str) == expected
 
 
+def test_a_chain_of_families_is_one_component(spark, monkeypatch):
+    monkeypatch.setattr("itemflow.llm.nn_descent.AUDITED", 1)
+    rng = np.random.default_rng(8)
+    axes = np.linalg.qr(rng.standard_normal((64, 31)))[0].T
+    centre, rows = axes[0], []
+    for axis in axes[1:]:  # neighbouring families link, others do not
+        rows += [(len(rows) + i, v.tolist(), 0) for i, v in enumerate(around(rng, centre, 40, 0.1))]
+        centre = 0.9494 * centre + np.sqrt(1 - 0.9494**2) * axis
+    expected = brute_vectors(rows, 0.93)
+    assert {c for _, _, c in expected} == {0}
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    found = near_vectors(frame).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=str) == expected
+
+
 def test_pairs_beside_a_large_group(spark, monkeypatch):
     for name, value in (("AUDITED", 16), ("CHUNK", 4), ("TABLES", 1)):
         monkeypatch.setattr(f"itemflow.llm.nn_descent.{name}", value)
