@@ -13,9 +13,11 @@ not learned.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,6 @@ LEAST_PRECISION = 0.6
 LEAST_CONTEXTS = 6
 SURE = 0.9
 KNOWN_WORDS = 300_000
-LONGEST_DECODED = 64
 
 
 def class_table() -> bytes:
@@ -95,12 +96,14 @@ class CharacterModel:
         self.log = np.log(p3).astype(np.float32)
 
     def decode(self, word: str) -> str:
-        """The best reading of a noisy word: Viterbi over (last two classes)."""
-        steps = list(_lattice(word))
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for options in [*steps, [(" ", 0.0)]]:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, out) in states.items():
+        """The best reading of a noisy word: Viterbi over (last two classes), of ties the first found.
+
+        Paths share their beginnings, so that time and memory grow with the length alone.
+        """
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        for options in chain(_lattice(word), [[(" ", 0.0)]]):
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (score, path) in states.items():
                 for reading, cost in options:
                     x, y, total = a, b, score + cost
                     for byte in reading.encode():
@@ -109,9 +112,13 @@ class CharacterModel:
                         x, y = y, c
                     known = after.get((x, y))
                     if known is None or total > known[0]:
-                        after[x, y] = (total, out + reading)
+                        after[x, y] = (total, (path, reading))
             states = after
-        return max(states.values())[1].strip()
+        path, readings = max(states.values(), key=lambda s: s[0])[1], []
+        while path is not None:
+            path, reading = path
+            readings.append(reading)
+        return "".join(reversed(readings)).strip()
 
 
 def _lattice(word: str) -> Iterator[list[tuple[str, float]]]:
@@ -138,12 +145,17 @@ def _lattice(word: str) -> Iterator[list[tuple[str, float]]]:
         yield readings
 
 
+ALL_TWICE = re.compile(r"(?:(.)\1+){2,}", re.DOTALL)
+
+
 def noisy(word: str) -> bool:
-    """Letters together with signs that may stand for letters or part them, or a run of one letter."""
+    """Letters together with signs that may stand for letters or part them, nothing but such
+    signs (other than digits alone), a run of one letter, or every letter repeated."""
     if word.isalpha():
-        return any(a == b == c for a, b, c in zip(word, word[1:], word[2:]))
-    letters = sum(map(str.isalpha, word))
-    return letters >= 1 and len(word) >= 3
+        return any(a == b == c for a, b, c in zip(word, word[1:], word[2:])) or ALL_TWICE.fullmatch(word) is not None
+    if len(word) < 3:
+        return False
+    return any(map(str.isalpha, word)) or (not word.isdigit() and all(c in STANDS_FOR for c in word))
 
 
 class Restorer:
@@ -158,19 +170,31 @@ class Restorer:
         if found is None:
             if len(self.known) > KNOWN_WORDS:
                 self.known.clear()
-            word = raw.decode().lower().strip().strip(EDGES)
-            # every whole text is read; a longer word is no disguise, and is taken as it stands
-            if len(word) <= LONGEST_DECODED and noisy(word):
+            whole = raw.decode().lower().strip()
+            word = whole.strip(EDGES)
+            if noisy(word):
                 found = tuple(dict.fromkeys([*self.model.decode(word).split(), *[x for x in [word.strip(EDGES)] if x.isalpha()]]))
             else:
                 found = (word,) if word else ()
+            # a sign in front may be a letter
+            front = whole.find(word) - 1 if word else -1
+            if front >= 0 and whole[front] in STANDS_FOR:
+                found = tuple(dict.fromkeys([*found, *self.model.decode(whole[front] + word).split()]))
             self.known[raw] = found
         return found
 
 
 def spaced_words(words: Words) -> list[tuple[int, bytes]]:
-    """(text, letters set apart by spaces) where three or more single ASCII characters follow each other."""
-    single = np.diff(words.offsets) == 2
+    """(text, letters set apart by spaces) where three or more single characters, or ASCII
+    characters twice, follow each other; whole runs of any length."""
+    if not len(words):
+        return []
+    sign = np.frombuffer(words.buffer, np.uint8)
+    starts = words.offsets[:-1]
+    # bytes that begin a character; the space after each word is one
+    begins = np.add.reduceat((sign & 0xC0) != 0x80, starts, dtype=np.int64)
+    twice = (np.diff(words.offsets) == 3) & (sign[starts] == sign[np.minimum(starts + 1, len(sign) - 1)])
+    single = (begins == 2) | twice
     if not single.any():
         return []
     row = np.repeat(np.arange(len(words.counts)), words.counts)
@@ -179,7 +203,7 @@ def spaced_words(words: Words) -> list[tuple[int, bytes]]:
     cuts = np.flatnonzero(edge)
     starts, ends = cuts[:-1], cuts[1:]
     long = single[starts] & (ends - starts >= 3)
-    return [(int(row[s]), words.buffer[words.offsets[s] : words.offsets[min(e, s + LONGEST_DECODED // 2)]]) for a, e in zip(starts[long], ends[long]) for s in range(a, e, LONGEST_DECODED // 4) if e - s >= 3]
+    return [(int(row[s]), words.buffer[words.offsets[s] : words.offsets[e]]) for s, e in zip(starts[long], ends[long])]
 
 
 def marks_of(word: str) -> list[str]:

@@ -11,7 +11,7 @@ import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from itemflow.llm import quality, toxicity
+from itemflow.llm import common, quality, toxicity
 from itemflow.llm.queries import op5_quality_rules
 from itemflow.llm.token_files import TokenFile, read_token_files, write_token_files
 from itemflow.llm.unigram import Unigram, decode_documents, encode_documents
@@ -192,6 +192,23 @@ def test_noisy_words_are_restored(noisy, meant):
     assert found == meant if meant else isinstance(found, str)
 
 
+@pytest.mark.parametrize(
+    "text, meant",
+    [("!diot", "idiot"), ("iiddiioott", "idiot"), (".".join("you are an idiot " * 8).replace(" ", "_"), "idiot"), ("x " + " ".join("idiot" * 40), "idiot"), ("$$$ @ll", "all")],
+)
+def test_disguise_of_any_length_is_restored(text, meant):
+    restore = toxicity.Restorer(model_of(ENGLISH))
+    found = [w for _, some in toxicity._restored([text.encode()], restore) for w in some]
+    assert any(meant in w for w in found)
+
+
+def test_characters_set_apart_are_joined_whole():
+    text = "une d é b i l e là. п р и в е т ! ii dd ii oo tt no " + "a b " * 100
+    rows = [text.encode(), b"", b"a b", b"c d"]
+    assert [x.decode().strip() for _, x in toxicity.spaced_words(common.Words(rows))] == ["d é b i l e", "п р и в е т ! ii dd ii oo tt", ("a b " * 100).strip()]
+
+
+
 def brute_decode(model, word):
     """Every path through the lattice."""
     from itertools import product
