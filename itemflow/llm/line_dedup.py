@@ -1,16 +1,18 @@
-"""Removal of repeated runs of lines, by prefix doubling over line ids.
+"""Removal of repeated runs of lines, by prefix doubling and intervals of common prefixes.
 
 The lines of all documents form one sequence, documents kept apart by gaps. Every
 suffix of it gets a name such that two suffixes have one name exactly if their first
 1, 2, 4, ... lines agree: the name of twice as many lines is that of a pair of names.
 A name is the least position that bears it, as a rank in a suffix array would be, and
-suffixes that share theirs with no other drop out, so that rounds shrink. Two names
-that overlap tell whether two runs of any length agree: the depth of the interval in
-which two suffixes lie together, that is, their longest common prefix.
-
-A run of lines with enough words that also stands earlier is a later copy and goes.
-Long runs are covered by the shortest runs with enough words that begin, or end, at
-each of their lines, so that no depth beyond the number of words is needed.
+suffixes that share theirs with no other drop out; rounds go on until none is left.
+
+Then the intervals of the longest common prefixes are found from the deepest names
+up: an interval is all suffixes that share their first m lines, known by its earliest
+suffix and m. Intervals are cut by names of half the length, a quarter and so on. Those
+who agree further form an interval inside, which its earliest suffix stands for in
+the outer one; so the intervals together hold each suffix twice at most. The deepest
+interval in which a suffix is not the earliest gives the longest run of lines from it
+that also stands earlier: if it has enough words, it is a later copy and goes.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from itemflow.llm.common import match, saved, slices, text_key, texts
 
 
 def _line_ids(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(i, k, lines): for each document its lines with a word, packed as id (128 bits), words and number."""
+    """(i, k, lines): for each document its lines with a word, packed as id (128 bits) and words."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("i"), text_key(text).alias("k"), F.col(text).cast("string").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,27 +42,30 @@ def _line_ids(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     words = np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
                     kept = np.flatnonzero(words)
                     ids = b"".join([xxhash.xxh128_digest(lines[j]) for j in kept.tolist()])
-                    packed.append(np.column_stack([np.frombuffer(ids, np.int64).reshape(-1, 2), words[kept], kept]).astype(np.int64).tobytes())
+                    packed.append(np.column_stack([np.frombuffer(ids, np.int64).reshape(-1, 2), words[kept]]).astype(np.int64).tobytes())
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(packed, pa.binary())], ["i", "k", "lines"])
 
     return rows.mapInArrow(run, "i long, k long, lines binary")
 
 
-def shortest_runs(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Lines of the shortest run with enough words that begins, and that ends, at each line; 0 if none."""
+def lines_needed(words: np.ndarray, least: int) -> np.ndarray:
+    """Lines of the shortest run with enough words that begins at each line; 0 if none."""
     sums = np.concatenate([[0], np.cumsum(words)])
-    begin = np.searchsorted(sums, sums[:-1] + least)  # the first end that has enough
-    forth = np.where(begin < len(sums), begin - np.arange(len(words)), 0)
-    end = np.searchsorted(sums, sums[1:] - least, "right") - 1  # the last beginning that has enough
-    back = np.where(end >= 0, np.arange(len(words)) - end + 1, 0)
-    return forth, back
+    ends = np.searchsorted(sums, sums[:-1] + least)
+    return np.where(ends < len(sums), ends - np.arange(len(words)), 0)
+
+
+def covered(begin: np.ndarray, long: np.ndarray, n: int) -> np.ndarray:
+    """Which of n lines some run holds."""
+    edges = np.bincount(begin, minlength=n + 1) - np.bincount(begin + long, minlength=n + 1)
+    return np.cumsum(edges)[:n] > 0
 
 
 def _sequence(docs: DataFrame, least: int, doc_id: str, text: str) -> DataFrame:
-    """(pos, h1, h2, forth, back, i, k, line), one row per line; pos is in document order.
+    """(pos, h1, h2, need, i, k, at), one row per line; pos is in document order, ``at`` in the document.
 
-    Positions count up in each range partition; documents are ``least`` apart at
-    least, so that a position plus an offset never falls into the next document.
+    Positions count up in each range partition. One position between documents is
+    free: what follows a run inside a document is a line of it, or nothing.
     """
     order = [F.col("i").asc_nulls_last(), F.col("k")]
     # saved, since the sort looks at its input twice
@@ -74,52 +79,74 @@ def _sequence(docs: DataFrame, least: int, doc_id: str, text: str) -> DataFrame:
                 if (i, k) == last:  # a row that repeats is the same document
                     continue
                 last = (i, k)
-                lines = np.frombuffer(packed, np.int64).reshape(-1, 4)
+                lines = np.frombuffer(packed, np.int64).reshape(-1, 3)
                 n = len(lines)
                 if not n:
                     continue
-                forth, back = shortest_runs(lines[:, 2], least)
-                columns = [at + np.arange(n), lines[:, 0], lines[:, 1], forth, back]
+                columns = [at + np.arange(n), lines[:, 0], lines[:, 1], lines_needed(lines[:, 2], least)]
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c.astype(np.int64)) for c in columns], pa.array([i] * n, pa.int64()), pa.array([k] * n, pa.int64()), pa.array(lines[:, 3])],
-                    ["pos", "h1", "h2", "forth", "back", "i", "k", "line"],
+                    [*[pa.array(c.astype(np.int64)) for c in columns], pa.array([i] * n, pa.int64()), pa.array([k] * n, pa.int64()), pa.array(np.arange(n))],
+                    ["pos", "h1", "h2", "need", "i", "k", "at"],
                 )
-                at += n + least
+                at += n + 1
 
-    return saved(ordered.mapInArrow(run, "pos long, h1 long, h2 long, forth long, back long, i long, k long, line long"), "lines")
+    return saved(ordered.mapInArrow(run, "pos long, h1 long, h2 long, need long, i long, k long, at long"), "lines")
 
 
 def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(pos, name) of the rows whose keys are not unique; the name is the least position."""
+    """(pos, need, name) of the rows whose keys are not unique; the name is the least position."""
     classes = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("pos").alias("class")).where("n > 1").drop("n")
-    return rows.join(classes, keys).select("pos", F.col("class").alias("name"))
-
-
-def _doubled(names: DataFrame, length: int) -> DataFrame:
-    """Names of runs of twice the length."""
-    after = names.select((F.col("pos") - length).alias("pos"), F.col("name").alias("next"))
-    return _named(names.join(after, "pos"), ["name", "next"])
-
-
-def repeated_runs(lines: DataFrame, least: int) -> DataFrame:
-    """(s, m): runs of m lines from position s that also stand earlier."""
-    names = saved(_named(lines.select("pos", "h1", "h2"), ["h1", "h2"]), "names")
-    levels = names.withColumn("level", F.lit(0))
-    length = 1
-    while 2 * length <= least and not names.isEmpty():
-        names = saved(_doubled(names, length), "names")
-        length *= 2
-        levels = levels.unionByName(names.withColumn("level", F.lit(length.bit_length() - 1)))
-    forth = lines.where("forth > 0").select(F.col("pos").alias("s"), F.col("forth").alias("m"))
-    back = lines.where("back > 0").select((F.col("pos") - F.col("back") + 1).alias("s"), F.col("back").alias("m"))
-    # one that is a run of a single line begins and ends there
-    runs = forth.unionByName(back.where("m > 1")).withColumn("level", F.floor(F.log2("m") + 1e-9).cast("int"))
-    head = levels.select(F.col("pos").alias("s"), "level", F.col("name").alias("a"))
-    tail = levels.select(F.col("pos").alias("e"), "level", F.col("name").alias("b"))
-    paired = runs.join(head, ["s", "level"]).withColumn("e", F.col("s") + F.col("m") - F.pow(F.lit(2), F.col("level")).cast("bigint"))
-    paired = paired.join(tail, ["e", "level"]).select("s", "m", "a", "b").distinct()
-    firsts = paired.groupBy("m", "a", "b").agg(F.min("s").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return paired.join(firsts, ["m", "a", "b"]).where("s > first").select("s", "m")
+    return rows.join(classes, keys).select("pos", "need", F.col("class").alias("name"))
+
+
+def _levels(lines: DataFrame) -> list[DataFrame]:
+    """Names of runs of 1, 2, 4, ... lines, as far as any run repeats."""
+    levels = [saved(_named(lines.select("pos", "need", "h1", "h2"), ["h1", "h2"]), "names")]
+    while not levels[-1].isEmpty():
+        names = levels[-1]
+        after = names.select((F.col("pos") - (1 << len(levels) - 1)).alias("pos"), F.col("name").alias("next"))
+        levels.append(saved(_named(names.join(after, "pos"), ["name", "next"]), "names"))
+    return levels[:-1]
+
+
+def _cut(intervals: DataFrame, names: DataFrame, length: int) -> DataFrame:
+    """Intervals with those inside them whose suffixes agree in ``length`` more lines."""
+    after = names.select(F.col("pos").alias("end"), F.col("name").alias("next"))
+    rows = intervals.withColumn("end", F.col("s") + F.col("m")).join(after, "end", "left").drop("end")
+    inside = rows.where("next is not null").groupBy("first", "m", "next").agg(F.min("s").alias("inner"), F.count("*").alias("n")).where("n > 1").drop("n")
+    rows = rows.join(inside, ["first", "m", "next"], "left")
+    stays = F.when(F.col("inner").isNull() | (F.col("s") == F.col("inner")), F.struct("first", "m"))
+    goes = F.when(F.col("inner").isNotNull(), F.struct(F.col("inner").alias("first"), (F.col("m") + length).alias("m")))
+    return rows.select("s", "need", F.explode(F.array_compact(F.array(stays, goes))).alias("of")).select("s", "need", "of.first", "of.m")
+
+
+def common_intervals(lines: DataFrame) -> DataFrame:
+    """(s, need, first, m): suffix s shares m lines with the suffix ``first``, the earliest of its interval.
+
+    A suffix that is not the earliest has one row at most, that of the deepest such
+    interval. Suffixes whose common lines cannot hold enough words are left out:
+    whoever shares enough words with them could not either.
+    """
+    levels = _levels(lines)
+    intervals = lines.select(F.col("pos").alias("s"), "need", F.col("pos").alias("first"), F.lit(0).cast("bigint").alias("m")).where(F.lit(False))
+    for level in reversed(range(len(levels))):
+        length = 1 << level
+        names = levels[level]
+        # those in deeper intervals already, but for the earliest of each
+        begun = names.select(F.col("pos").alias("s"), "need", F.col("name").alias("first"), F.lit(length).cast("bigint").alias("m"))
+        if level + 1 < len(levels):
+            begun = begun.join(levels[level + 1].where("pos <> name").select(F.col("pos").alias("s")), "s", "left_anti")
+            begun = begun.unionByName(_cut(intervals, names, length))
+        rows = saved(begun.where((F.col("need") > 0) & (F.col("need") < F.col("m") + length)), "intervals")
+        # a suffix that is left alone in an outer interval can share nothing more there
+        later = rows.where("s <> first")
+        intervals = later.unionByName(rows.where("s = first").join(later.select("first", "m").distinct(), ["first", "m"], "left_semi").select(later.columns))
+    return intervals
+
+
+def repeated_runs(lines: DataFrame) -> DataFrame:
+    """(s, m): the longest run of m lines from position s that also stands earlier, where it has enough words."""
+    return common_intervals(lines).where("s <> first and m >= need").select("s", "m")
 
 
 def without_repeated_lines(docs: DataFrame, keep: list[str], least: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -136,24 +163,28 @@ def without_repeated_lines(docs: DataFrame, keep: list[str], least: int = 20, do
     result. A kept column with the name of a result column is replaced by it.
     """
     lines = _sequence(docs, least, doc_id, text)
-    gone = repeated_runs(lines, least).select(F.explode(F.sequence("s", F.col("s") + F.col("m") - 1)).alias("pos")).distinct()
-    removed = lines.join(gone, "pos").groupBy("i", "k").agg(F.collect_list("line").alias("removed")).withColumnsRenamed({"i": "r_i", "k": "r_k"})
+    # one run per line of the document at most
+    runs = lines.select(F.col("pos").alias("s"), "i", "k", "at").join(repeated_runs(lines), "s").groupBy("i", "k").agg(F.collect_list(F.struct("at", "m")).alias("runs"))
+    removed = runs.select(F.col("i").alias("r_i"), F.col("k").alias("r_k"), F.col("runs.at").alias("begin"), F.col("runs.m").alias("long"))
     names = ["kept_text", "n_lines", "n_removed"]
     keep = [c for c in keep if c not in names]
     rows = docs.select(*[F.col(c).alias(f"k_{j}") for j, c in enumerate(keep)], F.col(doc_id).cast("bigint").alias("i"), text_key(text).alias("k"), F.col(text).cast("string").alias("t"))
     joined = rows.join(removed, match(rows, removed, {"i": "r_i", "k": "r_k"}), "left").drop("i", "k", "r_i", "r_k")
     last = len(keep)
-    schema = joined.drop("t", "removed").withColumns({"kept_text": F.lit(""), "n_lines": F.lit(0).cast("bigint"), "n_removed": F.lit(0).cast("bigint")}).schema
+    schema = joined.drop("t", "begin", "long").withColumns({"kept_text": F.lit(""), "n_lines": F.lit(0).cast("bigint"), "n_removed": F.lit(0).cast("bigint")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, last):
                 kept, counts, lost = [], [], []
-                for whole, gone in zip(texts(part.column(last)), part.column(last + 1).to_pylist()):
+                for whole, begin, long in zip(texts(part.column(last)), part.column(last + 1).to_pylist(), part.column(last + 2).to_pylist()):
                     lines = whole.split(b"\n")
-                    counts.append(sum(1 for x in lines if x and not x.isspace()))
-                    away = set(gone or ())
-                    if away:
+                    numbers = [j for j, x in enumerate(lines) if x and not x.isspace()]
+                    counts.append(len(numbers))
+                    away: set[int] = set()
+                    if begin:
+                        gone = covered(np.array(begin), np.array(long), len(numbers))
+                        away = set(np.array(numbers)[gone].tolist())
                         lines = [x for j, x in enumerate(lines) if j not in away]
                     kept.append(b"\n".join(lines))
                     lost.append(len(away))

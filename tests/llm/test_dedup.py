@@ -9,7 +9,7 @@ import xxhash
 
 from itemflow.llm.common import table
 from itemflow.llm.components import connected_components
-from itemflow.llm.line_dedup import shortest_runs, without_repeated_lines
+from itemflow.llm.line_dedup import common_intervals, lines_needed, without_repeated_lines
 from itemflow.llm.nn_descent import near_vectors
 from itemflow.llm.simhash import fingerprint, linked, near_duplicates, one_of_each
 from itemflow.llm.substring_dedup import later_windows, without_repeats
@@ -121,10 +121,39 @@ def test_no_documents_no_lines(documents):
     assert without_repeated_lines(documents([]), ["doc_id"]).count() == 0
 
 
-def test_shortest_runs():
-    forth, back = shortest_runs(np.array([3, 1, 5, 2]), 4)
-    assert forth.tolist() == [2, 2, 1, 0]
-    assert back.tolist() == [0, 2, 1, 2]
+def test_lines_needed():
+    assert lines_needed(np.array([3, 1, 5, 2]), 4).tolist() == [2, 2, 1, 0]
+
+
+def longest_earlier(sequences):
+    """Position of each line: the most lines from it that also begin at an earlier position."""
+    places, at = [], 0
+    for lines in sequences:
+        places += [(at + j, lines[j:]) for j in range(len(lines))]
+        at += len(lines) + 1
+    found = {}
+    for n, (pos, rest) in enumerate(places):
+        for _, other in places[:n]:
+            m = next((j for j, (a, b) in enumerate(zip(rest, other)) if a != b), min(len(rest), len(other)))
+            if m:
+                found[pos] = max(m, found.get(pos, 0))
+    return found
+
+
+@pytest.mark.parametrize("letters", ["a", "ab", "abcdefgh"])
+def test_intervals_give_the_longest_earlier_run_at_any_depth(spark, letters):
+    rng = random.Random(5)
+    long = [rng.choice(letters) for _ in range(90)]
+    sequences = [long, long[7:80], *[[rng.choice(letters) for _ in range(rng.randrange(12))] for _ in range(12)], ["z", *long[3:75], "z"], long[:1]]
+    rows, at = [], 0
+    for lines in sequences:
+        rows += [(at + j, ord(x), 0, 1) for j, x in enumerate(lines)]
+        at += len(lines) + 1
+    found = common_intervals(spark.createDataFrame(rows, "pos long, h1 long, h2 long, need long")).collect()
+    later = [(r.s, r.m) for r in found if r.s != r["first"]]
+    assert len(later) == len(dict(later))
+    assert dict(later) == longest_earlier(sequences)
+    assert len(found) <= 2 * len(rows)
 
 
 # SimHash ------------------------------------------------------------------------
