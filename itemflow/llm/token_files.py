@@ -34,7 +34,8 @@ CHECKSUMS = 0x80
 # A skippable frame of our own: the doc_ids.
 IDS_MAGIC = 0x184D2A50
 END_ID = 1
-KNOWN_WORDS = 500_000
+# Remembered by a worker, about 200 bytes each: common words are not encoded again and again.
+KNOWN_WORDS = 1_200_000
 # Signs that end a word as a unit of their own.
 STOPS = b".,;:!?"
 
