@@ -7,7 +7,8 @@ counted over the whole corpus. Then the restored text is scored: words, and
 beginnings of words, that mark toxic documents are learned from labels. A mark
 has to explain documents that no stronger mark explains, or to stand beside many
 different words: so words that merely stand beside a mark in copies of one text are
-not learned.
+not learned. Texts without a mark are graded below all others by how much more often
+their words stand in toxic documents than in clean ones.
 """
 
 from __future__ import annotations
@@ -44,6 +45,9 @@ LEAST_PRECISION = 0.6
 # Marks that explain nothing new: different neighbours, and precision, that they need.
 LEAST_CONTEXTS = 6
 SURE = 0.9
+# Words whose share among toxic and clean documents grades texts without a mark, and the end of their scores.
+TELLING_WORDS = 20_000
+UNMARKED_END = 0.29
 KNOWN_WORDS = 300_000
 
 
@@ -222,8 +226,8 @@ def _restored(rows: list[bytes], restore: Restorer) -> Iterator[tuple[int, list[
         yield i, restore(letters)
 
 
-def learn(sample: DataFrame, model: CharacterModel) -> tuple[dict[str, float], float]:
-    """(probability that a document with a mark is toxic, probability without any mark).
+def learn(sample: DataFrame, model: CharacterModel) -> tuple[dict[str, float], float, dict[str, float]]:
+    """(probability that a document with a mark is toxic, probability without any mark, evidence of words).
 
     ``sample``: t, toxic; a bounded number of documents. Marks are counted where the
     texts are. Then marks are chosen one by one: the one that marks most of the toxic
@@ -247,9 +251,12 @@ def learn(sample: DataFrame, model: CharacterModel) -> tuple[dict[str, float], f
     tallies = sample.mapInArrow(count, "mark string, toxic long, n long").groupBy("mark").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("neg")
     )
+    tallies = saved(tallies.where(F.col("pos") + F.col("neg") >= LEAST_SUPPORT), "tallies")
     able = tallies.where((F.col("pos") >= LEAST_SUPPORT) & (F.col("pos") >= LEAST_PRECISION * (F.col("pos") + F.col("neg"))))
-    tally = {r.mark: (r.pos, r.neg) for r in saved(able, "marks").toLocalIterator()}
+    tally = {r.mark: (r.pos, r.neg) for r in able.toLocalIterator()}
     totals = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    clean, toxic = totals.get(0, 0), totals.get(1, 0)
+    evidence = telling_words(tallies, clean, toxic) if clean and toxic else {}
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model)
@@ -265,7 +272,24 @@ def learn(sample: DataFrame, model: CharacterModel) -> tuple[dict[str, float], f
     places = saved(toxic_rows.mapInArrow(occurrences, "doc long, mark string, beside long"), "places")
     contexts = {r.mark: r.n for r in places.groupBy("mark").agg(F.countDistinct("beside").alias("n")).toLocalIterator()}
     toxic_docs = [set(r.marks) for r in places.groupBy("doc").agg(F.collect_set("mark").alias("marks")).toLocalIterator()]
-    return choose(toxic_docs, tally, contexts, totals.get(0, 0), totals.get(1, 0))
+    return *choose(toxic_docs, tally, contexts, clean, toxic), evidence
+
+
+def telling_words(tallies: DataFrame, clean: int, toxic: int) -> dict[str, float]:
+    """Log ratio of the shares of toxic and of clean documents that hold a word, for the words
+    whose counts differ most from what the shares of the documents let expect."""
+    share = toxic / (clean + toxic)
+    n = F.col("pos") + F.col("neg")
+    far = F.abs(F.col("pos") - n * share) / F.sqrt(n * share * (1 - share))
+    words = tallies.where(~F.col("mark").endswith("*")).orderBy(far.desc(), "mark").limit(TELLING_WORDS)
+    return {r.mark: math.log((r.pos + 0.5) / (toxic + 1)) - math.log((r.neg + 0.5) / (clean + 1)) for r in words.toLocalIterator()}
+
+
+def unmarked_scores(base: float, sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Scores below ``UNMARKED_END`` that grow with the mean evidence of a text's words; ``base`` without any."""
+    start = math.log(base / (UNMARKED_END - base))
+    # ten words without evidence more, so that a few words say little
+    return UNMARKED_END / (1 + np.exp(-(start + sums / (counts + 10))))
 
 
 def _marked_places(rows: list[bytes], restore: Restorer, tally: dict) -> Iterator[tuple[int, str, int]]:
@@ -331,7 +355,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep: list[str], train: int = T
     which ids have it. A score sees the text alone. The character model is counted
     over all documents.
 
-    Null and empty texts have the score of a text without marks. Null ids are not
+    Null and empty texts have the score of a text whose words say nothing. Texts without
+    marks are graded below ``UNMARKED_END``, and are not predicted. Null ids are not
     held out and have no label; null labels are left out, ids labelled twice count
     twice. Texts are read whole. Empty tables, or no toxic label, give no marks.
     A kept column with the name of a result column is replaced by it.
@@ -345,7 +370,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep: list[str], train: int = T
     first = usable.select(F.col("doc_id").alias("l"), F.col("toxic").cast("bigint").alias("toxic"), F.xxhash64("doc_id").alias("h")).orderBy("h", "l", "toxic").limit(train)
     ids = F.broadcast(saved(first, "sample"))  # at most ``train`` rows of three numbers
     sample = docs.join(ids, F.col(doc_id) == F.col("l")).select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"), "toxic")
-    weights, base = learn(saved(sample, "training"), model)
+    weights, base, evidence = learn(saved(sample, "training"), model)
 
     rows = docs.select(*[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)], held(doc_id).alias("h"), F.col(text).cast("string").alias("t"))
     last = len(keep) + 1
@@ -354,13 +379,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep: list[str], train: int = T
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model)
         marked: dict[bytes, tuple[str, ...]] = {}
+        told: dict[bytes, float] = {}
 
         def marks(raw: bytes) -> tuple[str, ...]:
             found = marked.get(raw)
             if found is None:
                 if len(marked) > KNOWN_WORDS:
                     marked.clear()
-                found = marked[raw] = tuple(m for word in restore(raw) for m in marks_of(word) if m in weights)
+                    told.clear()
+                words = restore(raw)
+                found = marked[raw] = tuple(m for word in words for m in marks_of(word) if m in weights)
+                told[raw] = max((evidence.get(word, 0.0) for word in words), default=0.0)
             return found
 
         for batch in batches:
@@ -368,9 +397,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep: list[str], train: int = T
                 words = Words(texts(part.column(last)))
                 codes, distinct = words.encoded()
                 flagged = np.zeros(len(distinct), bool)
+                says = np.zeros(len(distinct))
                 for j, word in enumerate(distinct):
                     if marks(word):
                         flagged[j] = True
+                    says[j] = told[word]
                 hits = np.flatnonzero(flagged[codes]) if len(codes) else np.zeros(0, np.int64)
                 found: dict[int, set[str]] = defaultdict(set)
                 row = np.searchsorted(words.firsts + words.counts, hits, "right")
@@ -378,7 +409,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep: list[str], train: int = T
                     found[i].update(marks(distinct[code]))
                 for i, letters in spaced_words(words):
                     found[i].update(marks(letters))
-                score = np.full(part.num_rows, base)
+                every = np.repeat(np.arange(part.num_rows), words.counts)
+                score = unmarked_scores(base, np.bincount(every, says[codes], part.num_rows) if len(codes) else np.zeros(part.num_rows), words.counts)
                 for i, names_ in found.items():
                     if names_:
                         score[i] = 1 - math.prod(1 - weights[m] for m in sorted(names_))
