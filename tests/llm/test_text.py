@@ -232,35 +232,6 @@ def test_the_best_path_is_found(word):
     assert model.decode(word) == brute_decode(model, word)[1].strip()
 
 
-def test_texts_without_marks_are_graded(spark, documents):
-    """Words that lean to toxic documents raise a score without a mark, others lower it, an empty text has neither."""
-    rows, labels = [], []
-    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
-    for i in range(400):
-        toxic = i % 4 == 0
-        leaning = "stormy" if i % 20 < (9 if toxic else 7) else "sunny"
-        rows.append((i, f"{leaning} day {i}", "en", "s", 1))
-        labels.append((i, int(toxic)))
-    rows += [(1000, "stormy stormy stormy day", "en", "s", 1), (1001, "sunny sunny sunny day", "en", "s", 1), (1002, None, "en", "s", 1), (1003, "", "en", "s", 1)]
-    known = spark.createDataFrame(labels, "doc_id long, toxic int")
-    found = {r.doc_id: r for r in toxicity.toxicity(documents(rows), known, ["doc_id"]).collect()}
-    assert found[1002].score == found[1003].score
-    assert found[1000].score > found[1003].score > found[1001].score > 0
-    assert all(found[i].score < toxicity.UNMARKED_END and not found[i].predicted for i in (1000, 1001, 1002, 1003))
-    # against the formula, from labels alone
-    train = [(t.split(), labels[i][1]) for i, t, *_ in rows[:400] if not held(i)]
-    toxic, clean = sum(x for _, x in train), sum(1 - x for _, x in train)
-    evidence = {}
-    for word in {w for t, _ in train for w in t}:
-        pos, neg = sum(x for t, x in train if word in t), sum(1 - x for t, x in train if word in t)
-        if pos + neg >= toxicity.LEAST_SUPPORT:
-            evidence[word] = math.log((pos + 0.5) / (toxic + 1)) - math.log((neg + 0.5) / (clean + 1))
-    start = math.log(found[1003].score / (toxicity.UNMARKED_END - found[1003].score))
-    for i, text in ((1000, rows[400][1]), (1001, rows[401][1])):
-        mean = sum(evidence.get(w, 0) for w in text.split()) / (len(text.split()) + 10)
-        assert found[i].score == pytest.approx(toxicity.UNMARKED_END / (1 + math.exp(-(start + mean))))
-
-
 def test_toxicity_learns_and_holds_out(spark, documents):
     rng = random.Random(5)
     rows, labels = [], []
