@@ -45,6 +45,7 @@ def combine_long(
     omit_code: str = "5",
     not_seen_code: str = "6",
     id_column: str = "student_id",
+    parts: int | None = None,
 ) -> DataFrame:
     """The same table as ``combine_wide``, from a long matrix with an ``exam`` column.
 
@@ -73,6 +74,7 @@ def combine_long(
         cells.select("student_id", F.inline(F.array(cell, taken))),
         "student_id",
         wanted + [prefix + _TAKEN for prefix in items],
+        parts,
     )
     return wide.select(
         F.col("student_id").alias(id_column),
@@ -100,6 +102,7 @@ def combine_sources(
     omit_code: str = "5",
     not_seen_code: str = "6",
     id_column: str = "user_id",
+    parts: int | None = None,
 ) -> DataFrame:
     """Students with exams in both of two sources, side by side.
 
@@ -112,7 +115,7 @@ def combine_sources(
     source = F.when(F.col("exam").isin(*first), F.lit("1")).when(F.col("exam").isin(*second), F.lit("2"))
     tagged = long.withColumn("student_id", F.concat(source, F.col("student_id").cast("string")))
     # a student without an id is in no other source
-    wide = stored(combine_long(tagged.where(F.col("student_id").isNotNull()), variable, {**first, **second}, omit_code, not_seen_code))
+    wide = stored(combine_long(tagged.where(F.col("student_id").isNotNull()), variable, {**first, **second}, omit_code, not_seen_code, parts=parts))
 
     def of(number: str, exams: Mapping[str, Sequence[str]], id_name: str) -> DataFrame:
         columns = [prefix + name for prefix, names in exams.items() for name in names]
