@@ -146,10 +146,10 @@ class _Run:
         """Attach a map's columns and drop the rows it does not know."""
         number = self.number(step)
         if not self.tagged:
-            self.frame = equi_join(self.frame, table, [key], "inner")
+            self.frame = equi_join(self.frame, F.broadcast(table), [key], "inner")
             return
         table = table.withColumn("__in_map", F.lit(True))
-        self.frame = equi_join(self.frame, table, [key], "left")
+        self.frame = equi_join(self.frame, F.broadcast(table), [key], "left")
         self._tag(DROP_STEP, F.col("__in_map").isNull(), number)
         self.frame = self.frame.drop("__in_map")
 

@@ -1,5 +1,7 @@
 """Rows are dealt by their number, and wide rows are made where their cells are."""
 
+import re
+
 import pytest
 
 from itemflow.catalog import QUERIES, outputs, tables
@@ -48,3 +50,14 @@ def test_large_tables_are_read_in_more_parts(spark, monkeypatch, name):
     frame = QUERIES[name](spark, SF)
     assert ", 13), REPARTITION_BY_NUM" in physical(frame)
     assert sorted(map(str, frame.collect())) == expected
+
+
+@pytest.mark.parametrize("name", ["question_counts", "overall_scores_test", "overall_scores_qbank", "threshold_template"])
+def test_responses_are_not_dealt_by_their_few_sections(spark, name):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(QUERIES[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert not re.search(r"SortMergeJoin \[[^\]]*(section_name|template_name|o_orderpriority)[^\]]*\], \[[^\]]*\], Inner", plan), plan
