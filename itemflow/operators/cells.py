@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,20 +26,67 @@ def fields(line: Column, separator: str = ",") -> Column:
     field = f'[{separator}]("(?:[^"]++|"")*+"|[^{separator}]*+)'
     each = F.regexp_extract_all(F.concat(F.lit(separator), line), F.lit(field), F.lit(1))
 
-    def plain(text: Column) -> Column:
-        inner = text.substr(F.lit(2), F.char_length(text) - 2)
-        return F.when(text.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(text)
+    return F.transform(each, _plain)
 
-    return F.transform(each, plain)
 
+def _plain(text: Column) -> Column:
+    """A field without its quotes."""
+    inner = text.substr(F.lit(2), F.char_length(text) - 2)
+    return F.when(text.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(text)
 
-def cells_of_lines(lines: DataFrame, headers: DataFrame, by: Sequence[str] = (), id_column: str = "student_id", separator: str = ",") -> DataFrame:
+
+def _tokens(rest: Column, skip: str, separator: str) -> Column:
+    """The fields after the id as tokens, each with its separator; a run of ``skip`` is one token."""
+    gap = separator + skip
+    plain_gap = re.escape(gap)
+    token = f'((?:{plain_gap}(?![^{separator}]))++|[{separator}](?:"(?:[^"]++|"")*+"|[^{separator}]*+))'
+    # a line without any other cell is told by one comparison
+    width = F.floor(F.char_length(rest) / len(gap)).cast("int")
+    empty = rest == F.repeat(F.lit(gap), width)
+    nothing = F.when(width > 0, F.array(rest)).otherwise(F.array().cast("array<string>"))
+    return F.when(empty, nothing).otherwise(F.regexp_extract_all(rest, F.lit(token), F.lit(1)))
+
+
+def _is_run(token: Column, gap: str, separator: str) -> Column:
+    return (token == gap) | token.startswith(gap + separator)
+
+
+def _shown_cells(lines: DataFrame, headers: DataFrame, by: Sequence[str], id_column: str, skip: str, separator: str) -> DataFrame:
+    """The cells of lines whose text is not ``skip``: only these take a place in an array, and a row."""
+    names = headers.select(*by, fields(F.col("value"), separator).alias("names")).distinct()
+    whole = F.concat(F.lit(separator), F.col("value"))
+    first = F.regexp_extract(whole, f'^([{separator}](?:"(?:[^"]++|"")*+"|[^{separator}]*+))', 1)
+    split = lines.select(*by, fields(F.substring(first, len(separator) + 1, 2**31 - 1), separator)[0].alias("id"), whole.substr(F.char_length(first) + 1, F.char_length(whole)).alias("rest"))
+    gap = separator + skip
+    width = F.transform("tokens", lambda t: F.when(_is_run(t, gap, separator), F.char_length(t) / len(gap)).otherwise(1).cast("int"))
+    parsed = split.select(*by, "id", _tokens(F.col("rest"), skip, separator).alias("tokens")).withColumn("widths", width)
+    total = F.aggregate("widths", F.lit(0), lambda n, w: n + w)
+    ends = F.aggregate("widths", F.array().cast("array<int>"), lambda all, w: F.concat(all, F.array(F.coalesce(F.try_element_at(all, F.lit(-1)), F.lit(0)) + w)))
+    texts = F.transform("tokens", lambda t: F.substring(t, len(separator) + 1, 2**31 - 1))
+    run = F.transform("tokens", lambda t: _is_run(t, gap, separator))
+    cells = F.filter(F.arrays_zip(ends.alias("place"), texts.alias("text"), run.alias("run")), lambda c: ~c["run"])
+    found = parsed.select(*by, "id", (total + 1).alias("n_fields"), cells.alias("cells"))
+    joined = equi_join(found, names, by, "inner") if by else found.join(F.broadcast(names))
+    wrong = F.concat(F.lit("fields in a line: "), F.col("n_fields"), F.lit(", in its header: "), F.size("names"))
+    checked = F.when(F.col("n_fields") == F.size("names"), F.col("cells")).otherwise(F.raise_error(wrong).cast(found.schema["cells"].dataType))
+    student = F.nullif(F.col("id"), F.lit("")).alias(id_column)
+    named = F.transform(checked, lambda c: F.struct(F.element_at("names", c["place"] + 1).alias("item"), _plain(c["text"]).alias("text")))
+    shown = joined.select(*by, student, F.inline(named)).toDF(*by, id_column, "content_item_name", "text")
+    return shown.where(F.col("text") != skip)
+
+
+def cells_of_lines(
+    lines: DataFrame, headers: DataFrame, by: Sequence[str] = (), id_column: str = "student_id", separator: str = ",", skip: str | None = None
+) -> DataFrame:
     """(by..., student, item, text) from lines and headers, both (by..., value).
 
     ``by`` names the columns that tell one matrix, or block of it, from another. Headers
     are joined to lines, not to cells. A line with more or fewer fields than its header
-    stops the run; an empty id is null.
+    stops the run; an empty id is null. Cells whose text is ``skip`` have no row: a run of
+    them is read as one field, so that a line costs its other cells.
     """
+    if skip:
+        return _shown_cells(lines, headers, by, id_column, skip, separator)
     names = headers.select(*by, fields(F.col("value"), separator).alias("names")).distinct()
     rows = lines.select(*by, fields(F.col("value"), separator).alias("fields"))
     # without ``by`` there is one header, and a task that reads lines can hold a line

@@ -21,6 +21,32 @@ def test_fields_of_a_line(spark):
     assert found[6] == ["long " * 5000, "z"]
 
 
+def test_lines_without_skipped_cells(spark):
+    """The same cells as by reading every field, whatever runs of the skipped text a line holds."""
+    lines = ["s1,-99,-99,-99,-99", "-99,-99,1,-99,-99", ",1,-99,.,-99", 's3,-99,"-99",-990,"-99,-99"', 's4,"a,b",-99,-99,NA', '"5,-99",1,1,1,1', "s6,,-99,-99,1-99"]
+    text = spark.createDataFrame([(x, b) for x in lines for b in (1, 2)], "value string, block int")
+    heads = spark.createDataFrame([('student_id,i1,"i,2",i3,i4', 1), ("student_id,i5,i6,i7,i8", 2)], "value string, block int")
+    every = cells.cells_of_lines(text, heads, ["block"]).where("text <> '-99'")
+    shown = cells.cells_of_lines(text, heads, ["block"], skip="-99")
+    assert shown.columns == every.columns and sorted(map(str, shown.collect())) == sorted(map(str, every.collect()))
+    one = cells.cells_of_lines(text.where("block = 1").drop("block"), heads.where("block = 1").drop("block"), skip="-99")
+    assert one.count() == shown.where("block = 1").count() > 0
+    long = spark.createDataFrame([("s," + "-99," * 5000 + "7,-99", 1)], "value string, block int")
+    wide = spark.createDataFrame([("id," + ",".join(f"i{i}" for i in range(5002)), 1)], "value string, block int")
+    assert [tuple(r) for r in cells.cells_of_lines(long, wide, ["block"], skip="-99").collect()] == [(1, "s", "i5000", "7")]
+    for bad in ("s1,-99,-99,-99", "s1,-99,-99,-99,-99,-99", "s1", "s1,1,-99"):
+        with pytest.raises(Exception, match="fields in a line"):
+            cells.cells_of_lines(spark.createDataFrame([(bad, 1)], "value string, block int"), heads, ["block"], skip="-99").collect()
+
+
+def test_the_cells_of_a_matrix_are_not_all_made(spark, monkeypatch):
+    """Cells that were not seen take no row and no place in an array of fields."""
+    from itemflow.catalog import QUERIES
+
+    plan = QUERIES["matrix_cells"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "(,-99" in plan.replace("\\", "") or "(?:,\\-99" in plan, plan
+
+
 def cleaned_rows(spark):
     frame, _ = omissions.repeat_questions(omissions.add_attempted(rows.drop_staged(responses(spark, SF_DIR))))
     # names and ids that have to be quoted
