@@ -8,6 +8,7 @@ from itemflow.catalog.registry import query
 from itemflow.catalog.row_filters import ID, ID_SQL
 from itemflow.catalog.tables import (
     SECTIONS_SQL,
+    response_parts,
     responses,
     section_map,
     table,
@@ -99,7 +100,7 @@ def too_many_questions_in_section(spark, sf_dir):
     ),
 )
 def duplicate_items(spark, sf_dir):
-    frame = responses(spark, sf_dir)
+    frame = responses(spark, sf_dir, response_parts(spark, sf_dir))
     return _kept(frame, exclusions.bad_duplicate_items(frame))
 
 

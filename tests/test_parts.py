@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from itemflow.catalog import QUERIES, outputs, tables
+from itemflow.catalog import QUERIES, outputs, rules
 from itemflow.functions import parts
 from itemflow.operators import matrix
 
@@ -45,7 +45,7 @@ def test_cells_are_dealt_by_student_before_rows_get_wide(spark, number):
 @pytest.mark.parametrize("name", ["matrix_responses", "matrix_omit_incorrect", "combine_full", "combine_lookup", "combine_stacked", "duplicate_items"])
 def test_large_tables_are_read_in_more_parts(spark, monkeypatch, name):
     expected = sorted(map(str, QUERIES[name](spark, SF).collect()))
-    for module in (tables, outputs):
+    for module in (outputs, rules):
         monkeypatch.setattr(module, "response_parts", lambda spark, sf_dir: 13)
     frame = QUERIES[name](spark, SF)
     assert ", 13), REPARTITION_BY_NUM" in physical(frame)
