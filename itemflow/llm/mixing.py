@@ -174,15 +174,15 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Nulls, empty texts, ties and an empty table as in ``mix``; a document that is not
     taken has no row. Columns may have any names: rows travel as a whole.
     """
-    plan = mix(docs).select("i", "k", F.col("source").alias("s"), "n", "extra", "whole")
+    # nulls are inside the key, so that join and window agree on it and rows are dealt once
+    key = lambda i, k, s: F.struct(i.alias("i"), k.alias("k"), s.alias("s")).cast("struct<i:bigint,k:bigint,s:string>").alias("key")
+    plan = mix(docs).select(key(F.col("i"), F.col("k"), F.col("source")), "n", "extra", "whole")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"),
-        text_key().alias("r_k"),
-        F.col("doc_id").cast("bigint").alias("r_i"),
-        F.col("source").cast("string").alias("r_s"),
+        key(F.col("doc_id"), text_key(), F.col("source")),
     )
-    joined = rows.join(plan, match(rows, plan, {"r_i": "i", "r_k": "k", "r_s": "s"}))
-    place = F.row_number().over(Window.partitionBy("r_i", "r_k", "r_s").orderBy(F.lit(0)))
+    joined = rows.join(plan, "key")
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
     times = F.col("whole") + F.when(F.when(F.col("n") == 1, F.lit(1)).otherwise(place) <= F.col("extra"), 1).otherwise(0)
     counted = joined.withColumn("times", times).where("times > 0")
     repeated = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times").cast("bigint"))))

@@ -80,6 +80,16 @@ def test_small_mixes(documents):
     assert len(odd) == len(awkward())
 
 
+def test_the_texts_of_the_mix_are_dealt_once(spark, documents):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = mixed_documents(documents(mixable(60)))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "Exchange" not in plan[plan.index("Window [") : plan.index("SortMergeJoin [key", plan.index("Window ["))], plan
+
+
 # Chat ---------------------------------------------------------------------------
 
 
