@@ -41,3 +41,15 @@ def test_showings_carry_no_copy_of_their_order(spark, monkeypatch):
     assert given == [frame.columns]
     # without response ids there is one column more, a hash
     assert omissions.ranked_showings(frame.drop("response_id"), "rank").count() == 4 and len(given[1]) == 5
+
+
+def test_the_key_of_items_is_read_from_rows_that_were_not_dealt(spark, monkeypatch):
+    from itemflow.catalog import outputs
+
+    seen = []
+    real = outputs.given_keys
+    monkeypatch.setattr(outputs, "given_keys", lambda frame: seen.append(physical(frame)) or real(frame))
+    monkeypatch.setattr(outputs, "response_parts", lambda spark, sf_dir: 13)
+    found = outputs.item_info(spark, "/root/testdata/sf0.001")
+    assert "REPARTITION_BY_NUM" in physical(found)
+    assert len(seen) == 1 and "REPARTITION_BY_NUM" not in seen[0] and "Window" not in seen[0]
