@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from itemflow.operators import omissions
+from itemflow.operators.joins import flag_members
 from itemflow.operators.ranking import ranked
 
 
@@ -53,3 +54,58 @@ def test_the_key_of_items_is_read_from_rows_that_were_not_dealt(spark, monkeypat
     found = outputs.item_info(spark, "/root/testdata/sf0.001")
     assert "REPARTITION_BY_NUM" in physical(found)
     assert len(seen) == 1 and "REPARTITION_BY_NUM" not in seen[0] and "Window" not in seen[0]
+
+
+def test_rows_dealt_by_activity_are_not_dealt_again_for_a_list(spark, only_shuffles):
+    rows = spark.createDataFrame([(a, i) for a in (1, 2, None) for i in range(3)], "activity_id_hist long, n int")
+    for listed in ([1], [1, None], [None, None], [], [3, 3]):
+        members = spark.createDataFrame([(a,) for a in listed], "activity_id_hist long")
+        flagged = flag_members(rows.repartition("activity_id_hist"), members, ["activity_id_hist"], "listed")
+        found = flagged.collect()
+        assert len(found) == 9 and all(r.listed == (r.activity_id_hist in listed) for r in found), listed
+    members = spark.range(5).select(F.col("id").alias("activity_id_hist"))
+    plan = physical(flag_members(rows.repartition("activity_id_hist"), members, ["activity_id_hist"], "listed"))
+    # the rows' own dealing, that of the list, and the one of a single row that counts its nulls
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+
+
+def test_lists_of_items_are_met_in_one_dealing_of_the_rows(spark, only_shuffles):
+    data = [(i, a, n) for n, (i, a) in enumerate([(i, a) for i in (1, 2, 3, None) for a in (1, 2, None)])]
+    rows = spark.createDataFrame(data, "content_item_id long, correct_answer int, n int")
+    rows = rows.withColumn("timestamp_created", F.lit("2020-01-01").cast("timestamp")).repartition(3)
+    cutoffs = spark.createDataFrame([(1, "2021-01-01"), (2, "2019-01-01"), (None, "2021-01-01")], "content_item_id long, cutoff_date string")
+    cutoffs = cutoffs.withColumn("cutoff_date", F.col("cutoff_date").cast("timestamp"))
+    listed = spark.createDataFrame([(2,), (2,), (None,)], "content_item_id long")
+    keys = spark.createDataFrame([(1, 2), (1, 2), (1, 1), (3, 1), (None, 1), (3, None)], "content_item_id long, correct_answer int")
+    flagged = omissions.flag_version_cutoffs(rows, cutoffs, "late")
+    flagged = omissions.flag_old_keys(omissions.flag_version_list(flagged, listed, "listed"), keys, "old_key")
+    plan = physical(flagged)
+    # the rows once, cutoffs and list once each, the keys once to be distinct and once by item
+    assert plan.count("Exchange hashpartitioning") == 5 and plan.count("SortMergeJoin") == 3, plan
+    found = flagged.collect()
+    assert sorted(r.n for r in found) == list(range(len(data)))
+    for r in found:
+        pair = (r.content_item_id, r.correct_answer)
+        assert (r.late, r.listed, r.old_key) == (r.content_item_id == 1, r.content_item_id == 2, pair in {(1, 2), (1, 1), (3, 1)})
+
+
+def test_lines_meet_their_parts_before_their_orders(spark, only_shuffles):
+    from itemflow.catalog.tables import responses
+
+    plan = physical(responses(spark, "/root/testdata/sf0.001"))
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert "o_orderkey" in joins[0] and "p_partkey" in joins[1], joins
+
+
+def test_a_bank_stores_the_columns_that_are_wanted(spark, monkeypatch):
+    from itemflow.catalog import QUERIES, runs
+    from itemflow.plans import clean as run
+
+    stored = []
+    monkeypatch.setattr(run, "stored", lambda frame: stored.append(frame.columns) or frame)
+    found = QUERIES["clean_qbank_sections"](spark, "/root/testdata/sf0.001")
+    wanted = {*runs.RUN_COLUMNS, *runs.SECTION_COLUMNS, "actual_activity_order"}
+    assert set(found.columns) == wanted
+    # the rates of students come later, and the pool needs items
+    kept = wanted - {"overall_pTotal", "overall_pPlus"} | {"content_item_name", run.BELOW}
+    assert set(stored[0]) == kept and len(stored) == 1
