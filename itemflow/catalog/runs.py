@@ -417,7 +417,8 @@ def bank_columns(cleaned):
 @query("clean_qbank", bank_sql())
 def clean_qbank(spark, sf_dir):
     inputs = CleanInputs(test_map=bank_map(spark, sf_dir))
-    return bank_columns(clean(responses(spark, sf_dir), BANK, inputs).cleaned)
+    wanted = [*RUN_COLUMNS, *BANK_COLUMNS]
+    return bank_columns(clean(responses(spark, sf_dir), BANK, inputs, columns=wanted).cleaned)
 
 
 def _bank_section_steps() -> _Steps:
@@ -438,10 +439,9 @@ def _bank_section_steps() -> _Steps:
 )
 def clean_qbank_sections(spark, sf_dir):
     inputs = CleanInputs(section_map=section_map(spark, sf_dir))
-    cleaned = clean(responses(spark, sf_dir), BANK, inputs).cleaned
-    return rounded(cleaned, *SECTION_RATIOS).select(
-        *RUN_COLUMNS, *SECTION_COLUMNS, "actual_activity_order"
-    )
+    wanted = [*RUN_COLUMNS, *SECTION_COLUMNS, "actual_activity_order"]
+    cleaned = clean(responses(spark, sf_dir), BANK, inputs, columns=wanted).cleaned
+    return rounded(cleaned, *SECTION_RATIOS).select(*wanted)
 
 
 # Every option at once ---------------------------------------------------------------

@@ -17,6 +17,8 @@ from itemflow.operators.joins import drop_members
 from itemflow.plans.attach import Attach, by_join
 
 ACTIVITY = ("activity_id_hist",)
+# What the rates of a student are made of.
+STUDENT_TALLIES = ("overall_raw_correct", "overall_num_attempted")
 
 
 def question_counts(

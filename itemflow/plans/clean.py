@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -18,7 +19,7 @@ from itemflow.functions.columns import (
     strict_sum,
 )
 from itemflow.operators import exclusions, omissions, rows, scoring
-from itemflow.operators.audit import DROP_STEP, OMIT_STEP, funnel
+from itemflow.operators.audit import COUNTED, DROP_STEP, OMIT_STEP, funnel
 from itemflow.operators.joins import equi_join, flag_members
 from itemflow.plans.layout import HOT_ROWS, Branch, branches
 
@@ -160,12 +161,15 @@ def clean(
     inputs: CleanInputs = CleanInputs(),
     audit: bool = False,
     save_to: str | None = None,
+    columns: Sequence[str] = (),
 ) -> CleanResult:
     """Clean and score responses.
 
     With ``audit`` the result also tells what each step removed. ``save_to``
     names a folder in shared storage: the rows are written there once and the
     frames of the result read them back, instead of each running the plan.
+    ``columns`` are those of the cleaned rows that are wanted, all if none is named: what
+    nobody reads is then not sorted, dealt and stored on the way of a question bank.
     """
     if inputs.test_map is None and inputs.section_map is None:
         raise ValueError("a test map or a section map is needed")
@@ -197,6 +201,9 @@ def clean(
         frame = frame.sparkSession.read.parquet(save_to)
     elif config.question_bank:
         # the items of the bank are counted over the scored rows: these are made once
+        if columns:
+            kept = {*columns, *scoring.STUDENT_TALLIES, *COUNTED.values(), DROP_STEP, OMIT_STEP, BELOW}
+            frame = frame.select(*[c for c in frame.columns if c in kept])
         frame = stored(frame)
     table = funnel(frame, run.steps, run.omit_steps) if audit else None
     cleaned = frame.where(F.col(DROP_STEP).isNull()) if audit else frame
@@ -210,7 +217,7 @@ def clean(
             else:
                 cleaned = frame.where(~F.col(BELOW))
         cleaned = scoring.student_rates(cleaned, scoring.distinct_items(pool))
-    cleaned = _finished(cleaned)
+    cleaned = cleaned.select(*columns) if columns else _finished(cleaned)
     return CleanResult(
         cleaned=cleaned,
         sections=_section_names(config, inputs),
