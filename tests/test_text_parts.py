@@ -75,6 +75,27 @@ def test_no_line_and_no_row_for_each_block_is_shuffled(spark):
     assert "Generate inline(members" in plan[:last]
 
 
+def test_only_lines_with_cells_are_put_together(spark):
+    """The lines of blocks without a cell are one text per block, not made again for each student."""
+    long = long_of(spark)
+    lined = matrix.block_lines(long, "ms", matrix.in_blocks(matrix.name_order(long), 2), parts=5)
+    plan = lined._jdf.queryExecution().optimizedPlan().toString()
+    # what stands above in a plan works on more rows: one per student and block
+    assert plan.index("concat_ws") > plan.index("Generate inline(members"), plan
+
+
+def test_blocks_of_exams_that_a_student_did_not_take(spark):
+    rows = [("A", "s1", "i1", 1), ("A", None, "i3", 2), ("B", "s1", "i9", 3), ("B", "s2", "i8", None)]
+    long = spark.createDataFrame([(e, s, i, 1, 1, v) for e, s, i, v in rows], "exam string, student_id string, content_item_name string, seen long, attempted long, ms long")
+    names = [("A", "i1", 1), ("A", "i2", 2), ("A", "i3", 3), ("B", "i8", 1), ("B", "i9", 2)]
+    blocks = matrix.in_blocks(spark.createDataFrame(names, "exam string, content_item_name string, display_position long"), 2, ["exam"])
+    found = matrix.block_lines(long, "ms", blocks, by=["exam"]).collect()
+    assert {(r.exam, r.student_id, r.block): r.line for r in found} == {
+        ("A", "s1", 0): "1,.", ("A", "s1", 1): ".", ("A", None, 0): ".,.", ("A", None, 1): "2", ("A", "s2", 0): ",", ("A", "s2", 1): "",
+        ("B", "s1", 0): ".,3", ("B", "s2", 0): "NA,.", ("B", None, 0): ",",
+    } and len(found) == 9
+
+
 def test_parts_grow_with_the_text():
     assert parts.text_parts(150, 200, 4) is None
     assert parts.text_parts(15_000, 20_000, 4) == 9
