@@ -52,27 +52,41 @@ def _is_run(token: Column, gap: str, separator: str) -> Column:
 
 
 def _shown_cells(lines: DataFrame, headers: DataFrame, by: Sequence[str], id_column: str, skip: str, separator: str) -> DataFrame:
-    """The cells of lines whose text is not ``skip``: only these take a place in an array, and a row."""
-    names = headers.select(*by, fields(F.col("value"), separator).alias("names")).distinct()
+    """The cells of lines whose text is not ``skip``: only these take a place in an array, and a row.
+
+    A line meets the length of its header and the text of a line without any other cell, to
+    which it is compared whole; what is parsed is the other lines, and their cells, not
+    lines, meet the names.
+    """
+    gap = separator + skip
+    names = headers.select(*by, fields(F.col("value"), separator).alias("names")).distinct().withColumn("n_names", F.size("names"))
+    empty = F.repeat(F.lit(gap), F.col("n_names") - 1)
+    sizes = F.broadcast(names.select(*by, "n_names").distinct().withColumn("empty", empty))
+    met = equi_join(lines.select(*by, "value"), sizes, by, "inner") if by else lines.select("value").join(sizes)
+    # an id in quotes with a separator in it is too short here, so its line is parsed
+    plain_id = F.substring_index("value", separator, 1)
+    is_empty = (F.octet_length("value") == F.octet_length(plain_id) + F.octet_length("empty")) & F.col("value").endswith(F.col("empty"))
+    met = met.where(~F.coalesce(is_empty, F.lit(False)))
     whole = F.concat(F.lit(separator), F.col("value"))
     first = F.regexp_extract(whole, f'^([{separator}](?:"(?:[^"]++|"")*+"|[^{separator}]*+))', 1)
-    split = lines.select(*by, fields(F.substring(first, len(separator) + 1, 2**31 - 1), separator)[0].alias("id"), whole.substr(F.char_length(first) + 1, F.char_length(whole)).alias("rest"))
-    gap = separator + skip
+    split = met.select(*by, "n_names", fields(F.substring(first, len(separator) + 1, 2**31 - 1), separator)[0].alias("id"), whole.substr(F.char_length(first) + 1, F.char_length(whole)).alias("rest"))
     width = F.transform("tokens", lambda t: F.when(_is_run(t, gap, separator), F.char_length(t) / len(gap)).otherwise(1).cast("int"))
-    parsed = split.select(*by, "id", _tokens(F.col("rest"), skip, separator).alias("tokens")).withColumn("widths", width)
+    parsed = split.select(*by, "n_names", "id", _tokens(F.col("rest"), skip, separator).alias("tokens")).withColumn("widths", width)
     total = F.aggregate("widths", F.lit(0), lambda n, w: n + w)
     ends = F.aggregate("widths", F.array().cast("array<int>"), lambda all, w: F.concat(all, F.array(F.coalesce(F.try_element_at(all, F.lit(-1)), F.lit(0)) + w)))
     texts = F.transform("tokens", lambda t: F.substring(t, len(separator) + 1, 2**31 - 1))
     run = F.transform("tokens", lambda t: _is_run(t, gap, separator))
     cells = F.filter(F.arrays_zip(ends.alias("place"), texts.alias("text"), run.alias("run")), lambda c: ~c["run"])
-    found = parsed.select(*by, "id", (total + 1).alias("n_fields"), cells.alias("cells"))
-    joined = equi_join(found, names, by, "inner") if by else found.join(F.broadcast(names))
-    wrong = F.concat(F.lit("fields in a line: "), F.col("n_fields"), F.lit(", in its header: "), F.size("names"))
-    checked = F.when(F.col("n_fields") == F.size("names"), F.col("cells")).otherwise(F.raise_error(wrong).cast(found.schema["cells"].dataType))
+    found = parsed.select(*by, "n_names", "id", (total + 1).alias("n_fields"), cells.alias("cells"))
+    wrong = F.concat(F.lit("fields in a line: "), F.col("n_fields"), F.lit(", in its header: "), F.col("n_names"))
+    checked = F.when(F.col("n_fields") == F.col("n_names"), F.col("cells")).otherwise(F.raise_error(wrong).cast(found.schema["cells"].dataType))
     student = F.nullif(F.col("id"), F.lit("")).alias(id_column)
-    named = F.transform(checked, lambda c: F.struct(F.element_at("names", c["place"] + 1).alias("item"), _plain(c["text"]).alias("text")))
-    shown = joined.select(*by, student, F.inline(named)).toDF(*by, id_column, "content_item_name", "text")
-    return shown.where(F.col("text") != skip)
+    read = F.transform(checked, lambda c: F.struct(c["place"].alias("place"), _plain(c["text"]).alias("text")))
+    shown = found.select(*by, "n_names", student, F.inline(read)).where(F.col("text") != skip)
+    # the first name is that of the ids
+    named = names.select(*by, "n_names", F.posexplode("names").alias("place", "content_item_name"))
+    joined = equi_join(shown, named, [*by, "n_names", "place"], "inner")
+    return joined.select(*by, id_column, "content_item_name", "text")
 
 
 def cells_of_lines(

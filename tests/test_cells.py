@@ -39,6 +39,23 @@ def test_lines_without_skipped_cells(spark):
             cells.cells_of_lines(spark.createDataFrame([(bad, 1)], "value string, block int"), heads, ["block"], skip="-99").collect()
 
 
+def test_lines_are_not_dealt_for_their_headers(spark):
+    """However long headers are, lines stay where they are, and those without any other cell are not parsed."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = spark.createDataFrame([("s1,-99,-99", 1), ("s2,-99,3", 1), ("s3,1", 2), ("s4", 3), ("s5,1", 4)], "value string, block int")
+        # a header that comes twice, two for one block, one of an id alone, and a block without one
+        heads = spark.createDataFrame([("id,a,b", 1), ("id,a,b", 1), ("id,c", 2), ("id,d", 2), ("id", 3)], "value string, block int")
+        found = cells.cells_of_lines(text, heads, ["block"], skip="-99")
+        assert sorted(map(tuple, found.collect())) == [(1, "s2", "b", "3"), (2, "s3", "c", "1"), (2, "s3", "d", "1")]
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        lines = plan[plan.index("regexp_extract_all") :]
+        assert "endswith" in lines.lower() and lines.index("strategy=broadcast") < lines.index("Aggregate"), plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_the_cells_of_a_matrix_are_not_all_made(spark, monkeypatch):
     """Cells that were not seen take no row and no place in an array of fields."""
     from itemflow.catalog import QUERIES
