@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from itemflow.functions.checkpoints import checkpointed
 from itemflow.operators.joins import drop_members, equi_join, keep_members
-from itemflow.operators.omissions import SHOWING, ranked_showings, showing_order
+from itemflow.operators.omissions import held_showings, spread_showings
 from itemflow.operators.ranking import activity_order
 from itemflow.operators.scoring import activities_per_student
 from itemflow.plans.attach import Attach, by_saved_join, by_window
@@ -80,22 +80,16 @@ def _count_by_join(frame: DataFrame, alive: Column | None) -> DataFrame:
     return equi_join(frame, checkpointed(taken), ["student_id"], "left")
 
 
-def _rank_by_window(frame: DataFrame, rank: str, alive: Column | None) -> DataFrame:
-    kept = [] if alive is None else [alive]
-    shown = Window.partitionBy(*SHOWING, *kept).orderBy(*showing_order(frame.columns))
-    return frame.withColumn(rank, F.row_number().over(shown))
-
-
 def by_student(rows: DataFrame, n_rows: int | None = None) -> Branch:
     default = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = -(-(n_rows or 0) // PARTITION_ROWS)
     # without a number the partitions can still be merged when they turn out small
     parts = rows.repartition(wanted, "student_id") if wanted > default else rows.repartition("student_id")
-    return Branch(parts, ("student_id", "activity_id_hist"), by_window, _order_by_window, _count_by_window, _rank_by_window)
+    return Branch(parts, ("student_id", "activity_id_hist"), by_window, _order_by_window, _count_by_window, held_showings)
 
 
 def by_aggregate(rows: DataFrame, activity: tuple[str, ...]) -> Branch:
-    return Branch(rows, activity, by_saved_join, _order_by_join, _count_by_join, ranked_showings, True)
+    return Branch(rows, activity, by_saved_join, _order_by_join, _count_by_join, spread_showings, True)
 
 
 def student_hash() -> Column:

@@ -44,6 +44,25 @@ def test_showings_carry_no_copy_of_their_order(spark, monkeypatch):
     assert omissions.ranked_showings(frame.drop("response_id"), "rank").count() == 4 and len(given[1]) == 5
 
 
+def test_only_showings_that_no_task_holds_are_written_down(spark, monkeypatch):
+    data = [("s", 1, t, f"r{i}") for i, t in enumerate([3, 1, 1, None, 2, 0] * 5)] + [(s, c, 1, f"x{s}{c}") for s in ("s", "t", None) for c in (None, 2)]
+    frame = spark.createDataFrame(data, "student_id string, content_item_id long, at int, response_id string")
+    frame = frame.withColumn("timestamp_created", F.timestamp_seconds("at"))
+    expected = {r.response_id: r.repeat_omitted for r in omissions.flag_repeats(frame).collect()}
+    assert sum(v is True for v in expected.values()) == 24 and sum(v is None for v in expected.values()) == 5
+    given = []
+    real = omissions.ranked
+    monkeypatch.setattr(omissions, "ranked", lambda rows, *more: given.append(rows.count()) or real(rows, *more))
+    for held, written in ((30, []), (29, [30])):
+        monkeypatch.setattr(omissions, "HELD_SHOWINGS", held)
+        found = omissions.flag_repeats(frame, spread=True)
+        assert found.columns == [*frame.columns, "repeat_omitted"]
+        assert {r.response_id: r.repeat_omitted for r in found.collect()} == expected and given == written
+        living = omissions.spread_showings(frame, "rank", F.col("at") < 3)
+        assert living.where("at < 3 and rank = 1 and student_id = 's' and content_item_id = 1").count() == 1
+        given.clear()
+
+
 def test_the_key_of_items_is_read_from_rows_that_were_not_dealt(spark, monkeypatch):
     from itemflow.catalog import outputs
 
