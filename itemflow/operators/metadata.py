@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemflow.functions.columns import count_where, grouped, ratio, strict, strict_sum
-from itemflow.operators.joins import equi_join, natural_join
+from itemflow.operators.joins import equi_join, natural_join, plain_join
 
 ACTIVITY_COLUMNS = (
     "student_id", "activity_id", "timestamp_created", "timestamp_completed", "template_name",
@@ -68,8 +68,27 @@ def item_info(
         F.min("timestamp_created").alias("first_date"),
         F.max("timestamp_created").alias("last_date"),
     )
+    if content is not None and key is not None and key_item in content.columns:
+        return _met_in_one_dealing(info, content, key, key_item)
     if content is not None:
         info = natural_join(info, content, "left")
     if key is not None:
         info = equi_join(info, key, [key_item], "left")
     return info
+
+
+def _met_in_one_dealing(info: DataFrame, content: DataFrame, key: DataFrame, item: str) -> DataFrame:
+    """Items with the columns of their content and their answers, dealt by item once for both joins.
+
+    Keys travel as one value, in which null equals null: both joins agree on the item, and the
+    other columns of the content, of which an item has few, are compared where it lies.
+    """
+    shared = [c for c in info.columns if c in content.columns and c != item]
+    columns = [*info.columns, *[c for c in content.columns if c not in info.columns], *[c for c in key.columns if c != item]]
+    keyed = {"__item": F.struct(item), "__shared": F.struct(*shared) if shared else F.lit(0)}
+    known = content.withColumns(keyed).drop(item, *shared)
+    met = plain_join(info.withColumns(keyed).drop(item, *shared), known, ["__item"], same=["__shared"])
+    answers = key.withColumn("__item", keyed["__item"]).drop(item)
+    # rows are dealt without a second copy of their keys
+    place = {item: f"__item.`{item}`"} | {c: f"__shared.`{c}`" for c in shared}
+    return plain_join(met, answers, ["__item"]).select(*[F.col(place.get(c, f"`{c}`")).alias(c) for c in columns])

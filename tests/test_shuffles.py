@@ -75,6 +75,23 @@ def test_the_key_of_items_is_read_from_rows_that_were_not_dealt(spark, monkeypat
     assert len(seen) == 1 and "REPARTITION_BY_NUM" not in seen[0] and "Window" not in seen[0]
 
 
+def test_items_are_dealt_once_for_their_content_and_their_key(spark, only_shuffles):
+    from itemflow.operators import metadata
+
+    shown = [(1, "a", 1), (1, "b", 1), (None, None, 1), (None, "a", 2), (2, "a", 1), (3, "c", 1), (3, "c", 1)]
+    cleaned = spark.createDataFrame([(i, n, "t", 1, p, True, 1) for i, n, p in shown], "content_item_id long, content_item_name string, template_name string, template_id int, item_section_position int, attempted boolean, scored_response int")
+    cleaned = cleaned.withColumn("timestamp_created", F.lit("2020-01-01").cast("timestamp"))
+    content = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (None, None, "n"), (2, "b", "z")], "content_item_id long, content_item_name string, brand string")
+    key = spark.createDataFrame([(1, 7), (1, 8), (None, 9), (3, 5)], "content_item_id long, correct_answer int")
+    found = metadata.item_info(cleaned, key, content)
+    apart = metadata.equi_join(metadata.natural_join(metadata.item_info(cleaned), content, "left"), key, ["content_item_id"], "left")
+    plan = physical(found)
+    # the rows to be counted, the items once, content and key
+    assert plan.count("Exchange hashpartitioning") == 4 and plan.count("SortMergeJoin") == 2, plan
+    assert found.columns == apart.columns and sorted(map(str, found.collect())) == sorted(map(str, apart.collect()))
+    assert found.count() == 4 + 2 + 1 + 1 + 1 + 1
+
+
 def test_rows_dealt_by_activity_are_not_dealt_again_for_a_list(spark, only_shuffles):
     rows = spark.createDataFrame([(a, i) for a in (1, 2, None) for i in range(3)], "activity_id_hist long, n int")
     for listed in ([1], [1, None], [None, None], [], [3, 3]):
