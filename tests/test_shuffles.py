@@ -75,6 +75,37 @@ def test_the_key_of_items_is_read_from_rows_that_were_not_dealt(spark, monkeypat
     assert len(seen) == 1 and "REPARTITION_BY_NUM" not in seen[0] and "Window" not in seen[0]
 
 
+def test_rows_of_shared_activities_are_dealt_once_for_the_rules(spark, only_shuffles, monkeypatch):
+    from itemflow.catalog import runs
+    from itemflow.catalog.tables import responses, test_map as make_test_map
+    from itemflow.plans import layout
+    from itemflow.plans.clean import CleanInputs, clean
+
+    written = []
+    monkeypatch.setattr(layout, "stored", lambda frame: written.append(physical(frame)) or frame)
+    twin = F.when(F.col("item_section_position") == 5, "twin").otherwise(F.col("student_id"))
+    frame = responses(spark, "/root/testdata/sf0.001", student_id=twin)
+    clean(frame, runs.GOLDEN, CleanInputs(test_map=make_test_map(spark, "/root/testdata/sf0.001")))
+    (plan,) = written
+    # the rows, their verdicts and the later sittings
+    assert plan.count("Exchange hashpartitioning(coalesce(activity_id_hist") == 1, plan
+    assert plan.count("Exchange hashpartitioning(coalesce(__activity_id_hist") == 2, plan
+
+
+def test_questions_without_a_template_are_counted_in_every_layout(spark):
+    from itemflow.catalog.tables import bank_map, responses
+    from itemflow.plans.clean import CleanConfig, CleanInputs, clean
+
+    sf_dir = "/root/testdata/sf0.001"
+    name = F.when(F.col("item_section_position") > 2, F.lit("")).when(F.col("item_section_position") > 1, F.col("template_name"))
+    frame = responses(spark, sf_dir, template_name=name).where("activity_id % 3 = 0")
+    found = {}
+    for layout in ("student", "aggregate"):
+        rows = clean(frame, CleanConfig(question_bank=True, layout=layout), CleanInputs(test_map=bank_map(spark, sf_dir))).cleaned
+        found[layout] = sorted(map(tuple, rows.select("response_id", "actual_num_ques", "repeat_omitted").collect()))
+    assert found["student"] == found["aggregate"] and len(found["student"]) > 100
+
+
 def test_items_are_dealt_once_for_their_content_and_their_key(spark, only_shuffles):
     from itemflow.operators import metadata
 
