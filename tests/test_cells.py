@@ -56,6 +56,17 @@ def test_lines_are_not_dealt_for_their_headers(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+def test_responses_are_read_once_for_a_matrix_and_its_items(spark, monkeypatch):
+    from itemflow.catalog import outputs
+
+    made = []
+    real = outputs.stored
+    monkeypatch.setattr(outputs, "stored", lambda frame: made.append(frame.columns) or real(frame))
+    for name in ("matrix_cells", "matrix_block_lines"):
+        plan = outputs.__dict__[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey" not in plan and made.pop()[:2] == matrix.CELL and not made, plan
+
+
 def test_the_cells_of_a_matrix_are_not_all_made(spark, monkeypatch):
     """Cells that were not seen take no row and no place in an array of fields."""
     from itemflow.catalog import QUERIES
